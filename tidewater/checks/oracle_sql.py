@@ -403,6 +403,53 @@ SELECT iot_device_id, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS event_iso,
   date_sub('second', event_time, ingestion_time) AS lag_seconds,
   {_sk('CAST(iot_device_id AS VARCHAR)', 'CAST(event_time AS VARCHAR)')} AS row_key
 FROM m""",
+    })
+    # single-batch load: every fact row takes the country of its device's
+    # latest reading in the batch
+    single = """cur AS (
+  SELECT iot_device_id,
+    """ + country_case('latitude', 'longitude', 'code') + """ AS country_code,
+    """ + country_case('latitude', 'longitude', 'name') + """ AS country_name,
+    """ + country_case('latitude', 'longitude', 'city') + """ AS city,
+    latitude, longitude, timezone
+  FROM (SELECT *, row_number() OVER (PARTITION BY iot_device_id ORDER BY event_time DESC NULLS LAST) AS _rn FROM r)
+  WHERE _rn = 1
+),
+sf AS (
+  SELECT """ + _sk('CAST(r.iot_device_id AS VARCHAR)', 'CAST(r.event_time AS VARCHAR)') + """ AS fact_sk,
+    CAST(year(r.event_time) * 10000 + month(r.event_time) * 100 + day(r.event_time) AS INTEGER) AS date_key,
+    r.iot_device_id, cur.country_code, r.event_time, r.ingestion_time,
+    """ + ", ".join(f"r.{c}" for c in MEAS) + """, r.weather_id, r.weather_main, r.weather_description
+  FROM r LEFT JOIN cur ON cur.iot_device_id = r.iot_device_id
+)"""
+    sf_cols = ("fact_sk, date_key, iot_device_id, country_code, event_time, ingestion_time, "
+               + ", ".join(rnd(c) + f" AS {c}" if c in DOUBLE_STAGING else c for c in MEAS)
+               + ", weather_id, weather_main, weather_description")
+    hourly_body = ", ".join(["hour_bucket", "iot_device_id", "country_code", *[rnd(c) + f" AS {c}" for c in HOURLY_COLS]])
+    per_reading_country = country_case('latitude', 'longitude', 'code')
+    sql.update({
+        "stream_landing": f"WITH m AS ({MEASUREMENTS}) SELECT {_rounded_staging()} FROM m",
+        "stream_warehouse_fact": _with_extra(single, f"SELECT {sf_cols} FROM sf"),
+        "stream_warehouse_hourly": _with_extra(single + """,
+sh AS (
+  SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, arg_max(country_code, event_time) AS country_code,
+    avg(temp) AS avg_temp, avg(feels_like) AS avg_feels_like, avg(humidity) AS avg_humidity,
+    avg(pressure) AS avg_pressure, avg(wind_speed) AS avg_wind_speed, avg(uvi) AS avg_uvi,
+    avg(clouds) AS avg_clouds, avg(visibility) AS avg_visibility, avg(rain_1h) AS avg_rain_1h
+  FROM sf WHERE event_time >= date_trunc('hour', (SELECT max(event_time) FROM sf) - INTERVAL 2 HOUR)
+  GROUP BY 1, 2
+)""", f"SELECT {hourly_body} FROM sh"),
+        "stream_warehouse_dims": _with_extra(single, "SELECT iot_device_id, latitude, longitude, timezone, "
+                                             "country_code, country_name, city FROM cur"),
+        "compaction": _with(f"SELECT {fact_cols} FROM f"),
+        "stream_rollup": f"""WITH m AS ({MEASUREMENTS})
+SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, {per_reading_country} AS country_code,
+  """ + ", ".join(rnd(f"avg(CAST({c} AS DOUBLE))") + f" AS avg_{c}" for c in
+                  ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi", "clouds", "visibility", "rain_1h"))
+        + """, count(*) AS readings
+FROM m GROUP BY 1, 2, 3""",
+        "stream_dedup": f"""WITH m AS ({MEASUREMENTS})
+SELECT DISTINCT event_time, iot_device_id, latitude, longitude, timezone FROM m""",
     })
     return sql
 
