@@ -14,7 +14,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater.schemas import KAFKA_RECORD
 from tidewater.sources.envelope import decode_payload, landing_columns
 
-PARTITION_COLUMNS = ("ingestion_date", "iot_device_id")
+# Directory levels of the raw zone.  Day only by default: a device level
+# multiplies directories (and small files per micro-batch) by the device
+# count, which costs ~50x in write time already at 150 devices and does not
+# scale to millions.  The staging job never prunes on it (it tracks new files).
+PARTITION_COLUMNS = ("ingestion_date",)
+DEVICE_PARTITION_COLUMNS = ("ingestion_date", "iot_device_id")
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "earliest",
@@ -56,14 +61,10 @@ def raw_lines(records: DataFrame, partition_columns=PARTITION_COLUMNS) -> DataFr
 
 def start_landing(records: DataFrame, raw_path: str, checkpoint: str, available_now: bool = False,
                   processing_time: str = "0 seconds", partition_columns=PARTITION_COLUMNS) -> StreamingQuery:
-    """Land records as JSON lines under ``<day>/<device>`` directories.
-
-    Rows are clustered by the directory columns before writing, so each
-    micro-batch writes one file per directory instead of one per task and
-    directory.  With very many devices, pass ``partition_columns=
-    ("ingestion_date",)`` to keep the directory count bounded by days.
-    """
-    lines = raw_lines(records, partition_columns).repartition(*partition_columns)
+    """Land records as JSON lines under ``ingestion_date=<day>`` directories
+    (``DEVICE_PARTITION_COLUMNS`` adds a device level).  Each task writes one
+    file per day it holds, so a micro-batch writes tasks x days files."""
+    lines = raw_lines(records, partition_columns)
     writer = (
         lines.writeStream.format("json")
         .option("path", raw_path)
