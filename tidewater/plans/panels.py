@@ -48,7 +48,15 @@ def _in(col: str, values: Sequence | None) -> Column:
 
 
 def _recent(df: DataFrame, as_of, window: str, time_col: str = "event_time") -> DataFrame:
-    return df.filter(F.col(time_col) >= since(as_of, window))
+    """Rows newer than ``as_of - window``.  When the table carries its day
+    partition column (``<time_col>_date``, see ``TableStore.read_with_day``)
+    the same bound is applied to it, so whole day directories are pruned."""
+    start = since(as_of, window)
+    out = df.filter(F.col(time_col) >= start)
+    day = f"{time_col}_date"
+    if day in df.columns:
+        out = out.filter(F.col(day) >= F.to_date(start))
+    return out
 
 
 def _series(df: DataFrame, time: Column, name: Column, value: Column) -> DataFrame:

@@ -21,15 +21,7 @@ from tidewater.functions.keys import surrogate_key
 from tidewater.operators import calendar, merge, rollup, scd2
 from tidewater.operators.dedup import latest_per_key
 from tidewater.plans import panels
-from tidewater.plans.warehouse import (
-    BATCH_COL,
-    Warehouse,
-    dedup_batch,
-    empty_warehouse,
-    process_batch,
-    replay,
-    weekly_batch,
-)
+from tidewater.plans.warehouse import BATCH_COL, Warehouse, dedup_batch, replay, weekly_batch
 from tidewater.sources import envelope, telemetry
 
 CHECK_DIGITS = 9
@@ -176,35 +168,36 @@ def q_scd2_country(spark, sf_dir):
 
 
 def _incremental(spark, sf_dir) -> Warehouse:
-    """Process the stream as weekly micro-batches, one merge per batch.
+    """Feed the stream to the warehouse job as weekly micro-batches.
 
-    The batch instants are derived from the data's first and last day (two
-    scalars), then each batch is one ``process_batch`` call.  Lineage is cut
-    after every batch by checkpointing to the shared checkpoint folder.
+    Exactly what the streaming job does per ``foreachBatch`` call, with the
+    batch instant as its clock: tables are appended to (dimensions rewritten)
+    in a table store under the shared checkpoint folder, so the cost per
+    batch does not grow with the history already loaded.  The batch instants
+    come from the data's first and last week (two scalars).
     """
-    from tidewater.session import ensure_local_fallback
+    import datetime as dt
+
+    from tidewater.sources.tables import TableStore
+    from tidewater.streaming.pipeline import WarehouseJob
 
-    ensure_local_fallback(spark)
     r = raw_readings(spark, sf_dir).withColumn(BATCH_COL, weekly_batch())
     lo, hi = r.select(F.min(BATCH_COL), F.max(BATCH_COL)).first()
-    wh = empty_warehouse(spark)
-    if lo is None:
-        return wh
-    import datetime as dt
-
-    t = lo
-    while t <= hi:
-        batch = r.filter(F.col(BATCH_COL) == F.lit(t)).drop(BATCH_COL)
-        wh, _bad = process_batch(wh, batch, t, row_key_kind="content")
-        wh = Warehouse(
-            staging=wh.staging.checkpoint(),
-            dim_date=wh.dim_date.checkpoint(),
-            dim_device=wh.dim_device.checkpoint(),
-            dim_country=wh.dim_country.checkpoint(),
-            fact=wh.fact.checkpoint(),
-        )
-        t = t + dt.timedelta(days=7)
-    return wh
+    store = TableStore(spark, _scratch(spark, "incremental"))
+    now = {"t": lo}
+    job = WarehouseJob(spark, store, row_key_kind="content", clock=lambda: now["t"])
+    batch_id = 0
+    while lo is not None and now["t"] <= hi:
+        job.process(r.filter(F.col(BATCH_COL) == F.lit(now["t"])).drop(BATCH_COL), batch_id)
+        now["t"] = now["t"] + dt.timedelta(days=7)
+        batch_id += 1
+    return Warehouse(
+        staging=store.read("staging_events"),
+        dim_date=store.read("dim_date"),
+        dim_device=store.read("dim_iot_device"),
+        dim_country=store.read("dim_country"),
+        fact=store.read("fact_measurements"),
+    )
 
 
 def _incremental_run(spark, sf_dir) -> Warehouse:
@@ -244,14 +237,32 @@ def q_upsert_hourly(spark, sf_dir):
 # --- serving panels --------------------------------------------------------------
 
 
+def _served(spark, sf_dir):
+    """The warehouse written once per session as day-partitioned parquet
+    tables in the shared checkpoint folder -- what serving queries read in
+    production -- instead of being recomputed by every query."""
+    from tidewater.sources.tables import TableStore
+
+    def build():
+        store = TableStore(spark, _scratch(spark, "served"))
+        wh = warehouse(spark, sf_dir)
+        store.overwrite("fact_measurements", wh.fact, materialize=False)
+        store.overwrite("dim_iot_device", wh.dim_device, materialize=False)
+        store.overwrite("dim_country", wh.dim_country, materialize=False)
+        store.overwrite("fact_hourly_agg", rollup.hourly_rollup(store.read("fact_measurements")), materialize=False)
+        return store
+
+    return _memo(spark, sf_dir, "served", build)
+
+
 def _panel_fact(spark, sf_dir):
-    f = fact(spark, sf_dir)
+    f = _served(spark, sf_dir).read_with_day("fact_measurements")
     return f, as_of_latest(f)
 
 
 def _panel_hourly(spark, sf_dir):
-    f = fact(spark, sf_dir)
-    return rollup.hourly_rollup(f), as_of_latest(f)
+    store = _served(spark, sf_dir)
+    return store.read_with_day("fact_hourly_agg"), as_of_latest(store.read("fact_measurements"))
 
 
 def q_device_series(metric, spark, sf_dir):
@@ -275,7 +286,7 @@ def q_events_ingested(spark, sf_dir):
 
 
 def q_latest_event_time(spark, sf_dir):
-    return panels.latest_event_time(fact(spark, sf_dir))
+    return panels.latest_event_time(_served(spark, sf_dir).read("fact_measurements"))
 
 
 def q_ingestion_lag(spark, sf_dir):
@@ -289,7 +300,7 @@ def q_device_summary(spark, sf_dir):
 
 
 def q_device_picker(spark, sf_dir):
-    return panels.device_picker(warehouse(spark, sf_dir).dim_device)
+    return panels.device_picker(_served(spark, sf_dir).read("dim_iot_device"))
 
 
 def q_active_countries(spark, sf_dir):
@@ -308,7 +319,7 @@ def q_devices_reporting(spark, sf_dir):
 
 
 def q_latest_event_time_by_country(spark, sf_dir):
-    return panels.latest_event_time(fact(spark, sf_dir), SELECTED_COUNTRIES)
+    return panels.latest_event_time(_served(spark, sf_dir).read("fact_measurements"), SELECTED_COUNTRIES)
 
 
 def q_ingestion_lag_by_country(spark, sf_dir):
@@ -337,7 +348,7 @@ def q_country_overview_selected(spark, sf_dir):
 
 
 def q_country_picker(spark, sf_dir):
-    return panels.country_picker(warehouse(spark, sf_dir).dim_country)
+    return panels.country_picker(_served(spark, sf_dir).read("dim_country"))
 
 
 # --- reducers, status, measurement rules ----------------------------------------------
@@ -345,7 +356,7 @@ def q_country_picker(spark, sf_dir):
 
 def q_series_reducers(spark, sf_dir):
     """mean / last / max of every device's temperature series, whole history (A10)."""
-    f = fact(spark, sf_dir)
+    f = _served(spark, sf_dir).read("fact_measurements")
     series = f.select(F.col("event_time").alias("time"), F.col("iot_device_id").cast("string").alias("metric"),
                       F.col("temp").alias("value"))
     return _round_doubles(panels.series_reducers(series))
@@ -353,7 +364,7 @@ def q_series_reducers(spark, sf_dir):
 
 def q_last_not_null(spark, sf_dir):
     """Latest non-NULL wind gust per device, whole history."""
-    f = fact(spark, sf_dir)
+    f = _served(spark, sf_dir).read("fact_measurements")
     series = f.select(F.col("event_time").alias("time"), F.col("iot_device_id").cast("string").alias("metric"),
                       F.col("wind_gust").alias("value"))
     return _round_doubles(panels.last_not_null(series))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -69,13 +70,26 @@ class WarehouseJob:
         st = self.store
         touched = day_range_filter(deduped)
 
-        st.append("staging_events", rows_to_insert(st.read("staging_events"), deduped, DEDUP_KEYS, touched))
-        st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
+        def staging() -> None:
+            st.append("staging_events", rows_to_insert(st.read("staging_events"), deduped, DEDUP_KEYS, touched))
 
-        dev_stage = scd2.stage_versions(scd2.device_states(deduped), scd2.DEVICE, batch_ts)
-        st.overwrite("dim_iot_device", scd2.scd2_merge(st.read("dim_iot_device"), dev_stage, scd2.DEVICE))
-        cty_stage = scd2.stage_versions(scd2.country_states(deduped), scd2.COUNTRY, batch_ts)
-        st.overwrite("dim_country", scd2.scd2_merge(st.read("dim_country"), cty_stage, scd2.COUNTRY))
+        def dates() -> None:
+            st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
+
+        def devices() -> None:
+            stage = scd2.stage_versions(scd2.device_states(deduped), scd2.DEVICE, batch_ts)
+            st.overwrite("dim_iot_device", scd2.scd2_merge(st.read("dim_iot_device"), stage, scd2.DEVICE))
+
+        def countries() -> None:
+            stage = scd2.stage_versions(scd2.country_states(deduped), scd2.COUNTRY, batch_ts)
+            st.overwrite("dim_country", scd2.scd2_merge(st.read("dim_country"), stage, scd2.COUNTRY))
+
+        # The four merges read only the persisted batch and their own table,
+        # so they run as concurrent Spark jobs; the fact load needs both new
+        # dimensions and runs after them.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for f in [pool.submit(step) for step in (staging, dates, devices, countries)]:
+                f.result()
 
         new_facts = facts.load_fact(deduped, st.read("dim_iot_device"), st.read("dim_country"), self.row_key_kind)
         st.append("fact_measurements", facts.not_yet_loaded(new_facts, st.read("fact_measurements"), touched))
