@@ -6,7 +6,7 @@ event_type, value, props)``; this module maps every event row to one reading
 with plain column expressions, so everything downstream grows with the events
 table and runs on whole tables.
 
-Mapping (one rule per column, mirrored by ``MEASUREMENTS_SQL`` for DuckDB):
+Mapping (one rule per column, mirrored in SQL by ``checks.oracle_sql``):
 
 * device = ``user_id``; event time = ``ts`` truncated to the second (the
   gateway sends epoch seconds); ingestion = event time + ``event_id % 300`` s.
@@ -122,36 +122,3 @@ def measurements(events: DataFrame) -> DataFrame:
 
 def load_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements(read_table(spark, sf_dir, "events"))
-
-
-# DuckDB mirror of ``measurements`` for the oracle SQL (a CTE body).
-MEASUREMENTS_SQL = f"""
-SELECT
-  CAST(date_trunc('second', ts) AS TIMESTAMP) AS event_time,
-  CAST(date_trunc('second', ts) AS TIMESTAMP) + to_seconds(event_id % {INGESTION_SPREAD_SECONDS}) AS ingestion_time,
-  CAST(user_id AS INTEGER) AS iot_device_id,
-  CAST(list_extract([{", ".join(str(s[1]) for s in STATIONS)}], station) AS DOUBLE) AS latitude,
-  CAST(list_extract([{", ".join(str(s[2]) for s in STATIONS)}], station) AS DOUBLE) AS longitude,
-  {{timezone_sql}} AS timezone,
-  CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 6 HOUR AS sunrise,
-  CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 18 HOUR AS sunset,
-  value / 10 - 5 AS temp,
-  value / 10 - 5 - 1.5 AS feels_like,
-  CAST(1000 + event_id % 60 AS INTEGER) AS pressure,
-  CAST(json_extract(props, '$.k') AS INTEGER) AS humidity,
-  value / 10 - 5 - 5 AS dew_point,
-  value / 50 AS uvi,
-  CAST(event_id % 101 AS INTEGER) AS clouds,
-  CAST(10000 - (event_id % 100) * 10 AS INTEGER) AS visibility,
-  value / 20 AS wind_speed,
-  CAST((event_id * 7) % 360 AS INTEGER) AS wind_deg,
-  CASE WHEN event_type IN ('view', 'click') THEN NULL ELSE value / 15 END AS wind_gust,
-  CAST(CASE {" ".join(f"WHEN event_type = '{k}' THEN {v[0]}" for k, v in CONDITIONS.items())} END AS INTEGER) AS weather_id,
-  CASE {" ".join(f"WHEN event_type = '{k}' THEN '{v[1]}'" for k, v in CONDITIONS.items())} END AS weather_main,
-  CASE {" ".join(f"WHEN event_type = '{k}' THEN '{v[2]}'" for k, v in CONDITIONS.items())} END AS weather_description,
-  CASE WHEN event_type = 'purchase' THEN value / 100 END AS rain_1h
-FROM (
-  SELECT *, CAST((user_id + CASE WHEN user_id % {MOBILE_EVERY} = 0 THEN weekofyear(ts) ELSE 0 END) % {N_STATIONS} + 1 AS INTEGER) AS station
-  FROM events
-) e
-"""
