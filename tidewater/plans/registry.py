@@ -54,7 +54,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return replay(readings(spark, sf_dir))
+    return replay(raw_readings(spark, sf_dir), deduplicate=True)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewater.functions.geo import country_of
+from tidewater.functions.keys import surrogate_key
 from tidewater.operators import calendar, facts, merge, scd2
 from tidewater.operators.dedup import drop_duplicate_keys, latest_per_key, split_null_keys
 from tidewater.schemas import DEDUP_KEYS, TABLES
@@ -47,11 +48,17 @@ def empty_warehouse(spark: SparkSession) -> Warehouse:
     )
 
 
+DEDUP_ORDER = ("ingestion_time", "temp", "pressure", "humidity")
+
+
+def _dedup_order() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in DEDUP_ORDER]
+
+
 def dedup_batch(batch: DataFrame) -> DataFrame:
     """Within-batch de-duplication on (event_time, device); the earliest
     ingestion survives, remaining ties broken by the measured values."""
-    order = [F.col("ingestion_time").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ("temp", "pressure", "humidity")]]
-    return drop_duplicate_keys(batch, DEDUP_KEYS, order)
+    return drop_duplicate_keys(batch, DEDUP_KEYS, _dedup_order())
 
 
 def day_range_filter(batch: DataFrame, time_col: str = "event_time") -> Column:
@@ -106,39 +113,74 @@ def weekly_batch(time_col: str = "event_time") -> Column:
 
 
 def per_batch_states(readings: DataFrame, batch: Column) -> DataFrame:
-    """Latest reading per (device, batch) with its device and country state."""
+    """Latest reading per (device, batch) with its device and country state.
+
+    Ties on the event time are broken in de-duplication order, so the result
+    is the same whether or not ``readings`` were de-duplicated first -- the
+    state pass can then skip the de-duplication shuffle.
+    """
     r = readings.withColumn(BATCH_COL, batch)
-    latest = latest_per_key(r, ["iot_device_id", BATCH_COL], "event_time")
+    latest = latest_per_key(r, ["iot_device_id", BATCH_COL], "event_time", tie_break=_dedup_order())
     return latest.select(
         "iot_device_id", BATCH_COL, *scd2.DEVICE.tracked,
         country_of("latitude", "longitude").alias("_c"),
     ).select("iot_device_id", BATCH_COL, *scd2.DEVICE.tracked, "_c.*")
 
 
-def replay(readings: DataFrame, batch: Column | None = None, row_key_kind: str = "content") -> Warehouse:
+def batch_versions(states: DataFrame) -> DataFrame:
+    """(device, batch) -> device_sk, country_sk, country_code of the versions
+    current after that batch: both dimensions in one window pass over the
+    states (one shuffle by device; states are one row per device and batch)."""
+    key = "iot_device_id"
+    w = Window.partitionBy(key).orderBy(BATCH_COL)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.lag(F.col(BATCH_COL)).over(w).isNull()
+
+    def changed(tracked):
+        return first | scd2.any_changed([F.col(c) for c in tracked], [F.lag(F.col(c)).over(w) for c in tracked])
+
+    flagged = states.select(
+        key, BATCH_COL, "country_code",
+        changed(scd2.DEVICE.tracked).alias("_dev_changed"),
+        changed(scd2.COUNTRY.tracked).alias("_cty_changed"),
+    )
+    batch_ts = F.col(BATCH_COL).cast("timestamp")
+    dev_start = F.last(F.when(F.col("_dev_changed"), batch_ts), ignorenulls=True).over(upto)
+    # a struct is never NULL, so ignorenulls skips exactly the unchanged rows
+    cty_open = F.last(F.when(F.col("_cty_changed"), F.struct(batch_ts.alias("s"), F.col("country_code").alias("c"))),
+                      ignorenulls=True).over(upto)
+    v = flagged.select(key, BATCH_COL, dev_start.alias("_dev_start"), cty_open.alias("_cty"))
+    return v.select(
+        key, BATCH_COL,
+        surrogate_key(key, F.col("_dev_start").cast("string")).alias("device_sk"),
+        surrogate_key(key, F.col("_cty.c"), F.col("_cty.s").cast("string")).alias("country_sk"),
+        F.col("_cty.c").alias("country_code"),
+    )
+
+
+def replay(readings: DataFrame, batch: Column | None = None, row_key_kind: str = "content",
+           deduplicate: bool = False) -> Warehouse:
     """All tables for a stream replayed as consecutive batches.
 
     ``batch`` maps a reading to the instant its batch is merged (default:
-    weekly).  Readings must be de-duplicated already; staging is then the
-    readings themselves.
+    weekly).  With ``deduplicate`` the readings are raw and de-duplicated
+    here (earliest ingestion wins); otherwise they must be de-duplicated
+    already.  Rows with a NULL key are left out (the streaming job
+    quarantines them).  Staging is the de-duplicated readings.
+
+    Plan shape: per-(device, batch) states come from a partial top-1 before
+    their shuffle (a hot device is cut to one row per task), the version
+    table -- one row per device and batch -- from one window pass over them,
+    and the readings meet it in a single equi-join: broadcast by AQE when its
+    measured size allows, otherwise sort-merge with skew splitting.
     """
     batch = weekly_batch() if batch is None else batch
-    states = per_batch_states(readings, batch)
+    raw, _null_keys = split_null_keys(readings, DEDUP_KEYS)
+    clean = dedup_batch(raw) if deduplicate else raw
+    states = per_batch_states(raw, batch)
     dim_device = scd2.scd2_history(states.select("iot_device_id", BATCH_COL, *scd2.DEVICE.tracked), scd2.DEVICE, BATCH_COL)
     dim_country = scd2.scd2_history(states.select("iot_device_id", BATCH_COL, *scd2.COUNTRY.tracked), scd2.COUNTRY, BATCH_COL)
-
-    dev_ver = scd2.version_at_batch(
-        states.select("iot_device_id", BATCH_COL, *scd2.DEVICE.tracked), scd2.DEVICE, BATCH_COL
-    )
-    cty_ver = scd2.version_at_batch(
-        states.select("iot_device_id", BATCH_COL, *scd2.COUNTRY.tracked), scd2.COUNTRY, BATCH_COL,
-        carry=("country_code",),
-    )
-    resolved = (
-        readings.withColumn(BATCH_COL, batch)
-        .join(dev_ver, ["iot_device_id", BATCH_COL], "left")
-        .join(cty_ver, ["iot_device_id", BATCH_COL], "left")
-    )
+    resolved = clean.withColumn(BATCH_COL, batch).join(batch_versions(states), ["iot_device_id", BATCH_COL], "inner")
     fact = facts.fact_rows(resolved, row_key_kind)
-    dim_date = calendar.calendar_rows(readings)
-    return Warehouse(staging=readings, dim_date=dim_date, dim_device=dim_device, dim_country=dim_country, fact=fact)
+    dim_date = calendar.calendar_rows(clean)
+    return Warehouse(staging=clean, dim_date=dim_date, dim_device=dim_device, dim_country=dim_country, fact=fact)
