@@ -450,6 +450,37 @@ SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, {per_readin
 FROM m GROUP BY 1, 2, 3""",
         "stream_dedup": f"""WITH m AS ({MEASUREMENTS})
 SELECT DISTINCT event_time, iot_device_id, latitude, longitude, timezone FROM m""",
+    })
+    avg_cols = ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS avg_{c}" for c in
+        ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi", "clouds", "visibility", "rain_1h"))
+    sql.update({
+        "rollup_touched": _with_extra(f"""early AS (
+  SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, arg_max(country_code, event_time) AS country_code,
+    {avg_cols}
+  FROM f WHERE weekofyear(event_time) <= 3 GROUP BY 1, 2
+),
+touched AS (SELECT DISTINCT date_trunc('hour', event_time) AS hour_bucket, iot_device_id FROM f WHERE day(event_time) = 1),
+fresh AS (SELECT h.* FROM h JOIN touched t ON t.hour_bucket = h.hour_bucket AND t.iot_device_id = h.iot_device_id),
+merged AS (
+  SELECT * FROM early e WHERE NOT EXISTS (
+    SELECT 1 FROM fresh n WHERE n.hour_bucket = e.hour_bucket AND n.iot_device_id = e.iot_device_id)
+  UNION ALL SELECT * FROM fresh
+)""", f"SELECT {_hourly_select('merged')}"),
+        "rollup_by_country": _with(f"""SELECT hour_bucket, iot_device_id, country_code, """
+                                   + ", ".join(rnd(f"avg_{c}") + f" AS avg_{c}" for c in
+                                               ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi",
+                                                "clouds", "visibility", "rain_1h"))
+                                   + f""" FROM (
+  SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, country_code, {avg_cols}
+  FROM f GROUP BY 1, 2, 3)"""),
+        "panel_device_series_long": _with(" UNION ALL ".join(
+            f"SELECT event_time AS time, CAST(iot_device_id AS VARCHAR) AS device, '{m}' AS metric_name, "
+            f"{rnd(_METRIC_SQL[m])} AS value FROM f WHERE event_time >= (SELECT t FROM anchor) - INTERVAL 1 HOUR"
+            for m in ("temp", "humidity", "rain_1h", "wind_gust"))),
+        "panel_hourly_metric_by_country_avg": _with(f"""SELECT hour_bucket AS time, country_code AS metric,
+  {rnd('avg(avg_temp)')} AS value
+FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR GROUP BY 1, 2"""),
     })
     return sql
 

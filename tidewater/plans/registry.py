@@ -226,12 +226,27 @@ def q_rollup_hourly(spark, sf_dir):
 
 def q_upsert_hourly(spark, sf_dir):
     """A rollup computed 3 hours before the newest event, refreshed over the
-    trailing 2-hour window (J7, T9, T10): older partial hours keep their
-    stale values, recent hours are recomputed."""
-    f = fact(spark, sf_dir)
+    trailing 2-hour window of the stored fact table (J7, T9, T10): older
+    partial hours keep their stale values, recent hours are recomputed."""
+    f = _served(spark, sf_dir).read_with_day("fact_measurements")
     as_of = as_of_latest(f)
     stale = rollup.hourly_rollup(f.filter(F.col("event_time") < as_of - F.expr("INTERVAL 3 HOURS")))
-    return _round_doubles(rollup.refresh_hourly(stale, f, as_of))
+    return _round_doubles(rollup.refresh_hourly(stale, f.drop("event_time_date"), as_of))
+
+
+def q_rollup_touched(spark, sf_dir):
+    """Rollup of the first three weeks, then every (hour, device) touched by a
+    late batch -- the readings of the first day, re-sent -- recomputed however
+    old it is (X6)."""
+    f = _served(spark, sf_dir).read("fact_measurements")
+    early = rollup.hourly_rollup(f.filter(F.weekofyear("event_time") <= 3))
+    late_batch = f.filter(F.dayofmonth("event_time") == 1)
+    return _round_doubles(rollup.refresh_touched(early, f, late_batch))
+
+
+def q_rollup_by_country(spark, sf_dir):
+    """Three-key form: one row per (hour, device, country) (A1 as grouped by 1, 2, 3)."""
+    return _round_doubles(rollup.hourly_rollup_by_country(_served(spark, sf_dir).read("fact_measurements")))
 
 
 # --- serving panels --------------------------------------------------------------
@@ -337,6 +352,18 @@ def q_hourly_metric_by_country(metric, spark, sf_dir):
     return _round_doubles(panels.hourly_metric_by_country(h, metric, as_of))
 
 
+def q_device_series_long(spark, sf_dir):
+    """Several metrics per device in one pass, long format (P14 with unpivot)."""
+    f, as_of = _panel_fact(spark, sf_dir)
+    return _round_doubles(panels.device_series_long(f, ["temp", "humidity", "rain_1h", "wind_gust"], as_of))
+
+
+def q_hourly_metric_by_country_avg(spark, sf_dir):
+    """Q24's aggregated variant: one value per (hour, country)."""
+    h, as_of = _panel_hourly(spark, sf_dir)
+    return _round_doubles(panels.hourly_metric_by_country_avg(h, "temp", as_of))
+
+
 def q_country_overview(spark, sf_dir):
     f, as_of = _panel_fact(spark, sf_dir)
     return panels.country_overview(f, as_of)
@@ -611,6 +638,8 @@ def queries() -> dict[str, Query]:
         "fact_load": q_fact_load,
         "fact_load_incremental": q_fact_load_incremental,
         "upsert_hourly": q_upsert_hourly,
+        "rollup_touched": q_rollup_touched,
+        "rollup_by_country": q_rollup_by_country,
     }
     for m in SERIES_METRICS:
         q[f"panel_series_{m}"] = partial(q_device_series, m)
@@ -632,6 +661,8 @@ def queries() -> dict[str, Query]:
         "panel_metric_by_minute_wind_gust": partial(q_metric_by_minute, "wind_gust"),
         "panel_hourly_metric_by_country_rain_1h": partial(q_hourly_metric_by_country, "rain_1h"),
         "panel_hourly_metric_by_country_wind_gust": partial(q_hourly_metric_by_country, "wind_gust"),
+        "panel_device_series_long": q_device_series_long,
+        "panel_hourly_metric_by_country_avg": q_hourly_metric_by_country_avg,
         "panel_country_overview": q_country_overview,
         "panel_country_overview_selected": q_country_overview_selected,
         "panel_country_picker": q_country_picker,
