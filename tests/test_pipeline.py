@@ -97,3 +97,24 @@ def test_compaction_reduces_files_keeps_rows(spark, tmp_dir):
     assert compact_recent(store, "fact_measurements", newest.date(), days=2) >= 1
     assert store.read("fact_measurements").count() == before_rows
     assert store.file_count("fact_measurements") < before_files
+
+
+def test_continuous_landing_trigger_and_views(spark, tmp_dir):
+    readings = telemetry.load_measurements(spark, SF)
+    publish_records(envelope.to_kafka_records(readings, 3), path=f"{tmp_dir}/broker")
+    q = start_landing(record_file_source(spark, f"{tmp_dir}/broker", max_files_per_trigger=1), f"{tmp_dir}/raw",
+                      f"{tmp_dir}/ck-land", processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    from tidewater.schemas import RAW_FILE
+
+    landed = spark.read.schema(RAW_FILE).json(f"{tmp_dir}/raw")
+    assert landed.count() == readings.count()
+    assert envelope.flatten(landed).exceptAll(readings).count() == 0
+
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    store.append("staging_events", readings)
+    store.publish_views()
+    assert spark.sql("SELECT count(*) AS n FROM staging_events").first().n == readings.count()

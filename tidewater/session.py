@@ -43,6 +43,9 @@ def build_session(
         "spark.sql.parquet.compression.codec": PARQUET_CODEC,
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # a long-running job checkpoints dimensions every micro-batch; drop
+        # checkpoint files once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
