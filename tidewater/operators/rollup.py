@@ -79,10 +79,16 @@ def touched_hours(batch: DataFrame) -> DataFrame:
     return batch.select(hour_bucket("event_time").alias("hour_bucket"), "iot_device_id").distinct()
 
 
-def refresh_touched(existing: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
-    """Upsert the rollup for every (hour, device) the batch touched."""
+def refresh_source(fact: DataFrame, batch: DataFrame) -> DataFrame:
+    """Recomputed rollup rows for exactly the (hour, device) pairs a batch
+    touched (a semi join on the distinct touched pairs)."""
     hours = touched_hours(batch)
     src = fact.withColumn("_hb", hour_bucket("event_time")).join(
         hours.withColumnRenamed("hour_bucket", "_hb"), ["_hb", "iot_device_id"], "left_semi"
     ).drop("_hb")
-    return upsert(existing, hourly_rollup(src), HOURLY_KEYS)
+    return hourly_rollup(src)
+
+
+def refresh_touched(existing: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
+    """Upsert the rollup for every (hour, device) the batch touched."""
+    return upsert(existing, refresh_source(fact, batch), HOURLY_KEYS)

@@ -61,11 +61,16 @@ def dedup_batch(batch: DataFrame) -> DataFrame:
     return drop_duplicate_keys(batch, DEDUP_KEYS, _dedup_order())
 
 
-def day_range_filter(batch: DataFrame, time_col: str = "event_time") -> Column:
-    """``time_col`` within the batch's [first day, last day + 1) -- two
-    scalar subqueries, so the target scan is pruned to the touched days."""
+def day_bounds(batch: DataFrame, time_col: str = "event_time") -> tuple[Column, Column]:
+    """First and last calendar day of a batch, as two scalar subqueries."""
     lo = batch.select(F.min(F.to_date(time_col))).scalar()
     hi = batch.select(F.max(F.to_date(time_col))).scalar()
+    return lo, hi
+
+
+def day_range_filter(batch: DataFrame, time_col: str = "event_time") -> Column:
+    """``time_col`` within the batch's [first day, last day + 1)."""
+    lo, hi = day_bounds(batch, time_col)
     return (F.col(time_col) >= lo.cast("timestamp")) & (F.col(time_col) < F.date_add(hi, 1).cast("timestamp"))
 
 

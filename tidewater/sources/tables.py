@@ -13,7 +13,7 @@ never reads the files it is replacing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.schemas import TABLES
 from tidewater.session import PARQUET_CODEC
@@ -98,6 +98,17 @@ class TableStore:
             cols.append(F.col(col).cast("date").alias(col))
         return df.select(*cols)
 
+    def read_days(self, name: str, first: Column, last: Column) -> DataFrame:
+        """Only the day partitions ``first`` .. ``last`` (inclusive), declared
+        columns.  The bounds may be scalar subqueries: Spark prunes the day
+        directories at run time (``PartitionFilters``), so a micro-batch
+        never lists the history outside the days it covers."""
+        col = day_column(name)
+        if col is None:
+            raise ValueError(f"{name} is not day-partitioned")
+        days = self.read_with_day(name).filter(F.col(col).between(first, last))
+        return days.select(*TABLES[name][0].fieldNames())
+
     # -- write -----------------------------------------------------------------
 
     def _prepare(self, df: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,8 @@ Per micro-batch (``WarehouseJob.process``, the ``foreachBatch`` body):
 
 1. quarantine rows with a NULL key, de-duplicate on (event_time, device);
 2. persist the batch, then stop early if it is empty;
-3. staging: insert rows not yet present (target pruned to the batch's days);
+3. staging: insert rows not yet present (target read from the batch's day
+   partitions only);
 4. dim_date: append dates not yet present;
 5. dim_iot_device, dim_country: SCD2 merge with one literal batch instant;
 6. fact: resolve keys against the new current rows, skip rows already
@@ -29,7 +30,7 @@ from tidewater.operators import calendar, facts, rollup, scd2
 from tidewater.operators.compaction import compact_recent
 from tidewater.operators.dedup import split_null_keys
 from tidewater.operators.merge import rows_to_insert
-from tidewater.plans.warehouse import day_range_filter, dedup_batch
+from tidewater.plans.warehouse import day_bounds, dedup_batch
 from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS
 from tidewater.sources.tables import TableStore
 from tidewater.streaming.staging import start_staging
@@ -68,10 +69,11 @@ class WarehouseJob:
 
     def _merge(self, deduped: DataFrame, batch_ts: dt.datetime) -> None:
         st = self.store
-        touched = day_range_filter(deduped)
+        first, last = day_bounds(deduped)
 
         def staging() -> None:
-            st.append("staging_events", rows_to_insert(st.read("staging_events"), deduped, DEDUP_KEYS, touched))
+            target = st.read_days("staging_events", first, last)
+            st.append("staging_events", rows_to_insert(target, deduped, DEDUP_KEYS))
 
         def dates() -> None:
             st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
@@ -92,34 +94,34 @@ class WarehouseJob:
                 f.result()
 
         new_facts = facts.load_fact(deduped, st.read("dim_iot_device"), st.read("dim_country"), self.row_key_kind)
-        st.append("fact_measurements", facts.not_yet_loaded(new_facts, st.read("fact_measurements"), touched))
+        loaded = st.read_days("fact_measurements", first, last)
+        st.append("fact_measurements", facts.not_yet_loaded(new_facts, loaded))
 
     # -- after the stream ------------------------------------------------------
 
     def refresh_rollup(self, as_of: dt.datetime | None = None, lookback: str = rollup.DEFAULT_LOOKBACK) -> None:
         """Recompute hours from ``trunc_hour(as_of - lookback)`` on and upsert
-        them; only the day partitions holding those hours are rewritten."""
+        them; only the fact days from that hour on are read and only the
+        rollup days holding those hours are rewritten."""
         st = self.store
         as_of_col = F.lit(as_of or self.clock()).cast("timestamp")
         start = rollup.window_start(as_of_col, lookback)
-        fresh = rollup.hourly_rollup(st.read("fact_measurements"), start)
+        recent = st.read_with_day("fact_measurements").filter(F.col("event_time_date") >= F.to_date(start))
+        fresh = rollup.hourly_rollup(recent.drop("event_time_date"), start)
         self._upsert_hourly(fresh)
 
     def refresh_touched(self, batch: DataFrame) -> None:
-        """Recompute every (hour, device) a batch wrote, however old."""
+        """Recompute every (hour, device) a batch wrote, however old; reads
+        only the fact days the batch covers."""
         st = self.store
-        hours = rollup.touched_hours(batch)
-        fact = st.read("fact_measurements").withColumn("_hb", F.date_trunc("hour", "event_time"))
-        src = fact.join(hours.withColumnRenamed("hour_bucket", "_hb"), ["_hb", "iot_device_id"], "left_semi").drop("_hb")
-        self._upsert_hourly(rollup.hourly_rollup(src))
+        first, last = day_bounds(batch)
+        self._upsert_hourly(rollup.refresh_source(st.read_days("fact_measurements", first, last), batch))
 
     def _upsert_hourly(self, fresh: DataFrame) -> None:
         st = self.store
         fresh = fresh.checkpoint()
-        days = fresh.select(F.to_date("hour_bucket").alias("d")).distinct()
-        existing = st.read_with_day("fact_hourly_agg").join(
-            days.withColumnRenamed("d", "hour_bucket_date"), "hour_bucket_date", "left_semi"
-        ).drop("hour_bucket_date")
+        first, last = day_bounds(fresh, "hour_bucket")
+        existing = st.read_days("fact_hourly_agg", first, last)
         kept = existing.join(fresh.select(*HOURLY_KEYS), HOURLY_KEYS, "left_anti")
         st.overwrite_days("fact_hourly_agg", kept.unionByName(fresh), materialize=True)
 
