@@ -69,7 +69,10 @@ class WarehouseJob:
 
     def _merge(self, deduped: DataFrame, batch_ts: dt.datetime) -> None:
         st = self.store
-        first, last = day_bounds(deduped)
+        # two scalars, collected once: literal day bounds prune the target
+        # partitions statically in every plan below
+        lo, hi = deduped.select(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+        first, last = F.lit(lo), F.lit(hi)
 
         def staging() -> None:
             target = st.read_days("staging_events", first, last)
