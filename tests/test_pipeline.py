@@ -118,3 +118,31 @@ def test_continuous_landing_trigger_and_views(spark, tmp_dir):
     store.append("staging_events", readings)
     store.publish_views()
     assert spark.sql("SELECT count(*) AS n FROM staging_events").first().n == readings.count()
+
+
+def test_many_micro_batches_keep_invariants(spark, tmp_dir):
+    readings = telemetry.load_measurements(spark, SF)
+    publish_records(envelope.to_kafka_records(readings, 3).repartition(6), path=f"{tmp_dir}/broker")
+    q = start_landing(record_file_source(spark, f"{tmp_dir}/broker"), f"{tmp_dir}/raw", f"{tmp_dir}/ck-land",
+                      available_now=True)
+    q.awaitTermination()
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    newest = readings.agg(F.max("event_time")).first()[0]
+    job = run(spark, f"{tmp_dir}/raw", store, f"{tmp_dir}/ck", as_of=newest, clock=_clock(),
+              max_files_per_trigger=60)
+    assert job.batches > 1
+    n = readings.select("event_time", "iot_device_id").distinct().count()
+    fact = store.read("fact_measurements")
+    assert fact.count() == n and fact.select("event_time", "iot_device_id").distinct().count() == n
+    for name in ("dim_iot_device", "dim_country"):
+        dim = store.read(name)
+        assert dim.filter("is_current").groupBy("iot_device_id").count().filter("count > 1").count() == 0
+        from pyspark.sql import Window
+
+        w = Window.partitionBy("iot_device_id").orderBy("effective_start")
+        gaps = dim.withColumn("nxt", F.lead("effective_start").over(w)).filter(
+            F.col("nxt").isNotNull() & ~F.col("effective_end").eqNullSafe(F.col("nxt")))
+        assert gaps.count() == 0
+    # every fact row points at a version that existed when its batch was merged
+    dev = store.read("dim_iot_device").select("device_sk")
+    assert fact.join(dev, "device_sk", "left_anti").count() == 0

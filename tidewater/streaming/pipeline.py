@@ -135,12 +135,13 @@ class WarehouseJob:
 
 
 def run(spark: SparkSession, raw_path: str, store: TableStore, checkpoint: str,
-        as_of: dt.datetime | None = None, **job_args) -> WarehouseJob:
+        as_of: dt.datetime | None = None, max_files_per_trigger: int | None = None, **job_args) -> WarehouseJob:
     """Drain the raw zone through the warehouse job, then finish (rollup and
     compaction).  The fact table exists before the stream starts, so a run
     with no new files still succeeds."""
     job = WarehouseJob(spark, store, **job_args)
-    query = start_staging(spark, raw_path, checkpoint, job.process, available_now=True)
+    query = start_staging(spark, raw_path, checkpoint, job.process, available_now=True,
+                          max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination()
     job.finish(as_of)
     return job
