@@ -87,3 +87,22 @@ def test_incremental_equals_bulk_on_test_data(spark):
     _invariants(dev)
     _invariants(cty)
     assert dev.filter(~F.col("is_current")).count() > 0  # mobile devices produced history
+
+
+def test_event_time_versions_ignore_late_older_batches(spark):
+    def stage(rows):
+        df = spark.createDataFrame(rows, "iot_device_id int, latitude double, longitude double, timezone string, "
+                                         "_state_time timestamp")
+        return scd2.stage_versions(df, scd2.DEVICE, effective_from="event_time")
+
+    dim = spark.createDataFrame([], DIM_DEVICE)
+    dim = scd2.scd2_merge(dim, stage([(1, 1.0, 1.0, "A", T2)]), scd2.DEVICE, ignore_older=True)
+    # a late batch carrying an older position must not replace the newer one
+    dim = scd2.scd2_merge(dim, stage([(1, 9.0, 9.0, "Z", T1)]), scd2.DEVICE, ignore_older=True)
+    rows = dim.collect()
+    assert len(rows) == 1 and rows[0].latitude == 1.0 and rows[0].effective_start == T2
+    later = T2 + dt.timedelta(hours=1)
+    dim = scd2.scd2_merge(dim, stage([(1, 2.0, 2.0, "B", later)]), scd2.DEVICE, ignore_older=True)
+    cur = dim.filter("is_current").first()
+    assert cur.latitude == 2.0 and cur.effective_start == later
+    assert dim.filter(~F.col("is_current")).first().effective_end == later

@@ -76,22 +76,39 @@ def _ts(batch_ts) -> Column:
 # staging: one row per key from a batch
 
 
-def device_states(batch: DataFrame, time_col: str = "event_time") -> DataFrame:
-    """Latest reading per device: key + tracked device attributes."""
+def device_states(batch: DataFrame, time_col: str = "event_time", keep_time: bool = False) -> DataFrame:
+    """Latest reading per device: key + tracked device attributes (+ its
+    time as ``_state_time`` with ``keep_time``)."""
     latest = latest_per_key(batch, [DEVICE.key], time_col)
-    return latest.select(DEVICE.key, *DEVICE.tracked)
+    extra = [F.col(time_col).cast("timestamp").alias("_state_time")] if keep_time else []
+    return latest.select(DEVICE.key, *DEVICE.tracked, *extra)
 
 
-def country_states(batch: DataFrame, time_col: str = "event_time", boxes=None) -> DataFrame:
+def country_states(batch: DataFrame, time_col: str = "event_time", boxes=None, keep_time: bool = False) -> DataFrame:
     """Latest reading per device resolved to its country (native lookup)."""
     latest = latest_per_key(batch, [COUNTRY.key], time_col)
     c = country_of("latitude", "longitude") if boxes is None else country_of("latitude", "longitude", boxes)
-    return latest.select(COUNTRY.key, c.alias("_c")).select(COUNTRY.key, "_c.*")
+    extra = ["_state_time"] if keep_time else []
+    return latest.select(
+        COUNTRY.key, c.alias("_c"), F.col(time_col).cast("timestamp").alias("_state_time")
+    ).select(COUNTRY.key, "_c.*", *extra)
 
 
-def stage_versions(states: DataFrame, spec: Scd2Spec, batch_ts) -> DataFrame:
-    """Turn one-row-per-key states into candidate dimension rows."""
-    start = _ts(batch_ts)
+def stage_versions(states: DataFrame, spec: Scd2Spec, batch_ts=None, effective_from: str = "batch") -> DataFrame:
+    """Turn one-row-per-key states into candidate dimension rows.
+
+    ``effective_from="batch"`` (default): every version starts at the batch
+    instant ``batch_ts`` -- arrival order.  ``"event_time"``: a version starts
+    at the time of the reading that produced it (``states`` from
+    ``device_states(..., keep_time=True)``), so a late batch is placed where
+    it belongs in time; pair it with ``scd2_merge(..., ignore_older=True)``.
+    """
+    if effective_from == "event_time":
+        start = F.col("_state_time")
+    elif effective_from == "batch":
+        start = _ts(batch_ts)
+    else:
+        raise ValueError(f"effective_from must be 'batch' or 'event_time', not {effective_from!r}")
     return (
         states.withColumn(spec.start, start)
         .withColumn(spec.sk_col, _sk(spec, F.col(spec.start)))
@@ -105,13 +122,20 @@ def stage_versions(states: DataFrame, spec: Scd2Spec, batch_ts) -> DataFrame:
 # incremental merge
 
 
-def scd2_merge(dim: DataFrame, stage: DataFrame, spec: Scd2Spec) -> DataFrame:
+def scd2_merge(dim: DataFrame, stage: DataFrame, spec: Scd2Spec, ignore_older: bool = False) -> DataFrame:
     """New dimension state after merging one staged batch (see module doc).
 
-    ``stage`` must hold one row per key (``stage_versions`` output).
+    ``stage`` must hold one row per key (``stage_versions`` output).  With
+    ``ignore_older`` a staged row that does not start after the key's current
+    version is ignored, so a late batch cannot replace a newer state.
     """
     cur = dim.filter(F.col(spec.current) == F.lit(True))
     history = dim.filter(~F.coalesce(F.col(spec.current), F.lit(False)))
+    if ignore_older:
+        newer = stage.alias("s").join(
+            cur.select(spec.key, F.col(spec.start).alias("_cur_start")), spec.key, "left"
+        ).filter(F.col("_cur_start").isNull() | (F.col(spec.start) > F.col("_cur_start")))
+        stage = newer.select(*spec.columns)
     s = stage.select(
         spec.key,
         F.col(spec.start).alias("_s_start"),

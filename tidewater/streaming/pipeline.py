@@ -42,7 +42,13 @@ def _utc_now() -> dt.datetime:
 
 class WarehouseJob:
     def __init__(self, spark: SparkSession, store: TableStore, row_key_kind: str = "uuid",
-                 clock: Callable[[], dt.datetime] = _utc_now, quarantine: str | None = None):
+                 clock: Callable[[], dt.datetime] = _utc_now, quarantine: str | None = None,
+                 effective_from: str = "batch"):
+        """``effective_from="batch"`` versions dimensions in arrival order (a
+        version starts at the batch instant); ``"event_time"`` starts a version
+        at its reading's time and ignores late states older than the current
+        version."""
+        self.effective_from = effective_from
         self.spark = spark
         self.store = store
         self.row_key_kind = row_key_kind
@@ -81,13 +87,19 @@ class WarehouseJob:
         def dates() -> None:
             st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
 
+        by_time = self.effective_from == "event_time"
+
         def devices() -> None:
-            stage = scd2.stage_versions(scd2.device_states(deduped), scd2.DEVICE, batch_ts)
-            st.overwrite("dim_iot_device", scd2.scd2_merge(st.read("dim_iot_device"), stage, scd2.DEVICE))
+            stage = scd2.stage_versions(scd2.device_states(deduped, keep_time=by_time), scd2.DEVICE, batch_ts,
+                                        self.effective_from)
+            merged = scd2.scd2_merge(st.read("dim_iot_device"), stage, scd2.DEVICE, ignore_older=by_time)
+            st.overwrite("dim_iot_device", merged)
 
         def countries() -> None:
-            stage = scd2.stage_versions(scd2.country_states(deduped), scd2.COUNTRY, batch_ts)
-            st.overwrite("dim_country", scd2.scd2_merge(st.read("dim_country"), stage, scd2.COUNTRY))
+            stage = scd2.stage_versions(scd2.country_states(deduped, keep_time=by_time), scd2.COUNTRY, batch_ts,
+                                        self.effective_from)
+            merged = scd2.scd2_merge(st.read("dim_country"), stage, scd2.COUNTRY, ignore_older=by_time)
+            st.overwrite("dim_country", merged)
 
         # The four merges read only the persisted batch and their own table,
         # so they run as concurrent Spark jobs; the fact load needs both new
