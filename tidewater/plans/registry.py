@@ -66,7 +66,14 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_of_latest(fact_df: DataFrame) -> Column:
-    """Anchor 'now' at the newest fact (a scalar subquery, no cross join)."""
+    """Anchor 'now' at the newest fact (a scalar subquery, no cross join).
+
+    On a stored table with its day column the newest day is found first and
+    only that day partition is read for the newest time.
+    """
+    if "event_time_date" in fact_df.columns:
+        last_day = fact_df.select(F.max("event_time_date")).scalar()
+        return fact_df.filter(F.col("event_time_date") == last_day).select(F.max("event_time")).scalar()
     return fact_df.select(F.max("event_time")).scalar()
 
 
@@ -277,7 +284,7 @@ def _panel_fact(spark, sf_dir):
 
 def _panel_hourly(spark, sf_dir):
     store = _served(spark, sf_dir)
-    return store.read_with_day("fact_hourly_agg"), as_of_latest(store.read("fact_measurements"))
+    return store.read_with_day("fact_hourly_agg"), as_of_latest(store.read_with_day("fact_measurements"))
 
 
 def q_device_series(metric, spark, sf_dir):

@@ -51,8 +51,9 @@ def upsert_into_path(spark: SparkSession, path: str, updates: DataFrame, keys: S
     day_col = f"{day_source}_date"
     full = T.StructType(schema.fields + [T.StructField(day_col, T.DateType(), True)])
     existing = spark.read.schema(full).parquet(path) if _exists(spark, path) else spark.createDataFrame([], full)
-    days = updates.select(F.to_date(day_source).alias(day_col)).distinct()
-    current = existing.join(days, day_col, "left_semi").drop(day_col)
+    # two collected scalars: the rewritten days, pruned statically on read
+    first, last = updates.select(F.min(F.to_date(day_source)), F.max(F.to_date(day_source))).first()
+    current = existing.filter(F.col(day_col).between(F.lit(first), F.lit(last))).drop(day_col)
     merged = upsert(current, updates.select(*schema.fieldNames()), keys).checkpoint()
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
