@@ -3,7 +3,7 @@
 Per micro-batch (``WarehouseJob.process``, the ``foreachBatch`` body):
 
 1. quarantine rows with a NULL key, de-duplicate on (event_time, device);
-2. persist the batch, then stop early if it is empty;
+2. persist the batch; one job finds its day range, and an empty batch stops;
 3. staging: insert rows not yet present (target read from the batch's day
    partitions only);
 4. dim_date: append dates not yet present;
@@ -66,19 +66,19 @@ class WarehouseJob:
             bad.write.mode("append").parquet(self.quarantine)
         deduped = dedup_batch(good).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if deduped.isEmpty():
+            # one job gives both the emptiness test and the batch's day
+            # bounds (two scalars); literal bounds prune target partitions
+            # statically in every plan of the merge
+            lo, hi = deduped.select(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+            if lo is None:
                 return
-            self._merge(deduped, batch_ts)
+            self._merge(deduped, batch_ts, F.lit(lo), F.lit(hi))
             self.batches += 1
         finally:
             deduped.unpersist()
 
-    def _merge(self, deduped: DataFrame, batch_ts: dt.datetime) -> None:
+    def _merge(self, deduped: DataFrame, batch_ts: dt.datetime, first, last) -> None:
         st = self.store
-        # two scalars, collected once: literal day bounds prune the target
-        # partitions statically in every plan below
-        lo, hi = deduped.select(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
-        first, last = F.lit(lo), F.lit(hi)
 
         def staging() -> None:
             target = st.read_days("staging_events", first, last)
