@@ -66,3 +66,17 @@ def test_timezone_bands_half_open(spark):
     assert got == [geo.python_timezone(x) for x in lons]
     assert got[0] == "America/Honolulu" and got[1] == "America/Los_Angeles" and got[4] == "Europe/Berlin"
     assert got[6] == "UTC" and got[7] == "UTC"
+
+
+def test_grid_join_path_matches_expression_form(spark):
+    rnd = random.Random(5)
+    pts = [(i, rnd.uniform(-60, 85), rnd.uniform(-180, 180)) for i in range(400)]
+    for j, b in enumerate(geo.COUNTRY_BOXES):  # exact edges, incl. negative coordinates
+        pts += [(1000 + 3 * j, b.lat_min, b.lon_min), (1001 + 3 * j, b.lat_max, b.lon_max),
+                (1002 + 3 * j, b.lat_max, b.lon_min)]
+    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    grid = {r.id: (r.country_code, r.city) for r in
+            lookup_boxes(df, geo.boxes_frame(spark), broadcast_rows=0, grid=7.5).collect()}
+    native = {r.id: (r.c.country_code, r.c.city) for r in
+              df.select("id", geo.country_of("latitude", "longitude").alias("c")).collect()}
+    assert grid == native

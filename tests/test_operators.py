@@ -114,3 +114,10 @@ def test_time_helpers(spark):
         timefn.parse_iso(F.lit("2024-01-05T10:00:00Z")).alias("p"), timefn.parse_iso(F.lit("nope")).alias("bad"),
     ).first()
     assert r.iso == "2024-01-05T10:00:00Z" and r.k == 20240105 and r.p == r.t and r.bad is None
+
+
+def test_rows_without_match_is_not_exists(spark):
+    s = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    t = spark.createDataFrame([(1, True), (2, False)], "k int, is_current boolean")
+    got = merge.rows_without_match(s, t, ["k"], F.col("is_current"))
+    assert sorted(r.k for r in got.collect()) == [2, 3]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, functions as F
 
 ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -61,14 +59,3 @@ def minute_bucket(ts: Column | str) -> Column:
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Whole elapsed seconds from ``start`` to ``end`` (truncated toward zero)."""
     return F.timestamp_diff("SECOND", _c(start), _c(end))
-
-
-def interval(spec: str) -> Column:
-    """``'1 hour'`` / ``'5 minutes'`` -> interval literal column."""
-    return F.expr(f"INTERVAL {spec}")
-
-
-def as_of_literal(value: _dt.datetime | str) -> Column:
-    if isinstance(value, _dt.datetime):
-        return F.lit(value).cast("timestamp")
-    return F.lit(value).cast("timestamp")

@@ -18,8 +18,6 @@ Points matching no box, or with a NULL coordinate, get the fallback values.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.functions.geo import UNKNOWN_COUNTRY
@@ -58,21 +56,14 @@ def match_first(coords: DataFrame, boxes: DataFrame, lat: str, lon: str,
 
 
 def lookup_boxes(points: DataFrame, boxes: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                 fallback=UNKNOWN_COUNTRY) -> DataFrame:
+                 fallback=UNKNOWN_COUNTRY, broadcast_rows: int = BROADCAST_ROWS,
+                 grid: float = GRID_DEGREES) -> DataFrame:
     """``points`` plus the attributes of the first box containing each point."""
     coords = points.select(lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).distinct()
-    first = match_first(coords, boxes, lat, lon)
+    first = match_first(coords, boxes, lat, lon, broadcast_rows, grid)
     attrs = first.join(boxes.select("ord", *ATTRS), "ord").drop("ord")
     joined = points.join(attrs, [lat, lon], "left")
     return joined.select(
         *[c for c in points.columns],
         *[F.coalesce(F.col(a), F.lit(v)).alias(a) for a, v in zip(ATTRS, fallback)],
     )
-
-
-def grid_cells_covered(lat_min: float, lat_max: float, lon_min: float, lon_max: float,
-                       grid: float = GRID_DEGREES) -> int:
-    """How many grid cells a box spans (sizing aid for the exploded side)."""
-    ny = math.floor(lat_max / grid) - math.floor(lat_min / grid) + 1
-    nx = math.floor(lon_max / grid) - math.floor(lon_min / grid) + 1
-    return ny * nx
