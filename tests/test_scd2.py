@@ -106,3 +106,11 @@ def test_event_time_versions_ignore_late_older_batches(spark):
     cur = dim.filter("is_current").first()
     assert cur.latitude == 2.0 and cur.effective_start == later
     assert dim.filter(~F.col("is_current")).first().effective_end == later
+
+
+def test_changing_keys(spark):
+    dim = _apply(spark, [([(1, 1.0, 1.0, "A"), (2, 2.0, 2.0, None)], T1)])
+    stage = _stage(spark, [(1, 1.0, 1.0, "A"), (2, 2.0, 2.0, "B"), (3, 3.0, 3.0, "C")], T2)
+    assert sorted(r.iot_device_id for r in scd2.changing_keys(dim, stage, scd2.DEVICE).collect()) == [2, 3]
+    same = _stage(spark, [(1, 1.0, 1.0, "A"), (2, 2.0, 2.0, None)], T2)
+    assert scd2.changing_keys(dim, same, scd2.DEVICE).isEmpty()

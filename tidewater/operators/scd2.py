@@ -158,6 +158,18 @@ def scd2_merge(dim: DataFrame, stage: DataFrame, spec: Scd2Spec, ignore_older: b
     return history.select(*spec.columns).unionByName(updated).unionByName(inserted)
 
 
+def changing_keys(dim: DataFrame, stage: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Staged keys that would open a version: no current row yet, or a
+    tracked attribute differs (NULL-safe).  Empty means the merge is a no-op,
+    so a writer can skip rewriting the dimension."""
+    cur = dim.filter(F.col(spec.current) == F.lit(True)).select(
+        spec.key, F.lit(True).alias("_has_current"), *[F.col(c).alias(f"_t_{c}") for c in spec.tracked]
+    )
+    j = stage.select(spec.key, *spec.tracked).join(cur, spec.key, "left")
+    differs = any_changed([F.col(c) for c in spec.tracked], [F.col(f"_t_{c}") for c in spec.tracked])
+    return j.filter(F.col("_has_current").isNull() | differs).select(spec.key)
+
+
 # ---------------------------------------------------------------------------
 # bulk history
 

@@ -89,17 +89,18 @@ class WarehouseJob:
 
         by_time = self.effective_from == "event_time"
 
+        def merge_dimension(name: str, spec: scd2.Scd2Spec, states: DataFrame) -> None:
+            stage = scd2.stage_versions(states, spec, batch_ts, self.effective_from)
+            dim = st.read(name)
+            if not by_time and scd2.changing_keys(dim, stage, spec).isEmpty():
+                return  # nothing opens or closes: skip rewriting the dimension
+            st.overwrite(name, scd2.scd2_merge(dim, stage, spec, ignore_older=by_time))
+
         def devices() -> None:
-            stage = scd2.stage_versions(scd2.device_states(deduped, keep_time=by_time), scd2.DEVICE, batch_ts,
-                                        self.effective_from)
-            merged = scd2.scd2_merge(st.read("dim_iot_device"), stage, scd2.DEVICE, ignore_older=by_time)
-            st.overwrite("dim_iot_device", merged)
+            merge_dimension("dim_iot_device", scd2.DEVICE, scd2.device_states(deduped, keep_time=by_time))
 
         def countries() -> None:
-            stage = scd2.stage_versions(scd2.country_states(deduped, keep_time=by_time), scd2.COUNTRY, batch_ts,
-                                        self.effective_from)
-            merged = scd2.scd2_merge(st.read("dim_country"), stage, scd2.COUNTRY, ignore_older=by_time)
-            st.overwrite("dim_country", merged)
+            merge_dimension("dim_country", scd2.COUNTRY, scd2.country_states(deduped, keep_time=by_time))
 
         # The four merges read only the persisted batch and their own table,
         # so they run as concurrent Spark jobs; the fact load needs both new
