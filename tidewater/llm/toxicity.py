@@ -22,6 +22,7 @@ rows count once each; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import text_of
+from tidewater.llm.common import prepare_checkpoints, text_of
 
 #: Names of groups by family; the first word of each is neutral.
 IDENTITY_TERMS = (
@@ -99,7 +100,7 @@ class Model:
             own = known.get(word)
             if own is None:
                 own = tuple(f for f in word_features(word, self.prefixes) if f in weights)
-                if len(known) < 200_000 and len(word) <= 64:
+                if len(known) < 100_000 and len(word) <= 64:
                     known[word] = own
             if own:
                 found.update(own)
@@ -107,7 +108,7 @@ class Model:
         return 1 / (1 + math.exp(-z)) if z >= 0 else 1 - 1 / (1 + math.exp(z))
 
     def score(self, text: Column) -> Column:
-        known: dict[str, tuple[str, ...]] = {}
+        known: dict[str, tuple[str, ...]] = {}  # at most 100 000 short words for each task
 
         def score_all(texts: pa.Array) -> pa.Array:
             return pa.array([self.score_text(t.as_py() or "", known) for t in texts], pa.float64())
@@ -120,7 +121,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, rule: FitRule) -> DataFrame:
     """(doc_id, text, y) of the labelled rows to fit on, ``rule.max_rows`` at most."""
     chosen = (
         labels.where(in_training(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", (F.col("toxic") > 0).cast("int").alias("y"))
+        .select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
         .limit(rule.max_rows)
     )
@@ -130,68 +131,79 @@ def sample_rows(docs: DataFrame, labels: DataFrame, rule: FitRule) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, rule: FitRule = FitRule()) -> Model:
     """Learn the model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
-    prefixes = rule.prefixes
+    prepare_checkpoints(docs.sparkSession)
+    rows = sample_rows(docs, labels, rule).checkpoint()  # read three times, max_rows rows
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    if len(n) < 2:
+        share = (n.get(1, 0) + 1) / (sum(n.values()) + 2)
+        return Model(math.log(share / (1 - share)), {}, rule.prefixes)
+    terms = {w for family in IDENTITY_TERMS for w in family}
+    names = sorted(terms.union(select_features(rows, n, rule)))
+    rows_of, pairs = training_rows(rows, names, rule)
+    weights, bias = fit_weights(
+        [x for _, x in rows_of], np.array([y for y, _ in rows_of], float), pairs, len(names), rule
+    )
+    return Model(bias, {f: float(w) for f, w in zip(names, weights, strict=True) if w != 0.0}, rule.prefixes)
 
-    def list_features(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(features_of(t.as_py(), prefixes)) for t in texts], pa.list_(pa.string()))
 
-    def swap(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                [sorted({f for w in c for f in word_features(w, prefixes)}) for c in counterfactuals(t.as_py())]
-                for t in texts
-            ],
-            pa.list_(pa.list_(pa.string())),
+def select_features(rows: DataFrame, n: dict[int, int], rule: FitRule) -> list[str]:
+    """The features whose share among the two labels differs most, in standard errors."""
+    prefixes = rule.prefixes
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, list[int]] = {}
+        for batch in batches:
+            for text, y in zip(batch["text"], batch["y"].to_pylist(), strict=True):
+                for f in features_of(text.as_py(), prefixes):
+                    totals.setdefault(f, [0, 0])[y] += 1
+        yield pa.RecordBatch.from_pydict(
+            {
+                "feature": pa.array(totals.keys(), pa.string()),
+                "in0": pa.array((t[0] for t in totals.values()), pa.int64()),
+                "in1": pa.array((t[1] for t in totals.values()), pa.int64()),
+            }
         )
 
-    for udf in (list_features, swap):
-        udf.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    rows = sample_rows(docs, labels, rule)
-    listed = rows.select("doc_id", "y", F.arrow_udf(list_features, "array<string>")("text").alias("features"))
-    totals = listed.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()  # two rows
-    n = {r["y"]: r["n"] for r in totals}
-    if len(n) < 2:
-        share = (n.get(1, 0) + 1) / (sum(n.values()) + 2)
-        return Model(math.log(share / (1 - share)), {}, prefixes)
-    # the features whose share among the two labels differs most, in standard errors
-    held = listed.select("y", F.explode("features").alias("feature"))
-    share1, share0 = F.sum("y") / n[1], (F.count(F.lit(1)) - F.sum("y")) / n[0]
-    pooled = F.count(F.lit(1)) / (n[0] + n[1])
+    held = rows.select("text", "y").mapInArrow(count, "feature string, in0 long, in1 long")
+    in0, in1 = F.sum("in0"), F.sum("in1")
+    pooled = (in0 + in1) / (n[0] + n[1])
     spread = F.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]) + 1e-9)
-    terms = {w for family in IDENTITY_TERMS for w in family}
     best = (
         held.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("rows"), (F.abs(share1 - share0) / spread).alias("z"))
+        .agg((in0 + in1).alias("rows"), (F.abs(in1 / n[1] - in0 / n[0]) / spread).alias("z"))
         .where((F.col("rows") >= rule.min_rows) & (F.col("z") >= 3))
         .orderBy(F.desc("z"), "feature")
         .limit(rule.features)
-        .collect()
-    )
-    names = sorted({r["feature"] for r in best} | terms)
-    column = {f: k for k, f in enumerate(names)}
-
-    def encode_ids(lists: pa.Array) -> pa.Array:
-        return pa.array([[column[f] for f in x.as_py() if f in column] for x in lists], pa.list_(pa.int32()))
-
-    encode_ids.__annotations__ = {"lists": pa.Array, "return": pa.Array}
-    ids = F.arrow_udf(encode_ids, "array<int>")
-    data = listed.select("doc_id", "y", ids("features").alias("x")).orderBy("doc_id", "y").collect()
-    pairs = (
-        rows.where(F.lower("text").rlike("|".join(sorted(terms))))
-        .select(
-            "doc_id",
-            F.arrow_udf(list_features, "array<string>")("text").alias("features"),
-            F.explode(F.arrow_udf(swap, "array<array<string>>")("text")).alias("swapped"),
-        )
-        .select("doc_id", ids("features").alias("x"), ids("swapped").alias("x2"))
-        .orderBy("doc_id", "x2")
-        .limit(10 * rule.max_rows)
-        .collect()
-    )
-    weights, bias = fit_weights(
-        [r["x"] for r in data], np.array([r["y"] for r in data], float), [(r["x"], r["x2"]) for r in pairs], len(names), rule
     )
-    return Model(bias, {f: float(weights[k]) for f, k in column.items() if weights[k] != 0.0}, prefixes)
+    return [r["feature"] for r in best.collect()]
+
+
+def training_rows(
+    rows: DataFrame, names: list[str], rule: FitRule
+) -> tuple[list[tuple[int, list[int]]], list[tuple[list[int], list[int]]]]:
+    """(y, feature numbers) of the sample, and (before, after) of its counterfactuals."""
+    prefixes, column = rule.prefixes, {f: k for k, f in enumerate(names)}
+
+    def number(words: set[str]) -> list[int]:
+        return sorted({column[f] for w in words for f in word_features(w, prefixes) if f in column})
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch["text"]]
+            x = [number(set(WORD.findall(t.lower()))) for t in texts]
+            swapped = [[number(c) for c in counterfactuals(t)] for t in texts]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch["doc_id"],
+                    "y": batch["y"],
+                    "x": pa.array(x, pa.list_(pa.int32())),
+                    "swapped": pa.array(swapped, pa.list_(pa.list_(pa.int32()))),
+                }
+            )
+
+    coded = rows.mapInArrow(encode, "doc_id long, y int, x array<int>, swapped array<array<int>>")
+    data = coded.orderBy("doc_id", "y", "x").collect()
+    return [(r["y"], r["x"]) for r in data], [(r["x"], after) for r in data for after in r["swapped"]]
 
 
 def fit_weights(
