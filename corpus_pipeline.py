@@ -10,14 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, queries, secret_scan, toxicity
+from tidewater.llm import bpe, decontaminate, minhash, queries, secret_scan, toxicity
 from tidewater.llm.common import scratch_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that the classifier predicts toxic go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.where(model.score(F.coalesce(docs["text"], F.lit(""))) < 0.7)
+    return docs.where(model.score(F.coalesce(docs["text"], F.lit(""))) < toxicity.THRESHOLD)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each group of near copies stays (shingles of five words, similarity 0.8)."""
+    return minhash.keep_one(docs, minhash.NearRule(width=5, percent=80))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents of which a twentieth is benchmark text go."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +54,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("minhash", keep_one_of_near_copies),
+    ("decontamination", drop_contaminated),
     ("secret_scan", redact_secrets),
     ("byte_bpe", encode_tokens),
 ]

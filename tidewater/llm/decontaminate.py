@@ -128,13 +128,9 @@ def report(docs: DataFrame, benchmark: DataFrame, length: int = 13, key: str = "
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 13) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     hits = find_hits(docs, benchmark, length)
-    bad = (
-        docs.select(text_key().alias("text_id"), words_of(text_of()).alias("words"))
-        .select("text_id", F.size("words").alias("n_words"))
-    )
+    sizes = docs.select(text_key().alias("text_id"), F.size(words_of(text_of())).alias("n_words"))
     # n_words belongs to the text, so the flagged texts alone decide
-    flagged = (
-        bad.join(hits, "text_id").where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select("text_id").distinct()
-    )
+    bad = is_contaminated(F.col("n_hit"), F.col("n_words"))
+    flagged = sizes.join(hits, "text_id").where(bad).select("text_id").distinct()
     rows = docs.select(F.struct("*").alias("row"), text_key().alias("text_id"))
     return rows.join(flagged, "text_id", "left_anti").select("row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontaminate, secret_scan, sharding, toxicity
+from tidewater.llm import bpe, decontaminate, minhash, secret_scan, sharding, toxicity
 from tidewater.llm.common import table
 
 
@@ -88,6 +88,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, minhash.NearRule(width=4, percent=80))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -101,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op6_toxicity": op6_toxicity,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_minhash": op8_minhash,
         "op10_sharding": op10_sharding,
     }
 

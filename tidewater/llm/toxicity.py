@@ -46,6 +46,9 @@ IDENTITY_TERMS = (
     ("resident", "disabled", "blind", "deaf", "autistic", "elderly", "old", "young", "poor", "rich"),
 )
 
+#: Scores from here on count as toxic.
+THRESHOLD = 0.7
+
 WORD = regex.compile(r"[^\W_]+")
 
 
@@ -233,7 +236,7 @@ def fit_weights(
     return w, float(bias)
 
 
-def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """``docs`` with score and predicted."""
     scored = docs.withColumn("score", model.score(text_of(text)))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
