@@ -73,6 +73,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class RangeHash:
+    """64-bit hashes of byte ranges: after one pass over the bytes any range costs a few operations.
+
+    Every byte value stands for a random word, weighted by the power of an odd
+    base that belongs to its place; a range's sum is divided by the power of
+    its start.  ``salt`` picks other words, for a second, independent hash.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, salt: int = 0) -> None:
+        seeds = np.arange(1, 257, dtype=np.uint64) + np.uint64(salt << 16)
+        self.word = mix64(seeds * np.uint64(self.BASE))
+        self.power = self.back = np.ones(1, np.uint64)
+
+    def load(self, data: np.ndarray) -> None:
+        n = len(data)
+        if len(self.power) <= n:  # the powers serve all later slices
+            room = max(n, 1 << 16) + 1
+            inverse = pow(self.BASE, -1, 1 << 64)
+            self.power = np.cumprod(np.r_[np.uint64(1), np.full(room, self.BASE, np.uint64)], dtype=np.uint64)
+            self.back = np.cumprod(np.r_[np.uint64(1), np.full(room, inverse, np.uint64)], dtype=np.uint64)
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.word[data] * self.power[:n], out=self.total[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix64((self.total[end] - self.total[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder, for tables written between steps."""
     prepare_checkpoints(spark)

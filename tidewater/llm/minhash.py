@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import byte_slices, mix64, scratch_folder, text_key, text_of
+from tidewater.llm.common import RangeHash, byte_slices, mix64, scratch_folder, text_key, text_of
 from tidewater.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +59,7 @@ class NearRule:
 # ---------------------------------------------------------------- shingles
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, hashed: RangeHash | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every word of the texts in ``data``, A-Z lowered."""
     n = len(data)
     if not n:
@@ -73,19 +73,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     stop[:-1] &= separator[1:] | first[1:n]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     lowered = np.where((data >= 65) & (data <= 90), data + 32, data)
-    # one random word for each byte value, weighted by powers of an odd base: prefix sums give any range
-    value = mix64(np.arange(1, 257, dtype=np.uint64) * BASE)[lowered]
-    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, BASE))))
-    back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(pow(int(BASE), -1, 1 << 64))))))
-    total = np.concatenate(([np.uint64(0)], np.cumsum(value * power[:n])))
-    words = mix64((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
-    return np.searchsorted(offsets, start, side="right") - 1, words
+    hashed = hashed or RangeHash()
+    hashed.load(lowered)
+    return np.searchsorted(offsets, start, side="right") - 1, hashed.of(start, end)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(
+    data: np.ndarray, offsets: np.ndarray, width: int, hashed: RangeHash | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(set offsets, hashes): the sorted distinct shingles of each text."""
     rows = len(offsets) - 1
-    doc, word = word_hashes(data, offsets)
+    doc, word = word_hashes(data, offsets, hashed)
     per_doc = np.bincount(doc, minlength=rows)
     first_word = np.concatenate(([0], np.cumsum(per_doc)))
     docs, hashes = [], []
@@ -116,9 +114,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
 
 def _map_sets(batches: Iterator[pa.RecordBatch], width: int, keep: list[str]):
     """(columns to keep, set offsets, hashes) for slices of the batches' rows."""
+    hashed = RangeHash()
     for batch in batches:
         for lo, hi, data, offsets in byte_slices(batch["text"]):
-            bounds, values = shingle_sets(data, offsets, width)
+            bounds, values = shingle_sets(data, offsets, width, hashed)
             yield [batch[c][lo:hi] for c in keep], bounds, values
 
 

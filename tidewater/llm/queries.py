@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontaminate, minhash, secret_scan, sharding, toxicity
+from tidewater.llm import bpe, chunk_dedup, decontaminate, graph_ann, minhash, prefix_free, secret_scan, sharding, toxicity
 from tidewater.llm.common import table
 
 
@@ -19,6 +19,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    results = chunk_dedup.dedup_texts(docs).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    return chunk_dedup.per_document(docs, results)
+
+
+def op4_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where(F.col("vec_id") % 100 == 0)
+    return graph_ann.nearest(vectors, queries, 10).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
@@ -94,6 +106,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    results = prefix_free.dedup_texts(docs).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    return prefix_free.per_document(docs, results)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -104,10 +122,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secret_scan": op2_secret_scan,
+        "op3_chunk_dedup": op3_chunk_dedup,
+        "op4_graph_ann": op4_graph_ann,
         "op5_decontamination": op5_decontamination,
         "op6_toxicity": op6_toxicity,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_minhash": op8_minhash,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_sharding": op10_sharding,
     }
 
