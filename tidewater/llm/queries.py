@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chunk_dedup, decontaminate, graph_ann, minhash, prefix_free, secret_scan, sharding, toxicity
+from tidewater.llm import bpe, chunk_dedup, decontaminate, graph_ann, license_scan, minhash, prefix_free, secret_scan, sharding, toxicity
 from tidewater.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.report(docs, license_scan.fit(docs))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return secret_scan.span_digests(found).select(
@@ -121,6 +126,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_secret_scan": op2_secret_scan,
         "op3_chunk_dedup": op3_chunk_dedup,
         "op4_graph_ann": op4_graph_ann,
