@@ -72,15 +72,96 @@ def test_stream_load_restart_and_redelivery(spark, tmp_dir):
 
 def test_quarantine_of_null_keys(spark, tmp_dir):
     store = TableStore(spark, f"{tmp_dir}/tables")
-    job = WarehouseJob(spark, store, clock=_clock(), quarantine=f"{tmp_dir}/bad")
+    job = WarehouseJob(spark, store, clock=_clock())
     raw = spark.createDataFrame([("{broken",), ('{"iot_device_id": 1, "data": {"dt": 1704448800}}',)], "raw_json string")
-    job.process(envelope.flatten(raw), 0)
-    assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
+    for _ in range(2):  # a replayed batch adds nothing, neither to the tables nor to the quarantine
+        job.process(envelope.flatten(raw), 0)
+        assert job.quarantined().count() == 1
+        assert store.read("fact_measurements").count() == 1
+        assert store.read("staging_events").count() == 1
+    job.process(envelope.flatten(raw.limit(1)), 1)  # broken rows only
+    assert job.quarantined().count() == 2
     assert store.read("fact_measurements").count() == 1
-    # a second identical batch neither adds facts nor re-inserts quarantined rows
-    job.process(envelope.flatten(raw), 1)
-    assert store.read("fact_measurements").count() == 1
-    assert store.read("staging_events").count() == 1
+
+
+def test_finish_covers_late_hours_and_clears_the_notes(spark, tmp_dir):
+    from tidewater.operators import rollup
+
+    readings = telemetry.load_measurements(spark, SF)
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    job = WarehouseJob(spark, store, clock=_clock(), row_key_kind="content")
+    job.process(readings.filter(F.dayofmonth("event_time") > 10), 0)
+    job.finish(dt.datetime(2024, 1, 31))
+    job.process(readings.filter(F.dayofmonth("event_time") <= 10), 1)  # ten days late
+    job.finish(dt.datetime(2024, 1, 31))
+    want = rollup.hourly_rollup(store.read("fact_measurements")).select("hour_bucket", "iot_device_id")
+    got = store.read("fact_hourly_agg").select("hour_bucket", "iot_device_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert not store.has_path(f"{tmp_dir}/tables/pending_hours")
+
+
+def _failing(df):
+    return df.withColumn("date_key", F.when(F.rand() >= 0, F.raise_error(F.lit("lost"))).cast("int"))
+
+
+def test_failed_write_keeps_the_old_rows(spark, tmp_dir):
+    import pytest
+
+    from tidewater.operators import calendar
+
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    rows = calendar.calendar_rows(telemetry.load_measurements(spark, SF))
+    store.overwrite("dim_date", rows)
+    n = store.read("dim_date").count()
+    with pytest.raises(Exception, match="lost"):
+        store.overwrite("dim_date", _failing(store.read("dim_date")))
+    assert store.read("dim_date").count() == n
+    # a run that stopped between the two renames is completed on the next access
+    fs, Path = store._fs()
+    store.overwrite("dim_date", rows.limit(5))
+    fs.rename(Path(store.path("dim_date")), Path(store.path("dim_date") + ".new"))
+    assert store.read("dim_date").count() == 5
+    fs.rename(Path(store.path("dim_date")), Path(store.path("dim_date") + ".gone"))
+    assert store.read("dim_date").count() == n  # only the old files are left
+
+
+def test_overwrite_replaces_everything_under_either_session_mode(spark, tmp_dir):
+    from tidewater.plans.warehouse import replay
+
+    fact = replay(telemetry.load_measurements(spark, SF)).fact.persist()
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            store = TableStore(spark, f"{tmp_dir}/{mode}")
+            store.overwrite("fact_measurements", fact)
+            few = store.read("fact_measurements").filter(F.dayofmonth("event_time") == 3)
+            n, total = few.count(), fact.count()
+            store.overwrite_days("fact_measurements", few)  # reads the table it writes
+            assert store.read("fact_measurements").count() == total
+            few = store.read("fact_measurements").filter(F.dayofmonth("event_time") == 3)
+            store.overwrite("fact_measurements", few)
+            assert store.read("fact_measurements").count() == n < total
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_few_files_a_day(spark, tmp_dir):
+    from tidewater.plans.warehouse import replay
+
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    store.append("fact_measurements", replay(telemetry.load_measurements(spark, SF)).fact.repartition(8))
+    assert store.file_count("fact_measurements") <= 2 * len(store.days("fact_measurements")) + 1
+
+
+def test_catalog_tables(spark, tmp_dir):
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    name = "t" + tmp_dir.rsplit("-", 1)[-1].lower()
+    store.create_tables(name)
+    store.append("staging_events", telemetry.load_measurements(spark, SF))
+    store.create_tables(name)  # idempotent; finds the new days
+    assert spark.table(f"{name}.staging_events").count() == store.read("staging_events").count()
+    spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def test_compaction_reduces_files_keeps_rows(spark, tmp_dir):
@@ -97,6 +178,12 @@ def test_compaction_reduces_files_keeps_rows(spark, tmp_dir):
     assert compact_recent(store, "fact_measurements", newest.date(), days=2) >= 1
     assert store.read("fact_measurements").count() == before_rows
     assert store.file_count("fact_measurements") < before_files
+    # a compaction dated earlier leaves later days alone
+    newest_day = f"{store.path('fact_measurements')}/event_time_date={store.days('fact_measurements')[0]}"
+    names = sorted(os.listdir(newest_day))
+    compact_recent(store, "fact_measurements", newest.date() - dt.timedelta(days=1), days=1)
+    assert sorted(os.listdir(newest_day)) == names
+    assert store.read("fact_measurements").count() == before_rows
 
 
 def test_continuous_landing_trigger_and_views(spark, tmp_dir):

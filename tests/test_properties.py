@@ -5,7 +5,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidewater.operators import scd2
-from tidewater.plans.warehouse import BATCH_COL, empty_warehouse, process_batch, replay, weekly_batch
+from tidewater.plans import registry
+from tidewater.plans.warehouse import BATCH_COL, replay
 from tidewater.schemas import DIM_DEVICE
 from tidewater.sources import telemetry
 
@@ -59,15 +60,10 @@ def test_incremental_and_bulk_match_model(spark, seq):
     assert _rows(scd2.scd2_history(st_df, scd2.DEVICE, BATCH_COL)) == expected
 
 
-def test_pure_batch_path_matches_replay(spark):
-    raw = telemetry.load_measurements(spark, "/root/testdata/sf0.001")
-    r = raw.withColumn(BATCH_COL, weekly_batch())
-    instants = sorted(x[0] for x in r.select(BATCH_COL).distinct().collect())
-    wh = empty_warehouse(spark)
-    for t in instants:
-        wh, _bad = process_batch(wh, r.filter(F.col(BATCH_COL) == F.lit(t)).drop(BATCH_COL), t, row_key_kind="content")
-        wh = type(wh)(**{k: getattr(wh, k).checkpoint() for k in ("staging", "dim_date", "dim_device", "dim_country", "fact")})
-    bulk = replay(raw, deduplicate=True)
+def test_weekly_batches_through_the_job_match_replay(spark):
+    sf = "/root/testdata/sf0.001"
+    wh = registry._incremental(spark, sf)
+    bulk = replay(telemetry.load_measurements(spark, sf), deduplicate=True)
     for name in ("dim_device", "dim_country", "fact", "staging"):
         a, b = getattr(wh, name), getattr(bulk, name).select(*getattr(wh, name).columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name

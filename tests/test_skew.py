@@ -43,3 +43,44 @@ def test_reduction_happens_before_the_shuffle(spark):
     assert "WindowGroupLimit" in top1 and "Partial" in top1
     agg = _plan(rollup.hourly_rollup(replay(r, deduplicate=True).fact))
     assert "partial_sum" in agg and "partial_max" in agg
+
+
+def test_fact_load_splits_a_hot_device(spark):
+    from tidewater.operators import facts, scd2
+
+    batch = dedup_batch(_skewed(spark))
+    ts = F.lit("2030-01-01").cast("timestamp")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        dev = scd2.stage_versions(scd2.device_states(batch), scd2.DEVICE, ts)
+        cty = scd2.stage_versions(scd2.country_states(batch), scd2.COUNTRY, ts)
+        # several map tasks, so that there is something to split
+        loaded = facts.load_fact(batch.repartition(16), dev, cty, "content")
+        assert len(loaded.collect()) == batch.count()
+        plan = _plan(loaded)
+        assert "skew=true" in plan, plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_two_current_versions_are_an_error(spark):
+    import pytest
+
+    from tidewater.operators import facts, scd2
+
+    batch = dedup_batch(telemetry.load_measurements(spark, SF))
+    dev = scd2.stage_versions(scd2.device_states(batch), scd2.DEVICE, F.lit("2030-01-01").cast("timestamp"))
+    cty = scd2.stage_versions(scd2.country_states(batch), scd2.COUNTRY, F.lit("2030-01-01").cast("timestamp"))
+    with pytest.raises(Exception, match="two current versions"):
+        facts.load_fact(batch, dev.unionByName(dev), cty).collect()

@@ -1,9 +1,9 @@
 """DuckDB SQL mirror of every registered query (``plans.registry``).
 
-Written independently of the Spark code as plain SQL over the driver's views
-(``events`` ...).  Box, band and station literals are generated from the same
-fixed-value tables the library uses -- those tables are the specification;
-the SQL checks the Spark logic around them.
+Plain SQL over the driver's views (``events`` ...).  Box, band, bound and
+station literals and the rounding digits are generated from the library's own
+fixed-value tables -- those tables are the specification, which the SQL does
+not check; it checks the Spark logic around them.
 
 Conventions: rounding goes through the double's decimal text so that it is
 HALF_UP on the decimal value (Spark's semantics) rather than on the binary
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from tidewater.functions.geo import COUNTRY_BOXES, TIMEZONE_BANDS
 from tidewater.functions.measures import BOUNDS, INT_METRICS
-from tidewater.plans.registry import CHECK_DIGITS, HOURLY_SERIES, SELECTED_COUNTRIES, SERIES_METRICS
+from tidewater.plans.registry import CHECK_DIGITS, HOURLY_SERIES, SELECTED_COUNTRIES, SELECTED_DEVICES, SERIES_METRICS
 from tidewater.sources.telemetry import CONDITIONS, INGESTION_SPREAD_SECONDS, MOBILE_EVERY, N_STATIONS, STATIONS
 
 
@@ -186,6 +186,9 @@ def _hourly_select(src: str = "h") -> str:
     return ", ".join(["hour_bucket", "iot_device_id", "country_code", *[rnd(c) + f" AS {c}" for c in HOURLY_COLS]]) + f" FROM {src}"
 
 
+# the streamed load's clock, which dates every version
+_CLOCK = "CAST(TIMESTAMP '2100-01-01 00:00:00' AS VARCHAR)"
+
 _IN_SELECTED = "country_code IN (" + ", ".join(f"'{c}'" for c in SELECTED_COUNTRIES) + ")"
 
 _METRIC_SQL = {
@@ -238,17 +241,20 @@ def _clamp(name: str, expr: str | None = None) -> str:
         out = f"least({out}, {float(hi)!r})"
     if name in INT_METRICS:
         return f"CAST(round_even({out}, 0) AS INTEGER)"
-    return out
+    return rnd(out, 2)
+
 
+_DEVICES = f" AND iot_device_id IN {SELECTED_DEVICES}"
 
-def _panel_series(metric: str) -> str:
+
+def _panel_series(metric: str, where: str = "") -> str:
     return _with(f"""SELECT event_time AS time, CAST(iot_device_id AS VARCHAR) AS metric, {rnd(_METRIC_SQL[metric])} AS value
-FROM f WHERE event_time >= (SELECT t FROM anchor) - INTERVAL 1 HOUR""")
+FROM f WHERE event_time >= (SELECT t FROM anchor) - INTERVAL 1 HOUR{where}""")
 
 
-def _panel_hourly(col: str) -> str:
+def _panel_hourly(col: str, where: str = "") -> str:
     return _with(f"""SELECT hour_bucket AS time, CAST(iot_device_id AS VARCHAR) AS metric, {rnd(col)} AS value
-FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR""")
+FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR{where}""")
 
 
 def _lag(where: str = "") -> str:
@@ -359,14 +365,25 @@ FROM f WHERE {since_1h} GROUP BY iot_device_id, country_code"""),
         "panel_country_overview_selected": _overview(_IN_SELECTED),
         "panel_country_picker": _with("SELECT DISTINCT country_code FROM dim_country WHERE is_current = TRUE"),
     })
-    for metric in ("temp", "wind_gust"):
-        sql[f"panel_metric_by_minute_{metric}"] = _with(f"""SELECT date_trunc('minute', event_time) AS time,
-  country_code AS metric, {rnd(f'avg({_METRIC_SQL[metric]})')} AS value
-FROM f WHERE {since_1h} GROUP BY 1, 2""")
-    for metric in ("rain_1h", "wind_gust"):
-        sql[f"panel_hourly_metric_by_country_{metric}"] = _with(f"""SELECT hour_bucket AS time, country_code AS metric,
-  {rnd(_HOURLY_METRIC_SQL[metric])} AS value
-FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR""")
+    def by_minute(value: str, where: str = "") -> str:
+        return _with(f"""SELECT date_trunc('minute', event_time) AS time, country_code AS metric, {value} AS value
+FROM f WHERE {since_1h}{where} GROUP BY 1, 2""")
+
+    def by_hour(value: str, where: str = "") -> str:
+        return _with(f"""SELECT hour_bucket AS time, country_code AS metric, {value} AS value
+FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR{where}""")
+
+    for metric in SERIES_METRICS:
+        minute_value = rnd(f"avg({_METRIC_SQL[metric]})")
+        sql[f"panel_series_{metric}_devices"] = _panel_series(metric, _DEVICES)
+        sql[f"panel_metric_by_minute_{metric}"] = by_minute(minute_value)
+        sql[f"panel_hourly_metric_by_country_{metric}"] = by_hour(rnd(_HOURLY_METRIC_SQL[metric]))
+    for col in HOURLY_SERIES:
+        sql[f"panel_hourly_{col}_devices"] = _panel_hourly(col, _DEVICES)
+    sql["panel_metric_by_minute_unknown"] = by_minute("CAST(NULL AS DOUBLE)")
+    sql["panel_hourly_metric_by_country_unknown"] = by_hour("CAST(NULL AS DOUBLE)")
+    sql["panel_metric_by_minute_selected"] = by_minute(rnd("avg(temp)"), f" AND {_IN_SELECTED}")
+    sql["panel_hourly_metric_by_country_selected"] = by_hour(rnd("avg_temp"), f" AND {_IN_SELECTED}")
     lag_value = "(SELECT date_sub('second', max(event_time), max(ingestion_time)) FROM f WHERE ingestion_time >= (SELECT t FROM anchor) - INTERVAL 10 MINUTE)"
 
     def step(name: str, value: str, lo: float, hi: float, higher_is_better: bool) -> str:
@@ -418,11 +435,13 @@ FROM m""",
 sf AS (
   SELECT """ + _sk('CAST(r.iot_device_id AS VARCHAR)', 'CAST(r.event_time AS VARCHAR)') + """ AS fact_sk,
     CAST(year(r.event_time) * 10000 + month(r.event_time) * 100 + day(r.event_time) AS INTEGER) AS date_key,
+    """ + _sk('CAST(r.iot_device_id AS VARCHAR)', _CLOCK) + """ AS device_sk,
+    """ + _sk('CAST(r.iot_device_id AS VARCHAR)', 'cur.country_code', _CLOCK) + """ AS country_sk,
     r.iot_device_id, cur.country_code, r.event_time, r.ingestion_time,
     """ + ", ".join(f"r.{c}" for c in MEAS) + """, r.weather_id, r.weather_main, r.weather_description
   FROM r LEFT JOIN cur ON cur.iot_device_id = r.iot_device_id
 )"""
-    sf_cols = ("fact_sk, date_key, iot_device_id, country_code, event_time, ingestion_time, "
+    sf_cols = ("fact_sk, date_key, device_sk, country_sk, iot_device_id, country_code, event_time, ingestion_time, "
                + ", ".join(rnd(c) + f" AS {c}" if c in DOUBLE_STAGING else c for c in MEAS)
                + ", weather_id, weather_main, weather_description")
     hourly_body = ", ".join(["hour_bucket", "iot_device_id", "country_code", *[rnd(c) + f" AS {c}" for c in HOURLY_COLS]])
@@ -436,37 +455,35 @@ sh AS (
     avg(temp) AS avg_temp, avg(feels_like) AS avg_feels_like, avg(humidity) AS avg_humidity,
     avg(pressure) AS avg_pressure, avg(wind_speed) AS avg_wind_speed, avg(uvi) AS avg_uvi,
     avg(clouds) AS avg_clouds, avg(visibility) AS avg_visibility, avg(rain_1h) AS avg_rain_1h
-  FROM sf WHERE event_time >= date_trunc('hour', (SELECT max(event_time) FROM sf) - INTERVAL 2 HOUR)
-  GROUP BY 1, 2
+  FROM sf GROUP BY 1, 2
 )""", f"SELECT {hourly_body} FROM sh"),
         "stream_warehouse_dims": _with_extra(single, "SELECT iot_device_id, latitude, longitude, timezone, "
                                              "country_code, country_name, city FROM cur"),
         "compaction": _with(f"SELECT {fact_cols} FROM f"),
-        "stream_rollup": f"""WITH m AS ({MEASUREMENTS})
-SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, {per_reading_country} AS country_code,
-  """ + ", ".join(rnd(f"avg(CAST({c} AS DOUBLE))") + f" AS avg_{c}" for c in
-                  ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi", "clouds", "visibility", "rain_1h"))
-        + """, count(*) AS readings
-FROM m GROUP BY 1, 2, 3""",
-        "stream_dedup": f"""WITH m AS ({MEASUREMENTS})
-SELECT DISTINCT event_time, iot_device_id, latitude, longitude, timezone FROM m""",
+        "stream_rollup": _with_extra(f"""placed AS (
+  SELECT *, {per_reading_country} AS own_country FROM r
+),
+ph AS (
+  SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, arg_max(own_country, event_time) AS country_code,
+    avg(temp) AS avg_temp, avg(feels_like) AS avg_feels_like, avg(humidity) AS avg_humidity,
+    avg(pressure) AS avg_pressure, avg(wind_speed) AS avg_wind_speed, avg(uvi) AS avg_uvi,
+    avg(clouds) AS avg_clouds, avg(visibility) AS avg_visibility, avg(rain_1h) AS avg_rain_1h
+  FROM placed GROUP BY 1, 2
+)""", f"SELECT {hourly_body} FROM ph"),
+        "stream_dedup": _with(f"SELECT {_rounded_staging()} FROM r"),
+        "quarantine": f"""WITH m AS ({MEASUREMENTS}),
+x AS (SELECT *, (CAST(epoch(event_time) AS BIGINT) + iot_device_id) % 10 AS k FROM m)
+SELECT {_rounded_staging()} FROM (
+  SELECT * REPLACE (CASE WHEN k <> 3 THEN event_time END AS event_time, CASE WHEN k <> 7 THEN iot_device_id END AS iot_device_id)
+  FROM x WHERE k IN (3, 7))""",
+        "quarantine_staging": _with(f"""SELECT {_rounded_staging()} FROM r
+WHERE (CAST(epoch(event_time) AS BIGINT) + iot_device_id) % 10 NOT IN (3, 7)"""),
     })
     avg_cols = ", ".join(
         f"avg(CAST({c} AS DOUBLE)) AS avg_{c}" for c in
         ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi", "clouds", "visibility", "rain_1h"))
     sql.update({
-        "rollup_touched": _with_extra(f"""early AS (
-  SELECT date_trunc('hour', event_time) AS hour_bucket, iot_device_id, arg_max(country_code, event_time) AS country_code,
-    {avg_cols}
-  FROM f WHERE weekofyear(event_time) <= 3 GROUP BY 1, 2
-),
-touched AS (SELECT DISTINCT date_trunc('hour', event_time) AS hour_bucket, iot_device_id FROM f WHERE day(event_time) = 1),
-fresh AS (SELECT h.* FROM h JOIN touched t ON t.hour_bucket = h.hour_bucket AND t.iot_device_id = h.iot_device_id),
-merged AS (
-  SELECT * FROM early e WHERE NOT EXISTS (
-    SELECT 1 FROM fresh n WHERE n.hour_bucket = e.hour_bucket AND n.iot_device_id = e.iot_device_id)
-  UNION ALL SELECT * FROM fresh
-)""", f"SELECT {_hourly_select('merged')}"),
+        "rollup_touched": _with(f"SELECT {_hourly_select()}"),
         "rollup_by_country": _with(f"""SELECT hour_bucket, iot_device_id, country_code, """
                                    + ", ".join(rnd(f"avg_{c}") + f" AS avg_{c}" for c in
                                                ("temp", "feels_like", "humidity", "pressure", "wind_speed", "uvi",

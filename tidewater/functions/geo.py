@@ -144,22 +144,3 @@ def boxes_frame(spark: SparkSession, boxes=COUNTRY_BOXES):
         "ord int, lat_min double, lat_max double, lon_min double, lon_max double, "
         "country_code string, country_name string, city string",
     )
-
-
-def python_first_match(lat, lon, boxes=COUNTRY_BOXES) -> tuple[str, str, str]:
-    """Plain-Python first match; the oracle for property tests."""
-    if lat is None or lon is None:
-        return UNKNOWN_COUNTRY
-    for b in boxes:
-        if b.lat_min <= lat <= b.lat_max and b.lon_min <= lon <= b.lon_max:
-            return (b.code, b.name, b.city)
-    return UNKNOWN_COUNTRY
-
-
-def python_timezone(lon, bands=TIMEZONE_BANDS, default: str = DEFAULT_TIMEZONE) -> str:
-    if lon is None:
-        return default
-    for lo, hi, tz in bands:
-        if lo <= lon < hi:
-            return tz
-    return default

@@ -54,12 +54,12 @@ def clamp(value: Column | str, lo=None, hi=None) -> Column:
 
 def clamp_metric(name: str, value: Column | str | None = None) -> Column:
     """Clamp a named metric to its physical bounds; whole-number metrics are
-    rounded half-to-even, as the gateway rounds them."""
+    rounded half-to-even, the others to two decimals."""
     lo, hi = BOUNDS[name]
     clamped = clamp(value if value is not None else name, lo, hi)
     if name in INT_METRICS:
         return F.bround(clamped, 0).cast("int")
-    return clamped
+    return F.round(clamped, 2)
 
 
 def wrap_degrees(deg: Column | str) -> Column:
@@ -68,9 +68,9 @@ def wrap_degrees(deg: Column | str) -> Column:
 
 
 def cap_dew_point(dew_point: Column | str, temp: Column | str) -> Column:
-    """Dew point may not exceed temperature; NULL temperature leaves it as is."""
+    """Dew point may not exceed temperature; NULL temperature leaves it as is; two decimals."""
     dp, t = _c(dew_point), _c(temp)
-    return F.when(t.isNull(), dp).otherwise(F.least(dp, t))
+    return F.round(F.when(t.isNull(), dp).otherwise(F.least(dp, t)), 2)
 
 
 def status(value: Column | str, lower: float, upper: float, higher_is_better: bool = True) -> Column:

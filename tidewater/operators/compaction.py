@@ -1,7 +1,7 @@
 """Small-file compaction of recent day partitions.
 
 Streaming appends leave many small files per day.  ``compact_recent``
-rewrites the last ``days`` day partitions (the first day inclusive) as files
+rewrites the day partitions from ``as_of - days`` to ``as_of`` as files
 of about ``target_bytes`` each, sorted by the table's sort order so parquet
 min/max statistics can skip row groups.  The number of output files comes
 from the bytes on storage (metadata), never from collecting rows; the rows
@@ -38,9 +38,9 @@ def compact_recent(store: TableStore, name: str, as_of: dt.date | None = None, d
     if size == 0:
         return 0
     n_out = max(1, math.ceil(size / target_bytes))
-    lo = F.lit(wanted[0]).cast("date")
-    recent = store.read_with_day(name).filter(F.col(col) >= lo)
+    lo, hi = F.lit(wanted[0]).cast("date"), F.lit(wanted[-1]).cast("date")
+    recent = store.read_with_day(name).filter(F.col(col).between(lo, hi))
     order = SORT_ORDER.get(name, ())
     rewritten = recent.repartitionByRange(n_out, col, *order).drop(col)
-    store.overwrite_days(name, rewritten, materialize=True)
+    store.overwrite_days(name, rewritten, deal=False)
     return n_out

@@ -5,15 +5,14 @@ cheaper still.  This form takes the boxes as a DataFrame with an evaluation
 order ``ord``:
 
 1. the points' *distinct* coordinates are looked up, not every row;
-2. boxes are broadcast when their row count is within ``broadcast_rows``
-   (a measured bound), giving a broadcast range join; otherwise each box is
-   exploded onto the grid cells it covers and joined on the cell -- an equi
-   join both sides of which can be shuffled -- with the exact bounds as a
-   residual filter;
+2. each box is exploded onto the grid cells it covers and joined on the cell
+   -- an equi-join, of which Spark may broadcast or shuffle either side --
+   with the exact bounds as a residual filter;
 3. the first matching box is ``min(ord)`` per coordinate (an integer
    aggregate, so a hash aggregate), joined back to the box attributes.
 
-Points matching no box, or with a NULL coordinate, get the fallback values.
+Points matching no box, or with a coordinate that is NULL, NaN or infinite,
+get the fallback values.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewater.functions.geo import UNKNOWN_COUNTRY
 
-BROADCAST_ROWS = 100_000
 GRID_DEGREES = 5.0
 ATTRS = ("country_code", "country_name", "city")
 
@@ -33,34 +31,33 @@ def _cells(lo: str, hi: str, step: float):
     return F.sequence(first, last)
 
 
-def match_first(coords: DataFrame, boxes: DataFrame, lat: str, lon: str,
-                broadcast_rows: int = BROADCAST_ROWS, grid: float = GRID_DEGREES) -> DataFrame:
-    """(lat, lon) -> ord of the first containing box, for distinct coords."""
+def match_first(coords: DataFrame, boxes: DataFrame, lat: str, lon: str, grid: float = GRID_DEGREES) -> DataFrame:
+    """(lat, lon) -> ord of the first containing box, for distinct finite coords."""
     inside = (
         F.col(lat).between(F.col("lat_min"), F.col("lat_max"))
         & F.col(lon).between(F.col("lon_min"), F.col("lon_max"))
     )
-    n_boxes = boxes.count()
-    if n_boxes <= broadcast_rows:
-        hits = coords.join(F.broadcast(boxes.select("ord", "lat_min", "lat_max", "lon_min", "lon_max")), inside)
-    else:
-        cells = boxes.select(
-            "ord", "lat_min", "lat_max", "lon_min", "lon_max",
-            F.explode(_cells("lat_min", "lat_max", grid)).alias("_gy"),
-        ).select("*", F.explode(_cells("lon_min", "lon_max", grid)).alias("_gx"))
-        keyed = coords.withColumn("_gy", F.floor(F.col(lat) / grid).cast("int")).withColumn(
-            "_gx", F.floor(F.col(lon) / grid).cast("int")
-        )
-        hits = keyed.join(cells, ["_gy", "_gx"]).filter(inside)
+    cells = boxes.select(
+        "ord", "lat_min", "lat_max", "lon_min", "lon_max",
+        F.explode(_cells("lat_min", "lat_max", grid)).alias("_gy"),
+    ).select("*", F.explode(_cells("lon_min", "lon_max", grid)).alias("_gx"))
+    keyed = coords.withColumn("_gy", F.floor(F.col(lat) / grid).cast("int")).withColumn(
+        "_gx", F.floor(F.col(lon) / grid).cast("int")
+    )
+    hits = keyed.join(cells, ["_gy", "_gx"]).filter(inside)
     return hits.groupBy(lat, lon).agg(F.min("ord").alias("ord"))
 
 
+def _on_globe(c: str):
+    # also false for NULL, NaN (larger than any number) and the infinities
+    return F.col(c).between(-360.0, 360.0)
+
+
 def lookup_boxes(points: DataFrame, boxes: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                 fallback=UNKNOWN_COUNTRY, broadcast_rows: int = BROADCAST_ROWS,
-                 grid: float = GRID_DEGREES) -> DataFrame:
+                 fallback=UNKNOWN_COUNTRY, grid: float = GRID_DEGREES) -> DataFrame:
     """``points`` plus the attributes of the first box containing each point."""
-    coords = points.select(lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).distinct()
-    first = match_first(coords, boxes, lat, lon, broadcast_rows, grid)
+    coords = points.select(lat, lon).where(_on_globe(lat) & _on_globe(lon)).distinct()
+    first = match_first(coords, boxes, lat, lon, grid)
     attrs = first.join(boxes.select("ord", *ATTRS), "ord").drop("ord")
     joined = points.join(attrs, [lat, lon], "left")
     return joined.select(

@@ -79,10 +79,9 @@ def touched_hours(batch: DataFrame) -> DataFrame:
     return batch.select(hour_bucket("event_time").alias("hour_bucket"), "iot_device_id").distinct()
 
 
-def refresh_source(fact: DataFrame, batch: DataFrame) -> DataFrame:
-    """Recomputed rollup rows for exactly the (hour, device) pairs a batch
-    touched (a semi join on the distinct touched pairs)."""
-    hours = touched_hours(batch)
+def refresh_hours(fact: DataFrame, hours: DataFrame) -> DataFrame:
+    """Recomputed rollup rows for exactly the given (hour, device) pairs
+    (a semi join on the distinct pairs)."""
     src = fact.withColumn("_hb", hour_bucket("event_time")).join(
         hours.withColumnRenamed("hour_bucket", "_hb"), ["_hb", "iot_device_id"], "left_semi"
     ).drop("_hb")
@@ -91,4 +90,4 @@ def refresh_source(fact: DataFrame, batch: DataFrame) -> DataFrame:
 
 def refresh_touched(existing: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
     """Upsert the rollup for every (hour, device) the batch touched."""
-    return upsert(existing, refresh_source(fact, batch), HOURLY_KEYS)
+    return upsert(existing, refresh_hours(fact, touched_hours(batch)), HOURLY_KEYS)

@@ -197,23 +197,3 @@ def scd2_history(states: DataFrame, spec: Scd2Spec, batch_col: str) -> DataFrame
         .withColumn(spec.sk_col, _sk(spec, F.col(spec.start)))
         .select(*spec.columns)
     )
-
-
-def version_at_batch(states: DataFrame, spec: Scd2Spec, batch_col: str, carry: Sequence[str] = ()) -> DataFrame:
-    """(key, batch) -> surrogate key (and ``carry`` attributes) of the version
-    current after that batch was merged."""
-    missing = [p for p in spec.sk_parts if p != spec.key and p not in carry]
-    if missing:
-        raise ValueError(f"surrogate-key part(s) {missing} must be carried")
-    flagged = _flag_changes(states, spec, batch_col)
-    w = Window.partitionBy(spec.key).orderBy(batch_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A struct is never NULL, so ignorenulls skips only non-change rows even
-    # when a carried attribute itself is NULL.
-    opened = F.struct(F.col(batch_col).cast("timestamp").alias("_start"), *[F.col(c) for c in carry])
-    version = F.last(F.when(F.col("_changed"), opened), ignorenulls=True).over(w)
-    return (
-        flagged.select(spec.key, batch_col, version.alias("_v"))
-        .select(spec.key, batch_col, "_v.*")
-        .withColumn(spec.sk_col, _sk(spec, F.col("_start")))
-        .drop("_start")
-    )

@@ -111,6 +111,17 @@ def latest_event_time(fact: DataFrame, countries: Sequence[str] | None = None) -
     return fact.filter(_in("country_code", countries)).agg(F.max("event_time").alias("value"))
 
 
+def latest_event_time_stored(store, countries: Sequence[str] | None = None, name: str = "fact_measurements") -> DataFrame:
+    """The same over a stored, day-partitioned table: the newest day that has
+    a matching row holds the newest time, so days are tried from the newest
+    on and usually one is read."""
+    for day in store.days(name):
+        found = latest_event_time(store.read_day(name, day), countries)
+        if found.first()[0] is not None:
+            return found
+    return latest_event_time(store.read(name), countries)
+
+
 def ingestion_lag(fact: DataFrame, as_of: Column | None = None, countries: Sequence[str] | None = None) -> DataFrame:
     """Seconds between the newest event time and the newest ingestion time
     among rows ingested in the last 10 minutes."""
@@ -202,11 +213,6 @@ def country_picker(dim_country: DataFrame) -> DataFrame:
     )
 
 
-def metric_choices() -> tuple[str, ...]:
-    """The metric names a caller may select (validated before planning)."""
-    return SELECTABLE_METRICS
-
-
 def validate_metric(metric: str) -> str:
     if metric not in SELECTABLE_METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {SELECTABLE_METRICS}")

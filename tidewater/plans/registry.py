@@ -21,10 +21,11 @@ from tidewater.functions.keys import surrogate_key
 from tidewater.operators import calendar, merge, rollup, scd2
 from tidewater.operators.dedup import latest_per_key
 from tidewater.plans import panels
-from tidewater.plans.warehouse import BATCH_COL, Warehouse, dedup_batch, replay, weekly_batch
+from tidewater.plans.warehouse import Warehouse, dedup_batch, replay, weekly_batch
 from tidewater.sources import envelope, telemetry
 
 CHECK_DIGITS = 9
+SELECTED_DEVICES = (3, 7, 12, 31)
 SELECTED_COUNTRIES = ("US", "JP", "DE", "BR", "AU", "IN")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,16 +66,18 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.hourly_rollup(fact(spark, sf_dir))
 
 
-def as_of_latest(fact_df: DataFrame) -> Column:
-    """Anchor 'now' at the newest fact (a scalar subquery, no cross join).
+def newest_instant(store, name: str = "fact_measurements"):
+    """The newest event time, read from the newest day only (found in the
+    folder listing); a Python value, so that panels prune with a literal."""
+    for day in store.days(name):
+        newest = store.read_day(name, day).agg(F.max("event_time")).first()[0]
+        if newest is not None:
+            return newest
+    return None
 
-    On a stored table with its day column the newest day is found first and
-    only that day partition is read for the newest time.
-    """
-    if "event_time_date" in fact_df.columns:
-        last_day = fact_df.select(F.max("event_time_date")).scalar()
-        return fact_df.filter(F.col("event_time_date") == last_day).select(F.max("event_time")).scalar()
-    return fact_df.select(F.max("event_time")).scalar()
+
+def _literal(instant) -> Column:
+    return F.lit(instant).cast("timestamp")
 
 
 # --- ingestion and staging -----------------------------------------------------
@@ -178,7 +181,7 @@ def _incremental(spark, sf_dir) -> Warehouse:
     """Feed the stream to the warehouse job as weekly micro-batches.
 
     Exactly what the streaming job does per ``foreachBatch`` call, with the
-    batch instant as its clock: tables are appended to (dimensions rewritten)
+    batch instant as its clock: tables are appended to (dimensions replaced)
     in a table store under the shared checkpoint folder, so the cost per
     batch does not grow with the history already loaded.  The batch instants
     come from the data's first and last week (two scalars).
@@ -188,15 +191,20 @@ def _incremental(spark, sf_dir) -> Warehouse:
     from tidewater.sources.tables import TableStore
     from tidewater.streaming.pipeline import WarehouseJob
 
-    r = raw_readings(spark, sf_dir).withColumn(BATCH_COL, weekly_batch())
-    lo, hi = r.select(F.min(BATCH_COL), F.max(BATCH_COL)).first()
+    week = dt.timedelta(days=7)
+    r = raw_readings(spark, sf_dir)
+    lo, hi = r.select(F.min(weekly_batch()), F.max(weekly_batch())).first()
     store = TableStore(spark, _scratch(spark, "incremental"))
     now = {"t": lo}
     job = WarehouseJob(spark, store, row_key_kind="content", clock=lambda: now["t"])
     batch_id = 0
     while lo is not None and now["t"] <= hi:
-        job.process(r.filter(F.col(BATCH_COL) == F.lit(now["t"])).drop(BATCH_COL), batch_id)
-        now["t"] = now["t"] + dt.timedelta(days=7)
+        # bounds on the event table's own time column reach its scan
+        part = telemetry.read_table(spark, sf_dir, "events").filter(
+            (F.col("ts") >= F.lit(now["t"] - week)) & (F.col("ts") < F.lit(now["t"]))
+        )
+        job.process(telemetry.measurements(part), batch_id)
+        now["t"] = now["t"] + week
         batch_id += 1
     return Warehouse(
         staging=store.read("staging_events"),
@@ -235,19 +243,25 @@ def q_upsert_hourly(spark, sf_dir):
     """A rollup computed 3 hours before the newest event, refreshed over the
     trailing 2-hour window of the stored fact table (J7, T9, T10): older
     partial hours keep their stale values, recent hours are recomputed."""
-    f = _served(spark, sf_dir).read_with_day("fact_measurements")
-    as_of = as_of_latest(f)
+    store = _served(spark, sf_dir)
+    f = store.read_with_day("fact_measurements")
+    as_of = _literal(newest_instant(store))
     stale = rollup.hourly_rollup(f.filter(F.col("event_time") < as_of - F.expr("INTERVAL 3 HOURS")))
-    return _round_doubles(rollup.refresh_hourly(stale, f.drop("event_time_date"), as_of))
+    recent = f.filter(F.col("event_time_date") >= F.to_date(rollup.window_start(as_of)))
+    return _round_doubles(rollup.refresh_hourly(stale, recent.drop("event_time_date"), as_of))
 
 
 def q_rollup_touched(spark, sf_dir):
-    """Rollup of the first three weeks, then every (hour, device) touched by a
-    late batch -- the readings of the first day, re-sent -- recomputed however
-    old it is (X6)."""
-    f = _served(spark, sf_dir).read("fact_measurements")
-    early = rollup.hourly_rollup(f.filter(F.weekofyear("event_time") <= 3))
-    late_batch = f.filter(F.dayofmonth("event_time") == 1)
+    """Rollup of all but the last week, then every (hour, device) touched by a
+    late batch -- the last week, and the first one sent again -- recomputed
+    however old it is (X6): the full rollup."""
+    store = _served(spark, sf_dir)
+    f = store.read("fact_measurements")
+    newest = _literal(newest_instant(store))
+    oldest = _literal(store.read_day("fact_measurements", store.days("fact_measurements")[-1]).agg(F.min("event_time")).first()[0])
+    split = newest - F.expr("INTERVAL 7 DAYS")
+    early = rollup.hourly_rollup(f.filter(F.col("event_time") < split))
+    late_batch = f.filter((F.col("event_time") >= split) | (F.col("event_time") < oldest + F.expr("INTERVAL 7 DAYS")))
     return _round_doubles(rollup.refresh_touched(early, f, late_batch))
 
 
@@ -268,33 +282,33 @@ def _served(spark, sf_dir):
     def build():
         store = TableStore(spark, _scratch(spark, "served"))
         wh = warehouse(spark, sf_dir)
-        store.overwrite("fact_measurements", wh.fact, materialize=False)
-        store.overwrite("dim_iot_device", wh.dim_device, materialize=False)
-        store.overwrite("dim_country", wh.dim_country, materialize=False)
-        store.overwrite("fact_hourly_agg", rollup.hourly_rollup(store.read("fact_measurements")), materialize=False)
+        store.overwrite("fact_measurements", wh.fact)
+        store.overwrite("dim_iot_device", wh.dim_device)
+        store.overwrite("dim_country", wh.dim_country)
+        store.overwrite("fact_hourly_agg", rollup.hourly_rollup(store.read("fact_measurements")))
         return store
 
     return _memo(spark, sf_dir, "served", build)
 
 
 def _panel_fact(spark, sf_dir):
-    f = _served(spark, sf_dir).read_with_day("fact_measurements")
-    return f, as_of_latest(f)
+    store = _served(spark, sf_dir)
+    return store.read_with_day("fact_measurements"), _literal(newest_instant(store))
 
 
 def _panel_hourly(spark, sf_dir):
     store = _served(spark, sf_dir)
-    return store.read_with_day("fact_hourly_agg"), as_of_latest(store.read_with_day("fact_measurements"))
+    return store.read_with_day("fact_hourly_agg"), _literal(newest_instant(store))
 
 
-def q_device_series(metric, spark, sf_dir):
+def q_device_series(metric, spark, sf_dir, devices=None):
     f, as_of = _panel_fact(spark, sf_dir)
-    return _round_doubles(panels.device_series(f, metric, as_of))
+    return _round_doubles(panels.device_series(f, metric, as_of, devices))
 
 
-def q_hourly_device_series(column, spark, sf_dir):
+def q_hourly_device_series(column, spark, sf_dir, devices=None):
     h, as_of = _panel_hourly(spark, sf_dir)
-    return _round_doubles(panels.hourly_device_series(h, column, as_of))
+    return _round_doubles(panels.hourly_device_series(h, column, as_of, devices))
 
 
 def q_active_devices(spark, sf_dir):
@@ -308,7 +322,7 @@ def q_events_ingested(spark, sf_dir):
 
 
 def q_latest_event_time(spark, sf_dir):
-    return panels.latest_event_time(_served(spark, sf_dir).read("fact_measurements"))
+    return panels.latest_event_time_stored(_served(spark, sf_dir))
 
 
 def q_ingestion_lag(spark, sf_dir):
@@ -341,7 +355,7 @@ def q_devices_reporting(spark, sf_dir):
 
 
 def q_latest_event_time_by_country(spark, sf_dir):
-    return panels.latest_event_time(_served(spark, sf_dir).read("fact_measurements"), SELECTED_COUNTRIES)
+    return panels.latest_event_time_stored(_served(spark, sf_dir), SELECTED_COUNTRIES)
 
 
 def q_ingestion_lag_by_country(spark, sf_dir):
@@ -349,14 +363,14 @@ def q_ingestion_lag_by_country(spark, sf_dir):
     return panels.ingestion_lag(f, as_of, SELECTED_COUNTRIES)
 
 
-def q_metric_by_minute(metric, spark, sf_dir):
+def q_metric_by_minute(metric, spark, sf_dir, countries=None):
     f, as_of = _panel_fact(spark, sf_dir)
-    return _round_doubles(panels.metric_by_minute(f, metric, as_of))
+    return _round_doubles(panels.metric_by_minute(f, metric, as_of, countries))
 
 
-def q_hourly_metric_by_country(metric, spark, sf_dir):
+def q_hourly_metric_by_country(metric, spark, sf_dir, countries=None):
     h, as_of = _panel_hourly(spark, sf_dir)
-    return _round_doubles(panels.hourly_metric_by_country(h, metric, as_of))
+    return _round_doubles(panels.hourly_metric_by_country(h, metric, as_of, countries))
 
 
 def q_device_series_long(spark, sf_dir):
@@ -505,7 +519,7 @@ def _landed(spark, sf_dir) -> str:
     def build():
         base = _scratch(spark, "landing")
         records = envelope.to_kafka_records(raw_readings(spark, sf_dir), partitions=6)
-        publish_records(records.repartition(4), path=f"{base}/broker")
+        publish_records(records, path=f"{base}/broker")
         q = start_landing(record_file_source(spark, f"{base}/broker"), f"{base}/raw", f"{base}/ckpt-landing",
                           available_now=True)
         q.awaitTermination()
@@ -542,12 +556,11 @@ def _stream_warehouse(spark, sf_dir):
 
 def q_stream_warehouse_fact(spark, sf_dir):
     """Raw zone -> staging stream -> foreachBatch fan-out -> fact."""
-    f = _stream_warehouse(spark, sf_dir).read("fact_measurements")
-    return _round_doubles(f.drop("device_sk", "country_sk"))
+    return _round_doubles(_stream_warehouse(spark, sf_dir).read("fact_measurements"))
 
 
 def q_stream_warehouse_hourly(spark, sf_dir):
-    """Hourly rollup refreshed once after the stream drains."""
+    """Hourly rollup of every hour the stream touched, refreshed after it drains."""
     return _round_doubles(_stream_warehouse(spark, sf_dir).read("fact_hourly_agg"))
 
 
@@ -560,16 +573,17 @@ def q_stream_warehouse_dims(spark, sf_dir):
 
 
 def q_compaction(spark, sf_dir):
-    """Fact written as many small files, last two days compacted."""
+    """Fact written in several appends, last two days compacted."""
     from tidewater.operators.compaction import compact_recent
     from tidewater.sources.tables import TableStore
 
     def build():
         store = TableStore(spark, _scratch(spark, "compaction"))
-        f = fact(spark, sf_dir)
-        store.append("fact_measurements", f.repartition(16))
-        newest = f.agg(F.max("event_time")).first()[0]
-        compact_recent(store, "fact_measurements", newest.date(), days=2)
+        f = fact(spark, sf_dir).persist()
+        for part in range(4):  # small files: each append leaves one a day at least
+            store.append("fact_measurements", f.filter(F.pmod(F.xxhash64("fact_sk"), F.lit(4)) == part))
+        f.unpersist()
+        compact_recent(store, "fact_measurements", newest_instant(store).date(), days=2)
         return store
 
     store = _memo(spark, sf_dir, "compaction", build)
@@ -577,47 +591,89 @@ def q_compaction(spark, sf_dir):
 
 
 def _readings_files(spark, sf_dir, copies: int) -> str:
+    """The readings as several files without order in time; ``copies`` deliveries one after the other."""
+
     def build():
         path = _scratch(spark, f"readings-x{copies}")
         r = raw_readings(spark, sf_dir)
+        rows = max(1, r.count() // 5)  # at least five files a delivery
         for i in range(copies):
             shifted = r.withColumn("ingestion_time", F.col("ingestion_time") + F.expr(f"INTERVAL {60 * i} SECONDS"))
-            shifted.repartition(4).write.mode("append").parquet(path)
+            mixed = shifted.sortWithinPartitions(F.xxhash64("iot_device_id", "event_time"))
+            mixed.write.mode("append").option("maxRecordsPerFile", rows).parquet(path)
         return path
 
     return _memo(spark, sf_dir, f"readings-x{copies}", build)
 
 
-def q_stream_rollup(spark, sf_dir):
-    """Watermarked hourly windows in update mode, upserted per batch."""
+def _file_stream(spark, path: str) -> DataFrame:
+    """One file per micro-batch."""
     from tidewater.schemas import STAGING
+
+    return spark.readStream.schema(STAGING).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def q_stream_rollup(spark, sf_dir):
+    """Hourly rollup kept up to date over several micro-batches without order in time."""
+    from tidewater.sources.tables import TableStore
     from tidewater.streaming.rollup_stream import start_hourly_upsert
 
     def build():
         src = _readings_files(spark, sf_dir, 1)
-        base = _scratch(spark, "stream-rollup")
-        q = start_hourly_upsert(spark.readStream.schema(STAGING).parquet(src), f"{base}/out", f"{base}/ckpt")
-        q.awaitTermination()
-        return f"{base}/out"
+        store = TableStore(spark, _scratch(spark, "stream-rollup"))
+        start_hourly_upsert(_file_stream(spark, src), store, _scratch(spark, "ckpt-rollup")).awaitTermination()
+        return store
 
-    out = spark.read.parquet(_memo(spark, sf_dir, "stream_rollup", build)).drop("hour_bucket_date")
-    return _round_doubles(out)
+    return _round_doubles(_memo(spark, sf_dir, "stream_rollup", build).read("fact_hourly_agg"))
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Every reading delivered twice; dropDuplicatesWithinWatermark keeps one."""
-    from tidewater.schemas import STAGING
+    """Every reading delivered twice, in several micro-batches: one row each, the first to arrive."""
+    from tidewater.sources.tables import TableStore
     from tidewater.streaming.rollup_stream import start_dedup
 
     def build():
         src = _readings_files(spark, sf_dir, 2)
-        base = _scratch(spark, "stream-dedup")
-        q = start_dedup(spark.readStream.schema(STAGING).parquet(src), f"{base}/out", f"{base}/ckpt", delay="31 days")
-        q.awaitTermination()
-        return f"{base}/out"
+        store = TableStore(spark, _scratch(spark, "stream-dedup"))
+        start_dedup(_file_stream(spark, src), store, _scratch(spark, "ckpt-dedup")).awaitTermination()
+        return store
+
+    return _round_doubles(_memo(spark, sf_dir, "stream_dedup", build).read("staging_events"))
+
+
+def _broken(r: DataFrame) -> DataFrame:
+    """The readings with the device or the time of some lost."""
+    k = F.pmod(F.unix_timestamp("event_time") + F.col("iot_device_id"), F.lit(10))
+    return r.withColumns({
+        "event_time": F.when(k != 3, F.col("event_time")),
+        "iot_device_id": F.when(k != 7, F.col("iot_device_id")),
+    })
+
+
+def _quarantine_job(spark, sf_dir):
+    from tidewater.sources.tables import TableStore
+    from tidewater.streaming.pipeline import WarehouseJob
+
+    def build():
+        import datetime as dt
+
+        store = TableStore(spark, _scratch(spark, "broken"))
+        job = WarehouseJob(spark, store, row_key_kind="content", clock=lambda: dt.datetime(2100, 1, 1))
+        for _ in range(2):  # the batch and its replay
+            job.process(_broken(raw_readings(spark, sf_dir)), 0)
+        return job
+
+    return _memo(spark, sf_dir, "broken", build)
+
+
+def q_quarantine(spark, sf_dir):
+    """Readings without device or time, set aside once though the batch is replayed."""
+    return _round_doubles(_quarantine_job(spark, sf_dir).quarantined())
+
 
-    out = spark.read.parquet(_memo(spark, sf_dir, "stream_dedup", build))
-    return out.select("event_time", "iot_device_id", "latitude", "longitude", "timezone")
+def q_quarantine_staging(spark, sf_dir):
+    """What the same batch left in staging."""
+    return _round_doubles(_quarantine_job(spark, sf_dir).store.read("staging_events"))
 
 
 # --- registry ----------------------------------------------------------------------
@@ -650,8 +706,15 @@ def queries() -> dict[str, Query]:
     }
     for m in SERIES_METRICS:
         q[f"panel_series_{m}"] = partial(q_device_series, m)
+        q[f"panel_series_{m}_devices"] = partial(q_device_series, m, devices=SELECTED_DEVICES)
+        q[f"panel_metric_by_minute_{m}"] = partial(q_metric_by_minute, m)
+        q[f"panel_hourly_metric_by_country_{m}"] = partial(q_hourly_metric_by_country, m)
     for c in HOURLY_SERIES:
         q[f"panel_hourly_{c}"] = partial(q_hourly_device_series, c)
+        q[f"panel_hourly_{c}_devices"] = partial(q_hourly_device_series, c, devices=SELECTED_DEVICES)
+    for form, f in (("metric_by_minute", q_metric_by_minute), ("hourly_metric_by_country", q_hourly_metric_by_country)):
+        q[f"panel_{form}_unknown"] = partial(f, "no_such_metric")
+        q[f"panel_{form}_selected"] = partial(f, "temp", countries=SELECTED_COUNTRIES)
     q.update({
         "panel_active_devices": q_active_devices,
         "panel_events_ingested": q_events_ingested,
@@ -664,10 +727,6 @@ def queries() -> dict[str, Query]:
         "panel_devices_reporting": q_devices_reporting,
         "panel_latest_event_time_by_country": q_latest_event_time_by_country,
         "panel_ingestion_lag_by_country": q_ingestion_lag_by_country,
-        "panel_metric_by_minute_temp": partial(q_metric_by_minute, "temp"),
-        "panel_metric_by_minute_wind_gust": partial(q_metric_by_minute, "wind_gust"),
-        "panel_hourly_metric_by_country_rain_1h": partial(q_hourly_metric_by_country, "rain_1h"),
-        "panel_hourly_metric_by_country_wind_gust": partial(q_hourly_metric_by_country, "wind_gust"),
         "panel_device_series_long": q_device_series_long,
         "panel_hourly_metric_by_country_avg": q_hourly_metric_by_country_avg,
         "panel_country_overview": q_country_overview,
@@ -686,5 +745,7 @@ def queries() -> dict[str, Query]:
         "compaction": q_compaction,
         "stream_rollup": q_stream_rollup,
         "stream_dedup": q_stream_dedup,
+        "quarantine": q_quarantine,
+        "quarantine_staging": q_quarantine_staging,
     })
     return q

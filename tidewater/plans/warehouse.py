@@ -1,27 +1,22 @@
-"""The warehouse as a whole: per-batch fan-out and bulk replay.
+"""The warehouse as a whole: bulk replay.
 
-``process_batch`` is the body of the streaming ``foreachBatch``: one
-de-duplicated batch is merged into staging, the calendar, both SCD2
-dimensions and the fact table, in that order.  It is a pure function from
-DataFrames to DataFrames; ``tidewater.streaming.pipeline`` persists the
-results.
-
-``replay`` computes the same tables for a whole history of batches at once
-(one windowed pass per dimension instead of one merge per batch) -- used for
-backfills and as the reference for the incremental path.
+``replay`` computes all tables for a whole history of batches at once (one
+windowed pass per dimension instead of one merge per batch) -- used for
+backfills and as the reference for the incremental path, which is
+``tidewater.streaming.pipeline.WarehouseJob``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.functions.geo import country_of
 from tidewater.functions.keys import surrogate_key
-from tidewater.operators import calendar, facts, merge, scd2
+from tidewater.operators import calendar, facts, scd2
 from tidewater.operators.dedup import drop_duplicate_keys, latest_per_key, split_null_keys
-from tidewater.schemas import DEDUP_KEYS, TABLES
+from tidewater.schemas import DEDUP_KEYS
 
 BATCH_COL = "_batch_ts"
 
@@ -33,19 +28,8 @@ class Warehouse:
     dim_device: DataFrame
     dim_country: DataFrame
     fact: DataFrame
-
-
-def empty_warehouse(spark: SparkSession) -> Warehouse:
-    def empty(name: str) -> DataFrame:
-        return spark.createDataFrame([], TABLES[name][0])
-
-    return Warehouse(
-        staging=empty("staging_events"),
-        dim_date=empty("dim_date"),
-        dim_device=empty("dim_iot_device"),
-        dim_country=empty("dim_country"),
-        fact=empty("fact_measurements"),
-    )
+    #: Readings without event time or device, which no table takes.
+    quarantine: DataFrame | None = None
 
 
 DEDUP_ORDER = ("ingestion_time", "temp", "pressure", "humidity")
@@ -61,52 +45,6 @@ def dedup_batch(batch: DataFrame) -> DataFrame:
     return drop_duplicate_keys(batch, DEDUP_KEYS, _dedup_order())
 
 
-def day_bounds(batch: DataFrame, time_col: str = "event_time") -> tuple[Column, Column]:
-    """First and last calendar day of a batch, as two scalar subqueries."""
-    lo = batch.select(F.min(F.to_date(time_col))).scalar()
-    hi = batch.select(F.max(F.to_date(time_col))).scalar()
-    return lo, hi
-
-
-def day_range_filter(batch: DataFrame, time_col: str = "event_time") -> Column:
-    """``time_col`` within the batch's [first day, last day + 1)."""
-    lo, hi = day_bounds(batch, time_col)
-    return (F.col(time_col) >= lo.cast("timestamp")) & (F.col(time_col) < F.date_add(hi, 1).cast("timestamp"))
-
-
-def process_batch(
-    wh: Warehouse,
-    batch: DataFrame,
-    batch_ts,
-    row_key_kind: str = "uuid",
-    skip_loaded_facts: bool = True,
-) -> tuple[Warehouse, DataFrame]:
-    """Merge one micro-batch; returns (new warehouse state, quarantined rows).
-
-    Rows with a NULL event time or device are quarantined instead of being
-    re-inserted by every batch.
-    """
-    good, bad = split_null_keys(batch, DEDUP_KEYS)
-    deduped = dedup_batch(good)
-    touched = day_range_filter(deduped)
-
-    new_staging = merge.rows_to_insert(wh.staging, deduped, DEDUP_KEYS, target_filter=touched)
-    staging = wh.staging.unionByName(new_staging.select(*wh.staging.columns))
-    dim_date = calendar.upsert_dates(wh.dim_date, deduped)
-
-    dev_stage = scd2.stage_versions(scd2.device_states(deduped), scd2.DEVICE, batch_ts)
-    dim_device = scd2.scd2_merge(wh.dim_device, dev_stage, scd2.DEVICE)
-    cty_stage = scd2.stage_versions(scd2.country_states(deduped), scd2.COUNTRY, batch_ts)
-    dim_country = scd2.scd2_merge(wh.dim_country, cty_stage, scd2.COUNTRY)
-
-    new_facts = facts.load_fact(deduped, dim_device, dim_country, row_key_kind)
-    if skip_loaded_facts:
-        new_facts = facts.not_yet_loaded(new_facts, wh.fact, touched)
-    fact = wh.fact.unionByName(new_facts)
-    return replace(wh, staging=staging, dim_date=dim_date, dim_device=dim_device,
-                   dim_country=dim_country, fact=fact), bad
-
-
 # ---------------------------------------------------------------------------
 # bulk replay
 
@@ -170,8 +108,7 @@ def replay(readings: DataFrame, batch: Column | None = None, row_key_kind: str =
     ``batch`` maps a reading to the instant its batch is merged (default:
     weekly).  With ``deduplicate`` the readings are raw and de-duplicated
     here (earliest ingestion wins); otherwise they must be de-duplicated
-    already.  Rows with a NULL key are left out (the streaming job
-    quarantines them).  Staging is the de-duplicated readings.
+    already.  Rows with a NULL key are returned as ``quarantine``.  Staging is the de-duplicated readings.
 
     Plan shape: per-(device, batch) states come from a partial top-1 before
     their shuffle (a hot device is cut to one row per task), the version
@@ -180,7 +117,7 @@ def replay(readings: DataFrame, batch: Column | None = None, row_key_kind: str =
     measured size allows, otherwise sort-merge with skew splitting.
     """
     batch = weekly_batch() if batch is None else batch
-    raw, _null_keys = split_null_keys(readings, DEDUP_KEYS)
+    raw, null_keys = split_null_keys(readings, DEDUP_KEYS)
     clean = dedup_batch(raw) if deduplicate else raw
     states = per_batch_states(raw, batch)
     dim_device = scd2.scd2_history(states.select("iot_device_id", BATCH_COL, *scd2.DEVICE.tracked), scd2.DEVICE, BATCH_COL)
@@ -188,4 +125,5 @@ def replay(readings: DataFrame, batch: Column | None = None, row_key_kind: str =
     resolved = clean.withColumn(BATCH_COL, batch).join(batch_versions(states), ["iot_device_id", BATCH_COL], "inner")
     fact = facts.fact_rows(resolved, row_key_kind)
     dim_date = calendar.calendar_rows(clean)
-    return Warehouse(staging=clean, dim_date=dim_date, dim_device=dim_device, dim_country=dim_country, fact=fact)
+    return Warehouse(staging=clean, dim_date=dim_date, dim_device=dim_device, dim_country=dim_country, fact=fact,
+                     quarantine=null_keys)

@@ -8,7 +8,7 @@ the shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -81,8 +81,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ensure_local_fallback(spark: SparkSession) -> None:
-    """For local runs only: give the session a checkpoint folder if it has none."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        checkpoint_dir(spark, fallback=os.path.join("/tmp", f"tidewater-ckpt-{uuid.uuid4().hex[:8]}"))
-    else:
+    """Make checkpoints usable: the folder named by ``spark.checkpoint.dir``,
+    or, only where every task runs in this process, one of our own."""
+    if spark.conf.get("spark.checkpoint.dir", None):
         checkpoint_dir(spark)
+        return
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="run-", dir="/tmp"))

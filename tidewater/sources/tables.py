@@ -6,9 +6,16 @@ time-partitioned ones -- partitioned by a derived ``<col>_date`` column so a
 filter on the day prunes directories and a rewrite touches only the days a
 batch covers (dynamic partition overwrite).
 
-A DataFrame that was computed from a table is materialised (checkpointed to
-the shared checkpoint folder) before it overwrites that table, so the write
-never reads the files it is replacing.
+A write never deletes rows before their replacement is complete.  A whole
+table is written to a sibling folder, which takes the table's place by rename
+(``overwrite``); days are staged by Spark's dynamic partition overwrite and
+moved in when the job commits (``overwrite_days``).  Either may therefore be
+computed from the table it replaces.  A run that stops between the two renames
+is completed by the next access (``recover``).  One job writes a table at a
+time.
+
+Rows are redistributed by day before a partitioned write, so a day gets few
+files however many tasks computed it; adaptive execution splits large days.
 """
 
 from __future__ import annotations
@@ -47,9 +54,38 @@ class TableStore:
         return p.getFileSystem(hconf), jvm.org.apache.hadoop.fs.Path
 
     def exists(self, name: str) -> bool:
+        self.recover(name)
         fs, Path = self._fs()
         return bool(fs.exists(Path(self.path(name))))
 
+    def recover(self, name: str) -> None:
+        """Finish a replacement that stopped between its two renames."""
+        fs, Path = self._fs()
+        table, new, old = Path(self.path(name)), Path(self.path(name) + ".new"), Path(self.path(name) + ".old")
+        if fs.exists(table):
+            return
+        if fs.exists(Path(self.path(name) + ".new/_SUCCESS")):
+            fs.rename(new, table)
+        elif fs.exists(old):
+            fs.rename(old, table)
+
+    def has_path(self, path: str) -> bool:
+        fs, Path = self._fs()
+        return bool(fs.exists(Path(path)))
+
+    def delete_path(self, path: str) -> None:
+        fs, Path = self._fs()
+        fs.delete(Path(path), True)
+
+    def days(self, name: str) -> list[str]:
+        """The days that have files, newest first, from the folder listing alone."""
+        col = day_column(name)
+        fs, Path = self._fs()
+        if col is None or not self.exists(name):
+            return []
+        names = [str(f.getPath().getName()) for f in fs.listStatus(Path(self.path(name))) if f.isDirectory()]
+        return sorted((n.split("=", 1)[1] for n in names if n.startswith(f"{col}=") and "HIVE_DEFAULT" not in n), reverse=True)
+
     def size_bytes(self, name: str, day_filter: list[str] | None = None) -> int:
         """Bytes on storage of a table (or of some of its day partitions)."""
         fs, Path = self._fs()
@@ -89,6 +125,7 @@ class TableStore:
         return self.read_with_day(name).select(*TABLES[name][0].fieldNames())
 
     def read_with_day(self, name: str) -> DataFrame:
+        self.recover(name)
         schema = TABLES[name][0]
         col = day_column(name)
         full = T.StructType(schema.fields + ([T.StructField(col, T.DateType(), True)] if col else []))
@@ -111,47 +148,71 @@ class TableStore:
 
     # -- write -----------------------------------------------------------------
 
-    def _prepare(self, df: DataFrame, name: str) -> DataFrame:
+    def _prepare(self, df: DataFrame, name: str, deal: bool) -> DataFrame:
         schema, part = TABLES[name]
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         if part:
             out = out.withColumn(day_column(name), F.to_date(F.col(part)))
+            if deal:
+                out = out.hint("rebalance", day_column(name))
         order = SORT_ORDER.get(name)
         if order:
             out = out.sortWithinPartitions(*([day_column(name)] if part else []), *order)
         return out
 
-    def _write(self, df: DataFrame, name: str, mode: str) -> None:
-        out = self._prepare(df, name)
-        writer = out.write.mode(mode).option("compression", PARQUET_CODEC)
+    def _write(self, df: DataFrame, name: str, mode: str, path: str, overwrite: str = "static", deal: bool = True) -> None:
+        writer = self._prepare(df, name, deal).write.mode(mode).option("compression", PARQUET_CODEC)
+        # said for each write, so that the session's mode doesn't matter
+        writer = writer.option("partitionOverwriteMode", overwrite)
         col = day_column(name)
         if col:
             writer = writer.partitionBy(col)
-        writer.parquet(self.path(name))
+        writer.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
         self.ensure(name)
-        self._write(df, name, "append")
-
-    def overwrite(self, name: str, df: DataFrame, materialize: bool = True) -> None:
-        """Replace the whole table (dimensions).  ``df`` is checkpointed first
-        when it may have been computed from the table itself."""
-        src = df.checkpoint() if materialize else df
-        self._write(src, name, "overwrite")
+        self._write(df, name, "append", self.path(name))
 
-    def overwrite_days(self, name: str, df: DataFrame, materialize: bool = True) -> None:
-        """Replace only the day partitions present in ``df`` (dynamic
-        partition overwrite); other days are untouched."""
+    def overwrite(self, name: str, df: DataFrame) -> None:
+        """Replace the whole table; ``df`` may read it.  The old files stay
+        beside it until the next replacement."""
+        self.recover(name)
+        fs, Path = self._fs()
+        table, new, old = Path(self.path(name)), Path(self.path(name) + ".new"), Path(self.path(name) + ".old")
+        self._write(df, name, "overwrite", self.path(name) + ".new")
+        if fs.exists(table):
+            fs.delete(old, True)
+            fs.rename(table, old)
+        fs.rename(new, table)
+
+    def overwrite_days(self, name: str, df: DataFrame, deal: bool = True) -> None:
+        """Replace only the day partitions present in ``df``, which may read
+        the table; other days are untouched."""
         if day_column(name) is None:
             raise ValueError(f"{name} is not day-partitioned")
         self.ensure(name)
-        src = df.checkpoint() if materialize else df
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            self._write(src, name, "overwrite")
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        self._write(df, name, "overwrite", self.path(name), "dynamic", deal)
+
+    def create_tables(self, database: str) -> None:
+        """CREATE TABLE IF NOT EXISTS for every table, over its files, in the session's catalog."""
+        self.ensure_all()
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name, (schema, _) in TABLES.items():
+            col = day_column(name)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            columns += f", `{col}` date" if col else ""
+            parts = f"PARTITIONED BY ({col})" if col else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {parts} LOCATION '{self.path(name)}'"
+            )
+            if col:
+                self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+            else:
+                self.spark.catalog.refreshTable(f"{database}.{name}")
+
+    def read_day(self, name: str, day: str) -> DataFrame:
+        """One day, declared columns and the day column."""
+        return self.read_with_day(name).filter(F.col(day_column(name)) == F.lit(day).cast("date"))
 
     def publish_views(self) -> None:
         """Expose every existing table as a temp view of the same name."""

@@ -2,36 +2,41 @@
 
 Per micro-batch (``WarehouseJob.process``, the ``foreachBatch`` body):
 
-1. quarantine rows with a NULL key, de-duplicate on (event_time, device);
-2. persist the batch; one job finds its day range, and an empty batch stops;
-3. staging: insert rows not yet present (target read from the batch's day
+1. persist the batch; one job finds its day range and its broken rows;
+2. rows with a NULL key go to ``<root>/quarantine``, in a folder named by
+   source and batch id that a replay replaces;
+3. de-duplicate on (event_time, device); an empty batch stops here;
+4. staging: insert rows not yet present (target read from the batch's day
    partitions only);
-4. dim_date: append dates not yet present;
-5. dim_iot_device, dim_country: SCD2 merge with one literal batch instant;
-6. fact: resolve keys against the new current rows, skip rows already
-   loaded, append.
+5. dim_date: append dates not yet present;
+6. dim_iot_device, dim_country: SCD2 merge with one literal batch instant;
+7. fact: resolve keys against the new current rows, skip rows already
+   loaded, append;
+8. note the (hour, device) pairs the batch touched in ``<root>/pending_hours``.
 
 Every step is idempotent, so a replayed batch (``foreachBatch`` is
 at-least-once) changes nothing.  After the stream drains, ``finish``
-refreshes the hourly rollup for the trailing window -- or for every hour the
-run touched -- and compacts recent fact partitions.
+recomputes every noted hour, however old, and compacts recent fact
+partitions; the notes go when the rollup is written, so a run that stops
+before that leaves them to the next one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.operators import calendar, facts, rollup, scd2
 from tidewater.operators.compaction import compact_recent
 from tidewater.operators.dedup import split_null_keys
 from tidewater.operators.merge import rows_to_insert
-from tidewater.plans.warehouse import day_bounds, dedup_batch
-from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS
+from tidewater.plans.warehouse import dedup_batch
+from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS, STAGING
 from tidewater.sources.tables import TableStore
 from tidewater.streaming.staging import start_staging
 
@@ -42,40 +47,61 @@ def _utc_now() -> dt.datetime:
 
 class WarehouseJob:
     def __init__(self, spark: SparkSession, store: TableStore, row_key_kind: str = "uuid",
-                 clock: Callable[[], dt.datetime] = _utc_now, quarantine: str | None = None,
+                 clock: Callable[[], dt.datetime] = _utc_now, source: str = "job",
                  effective_from: str = "batch"):
-        """``effective_from="batch"`` versions dimensions in arrival order (a
+        """``source`` names the stream whose batch ids are used.
+        ``effective_from="batch"`` versions dimensions in arrival order (a
         version starts at the batch instant); ``"event_time"`` starts a version
         at its reading's time and ignores late states older than the current
-        version."""
+        version (they are in staging and facts, but open no version)."""
         self.effective_from = effective_from
         self.spark = spark
         self.store = store
         self.row_key_kind = row_key_kind
         self.clock = clock
-        self.quarantine = quarantine
+        self.source = source
         self.batches = 0
         store.ensure_all()
 
     # -- per batch -------------------------------------------------------------
 
+    def _batch_folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.store.root}/{kind}/source={self.source}/batch_id={batch_id}"
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         batch_ts = self.clock()
-        good, bad = split_null_keys(batch, DEDUP_KEYS)
-        if self.quarantine:
-            bad.write.mode("append").parquet(self.quarantine)
-        deduped = dedup_batch(good).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # one job gives both the emptiness test and the batch's day
-            # bounds (two scalars); literal bounds prune target partitions
-            # statically in every plan of the merge
-            lo, hi = deduped.select(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+            good, bad = split_null_keys(batch, DEDUP_KEYS)
+            day = F.to_date("event_time")
+            broken = F.col(DEDUP_KEYS[0]).isNull() | F.col(DEDUP_KEYS[1]).isNull()
+            # one job gives the emptiness test, the day bounds of the good
+            # rows (literals, which prune target partitions statically) and
+            # whether there is anything to set aside
+            lo, hi, n_bad = batch.select(
+                F.min(F.when(~broken, day)), F.max(F.when(~broken, day)), F.count_if(broken)
+            ).first()
+            if n_bad:
+                bad.write.mode("overwrite").parquet(self._batch_folder("quarantine", batch_id))
             if lo is None:
                 return
-            self._merge(deduped, batch_ts, F.lit(lo), F.lit(hi))
-            self.batches += 1
+            deduped = dedup_batch(good).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self._merge(deduped, batch_ts, F.lit(lo), F.lit(hi))
+                hours = rollup.touched_hours(deduped)
+                hours.write.mode("overwrite").parquet(self._batch_folder("pending_hours", batch_id))
+                self.batches += 1
+            finally:
+                deduped.unpersist()
         finally:
-            deduped.unpersist()
+            batch.unpersist()
+
+    def quarantined(self) -> DataFrame:
+        """All rows set aside so far."""
+        path = f"{self.store.root}/quarantine"
+        if not self.store.has_path(path):
+            return self.spark.createDataFrame([], STAGING)
+        return self.spark.read.schema(STAGING).option("recursiveFileLookup", "true").parquet(path)
 
     def _merge(self, deduped: DataFrame, batch_ts: dt.datetime, first, last) -> None:
         st = self.store
@@ -90,11 +116,15 @@ class WarehouseJob:
         by_time = self.effective_from == "event_time"
 
         def merge_dimension(name: str, spec: scd2.Scd2Spec, states: DataFrame) -> None:
-            stage = scd2.stage_versions(states, spec, batch_ts, self.effective_from)
-            dim = st.read(name)
-            if not by_time and scd2.changing_keys(dim, stage, spec).isEmpty():
-                return  # nothing opens or closes: skip rewriting the dimension
-            st.overwrite(name, scd2.scd2_merge(dim, stage, spec, ignore_older=by_time))
+            # one row per device of the batch, read several times below
+            stage = scd2.stage_versions(states, spec, batch_ts, self.effective_from).persist()
+            try:
+                dim = st.read(name)
+                if not by_time and scd2.changing_keys(dim, stage, spec).isEmpty():
+                    return  # nothing opens or closes: skip rewriting the dimension
+                st.overwrite(name, scd2.scd2_merge(dim, stage, spec, ignore_older=by_time))
+            finally:
+                stage.unpersist()
 
         def devices() -> None:
             merge_dimension("dim_iot_device", scd2.DEVICE, scd2.device_states(deduped, keep_time=by_time))
@@ -106,7 +136,8 @@ class WarehouseJob:
         # so they run as concurrent Spark jobs; the fact load needs both new
         # dimensions and runs after them.
         with ThreadPoolExecutor(max_workers=4) as pool:
-            for f in [pool.submit(step) for step in (staging, dates, devices, countries)]:
+            # the threads carry the stream's job group, so stopping it cancels them
+            for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in (staging, dates, devices, countries)]:
                 f.result()
 
         new_facts = facts.load_fact(deduped, st.read("dim_iot_device"), st.read("dim_country"), self.row_key_kind)
@@ -126,23 +157,33 @@ class WarehouseJob:
         fresh = rollup.hourly_rollup(recent.drop("event_time_date"), start)
         self._upsert_hourly(fresh)
 
-    def refresh_touched(self, batch: DataFrame) -> None:
-        """Recompute every (hour, device) a batch wrote, however old; reads
-        only the fact days the batch covers."""
-        st = self.store
-        first, last = day_bounds(batch)
-        self._upsert_hourly(rollup.refresh_source(st.read_days("fact_measurements", first, last), batch))
+    def refresh_pending(self) -> None:
+        """Recompute every (hour, device) that a batch wrote since the last
+        time, however old; reads only the fact days that hold them."""
+        st, path = self.store, f"{self.store.root}/pending_hours"
+        if not st.has_path(path):
+            return
+        hours = self.spark.read.option("recursiveFileLookup", "true").parquet(path).distinct()
+        lo, hi = hours.select(F.min(F.to_date("hour_bucket")), F.max(F.to_date("hour_bucket"))).first()
+        facts_of = st.read_days("fact_measurements", F.lit(lo), F.lit(hi))
+        self._upsert_hourly(rollup.refresh_hours(facts_of, hours))
+        st.delete_path(path)
 
     def _upsert_hourly(self, fresh: DataFrame) -> None:
         st = self.store
-        fresh = fresh.checkpoint()
-        first, last = day_bounds(fresh, "hour_bucket")
-        existing = st.read_days("fact_hourly_agg", first, last)
-        kept = existing.join(fresh.select(*HOURLY_KEYS), HOURLY_KEYS, "left_anti")
-        st.overwrite_days("fact_hourly_agg", kept.unionByName(fresh), materialize=True)
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lo, hi = fresh.select(F.min(F.to_date("hour_bucket")), F.max(F.to_date("hour_bucket"))).first()
+            if lo is None:
+                return
+            existing = st.read_days("fact_hourly_agg", F.lit(lo), F.lit(hi))
+            kept = existing.join(fresh.select(*HOURLY_KEYS), HOURLY_KEYS, "left_anti")
+            st.overwrite_days("fact_hourly_agg", kept.unionByName(fresh))
+        finally:
+            fresh.unpersist()
 
     def finish(self, as_of: dt.datetime | None = None, compact_days: int = 2) -> None:
-        self.refresh_rollup(as_of)
+        self.refresh_pending()
         day = (as_of or self.clock()).date()
         compact_recent(self.store, "fact_measurements", day, compact_days)
 
@@ -152,7 +193,8 @@ def run(spark: SparkSession, raw_path: str, store: TableStore, checkpoint: str,
     """Drain the raw zone through the warehouse job, then finish (rollup and
     compaction).  The fact table exists before the stream starts, so a run
     with no new files still succeeds."""
-    job = WarehouseJob(spark, store, **job_args)
+    source = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    job = WarehouseJob(spark, store, **{"source": source, **job_args})
     query = start_staging(spark, raw_path, checkpoint, job.process, available_now=True,
                           max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination()

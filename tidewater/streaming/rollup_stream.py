@@ -1,102 +1,97 @@
 """Streaming forms of the hourly rollup and of cross-batch de-duplication.
 
-* :func:`hourly_updates`: tumbling one-hour windows per (device, country)
-  with a watermark; in ``update`` mode each micro-batch emits the windows it
-  changed, and :func:`start_hourly_upsert` upserts them into a parquet table
-  (one rewrite of the touched day partitions per batch).  Rows later than the
-  watermark are dropped -- the streaming counterpart of the batch job's
-  trailing recompute window.  State older than the watermark is evicted, so
-  state size is bounded by the watermark delay, not by history.
-* :func:`dedup_stream`: ``dropDuplicatesWithinWatermark`` on the natural key,
-  so re-delivered readings are dropped across batches with bounded state.
+Both keep the readings in a table store and merge each micro-batch with the
+stored days it covers, so nothing depends on a watermark: a reading that
+arrives late, in any order, is kept, and one delivered twice is not.
+
+* :func:`start_dedup` appends the readings whose key is not stored yet;
+* :func:`start_hourly_upsert` does so too, then recomputes the (hour, device)
+  pairs that the batch touched from the stored readings and replaces them.
+
+A micro-batch costs a read of the days it covers.  Every step is idempotent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.geo import country_of
-from tidewater.operators.merge import upsert
-from tidewater.schemas import DEDUP_KEYS, HOURLY_AVG_SOURCES
-
-STREAM_HOURLY_KEYS = ("hour_bucket", "iot_device_id", "country_code")
+from tidewater.operators import rollup
+from tidewater.operators.dedup import split_null_keys
+from tidewater.operators.merge import rows_to_insert, upsert
+from tidewater.plans.warehouse import dedup_batch
+from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS
+from tidewater.sources.tables import TableStore
 
 
-def hourly_updates(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Streaming hourly averages keyed by (hour, device, reading's country).
+def store_new(store: TableStore, batch: DataFrame, batch_id: int) -> tuple | None:
+    """Append the batch's readings that are not stored yet to staging_events.
 
-    ``event_time`` must be TIMESTAMP (a watermark rejects TIMESTAMP_NTZ).
+    Returns the first and last day of the batch (None: it has no reading with
+    both keys).  Readings without a key are set aside by batch id.
     """
-    src = readings.withColumn("event_time", F.col("event_time").cast("timestamp")).withColumn(
-        "country_code", country_of("latitude", "longitude").getField("country_code")
-    )
-    agg = (
-        src.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour").alias("w"), "iot_device_id", "country_code")
-        .agg(
-            *[F.avg(F.col(c).cast("double")).alias(f"avg_{c}") for c in HOURLY_AVG_SOURCES],
-            F.count(F.lit(1)).alias("readings"),
-        )
-    )
-    return agg.select(F.col("w.start").alias("hour_bucket"), *[c for c in agg.columns if c != "w"])
-
-
-def upsert_into_path(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                     schema: T.StructType, day_source: str) -> None:
-    """Upsert ``updates`` into a parquet table partitioned by the day of
-    ``day_source``; only the days present in ``updates`` are rewritten."""
-    day_col = f"{day_source}_date"
-    full = T.StructType(schema.fields + [T.StructField(day_col, T.DateType(), True)])
-    existing = spark.read.schema(full).parquet(path) if _exists(spark, path) else spark.createDataFrame([], full)
-    # two collected scalars: the rewritten days, pruned statically on read
-    first, last = updates.select(F.min(F.to_date(day_source)), F.max(F.to_date(day_source))).first()
-    current = existing.filter(F.col(day_col).between(F.lit(first), F.lit(last))).drop(day_col)
-    merged = upsert(current, updates.select(*schema.fieldNames()), keys).checkpoint()
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (merged.withColumn(day_col, F.to_date(day_source)).write.mode("overwrite")
-         .partitionBy(day_col).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
-
-
-def start_hourly_upsert(readings: DataFrame, path: str, checkpoint: str, delay: str = "2 hours",
+    good, bad = split_null_keys(batch, DEDUP_KEYS)
+    broken = F.col(DEDUP_KEYS[0]).isNull() | F.col(DEDUP_KEYS[1]).isNull()
+    day = F.to_date("event_time")
+    lo, hi, n_bad = batch.select(
+        F.min(F.when(~broken, day)), F.max(F.when(~broken, day)), F.count_if(broken)
+    ).first()
+    if n_bad:
+        bad.write.mode("overwrite").parquet(f"{store.root}/quarantine/batch_id={batch_id}")
+    if lo is None:
+        return None
+    stored = store.read_days("staging_events", F.lit(lo), F.lit(hi))
+    store.append("staging_events", rows_to_insert(stored, dedup_batch(good), DEDUP_KEYS))
+    return lo, hi
+
+
+def refresh_touched_hours(store: TableStore, batch: DataFrame, first, last) -> None:
+    """Replace the rollup rows of the hours that ``batch`` touched."""
+    days = F.lit(first), F.lit(last)
+    readings = store.read_days("staging_events", *days)
+    placed = readings.withColumn("country_code", country_of("latitude", "longitude").getField("country_code"))
+    fresh = rollup.refresh_hours(placed, rollup.touched_hours(split_null_keys(batch, DEDUP_KEYS)[0]))
+    existing = store.read_days("fact_hourly_agg", *days)
+    store.overwrite_days("fact_hourly_agg", upsert(existing, fresh, HOURLY_KEYS))
+
+
+def _start(readings: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
+           available_now: bool, processing_time: str) -> StreamingQuery:
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = readings.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def start_hourly_upsert(readings: DataFrame, store: TableStore, checkpoint: str,
                         available_now: bool = True, processing_time: str = "1 minute") -> StreamingQuery:
-    updates = hourly_updates(readings, delay)
-    spark = readings.sparkSession
-    schema = updates.schema
+    """Keep ``fact_hourly_agg`` of ``store`` equal to the rollup of all readings so far."""
+    store.ensure_all()
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert_into_path(spark, path, batch, STREAM_HOURLY_KEYS, schema, "hour_bucket")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        days = store_new(store, batch, batch_id)
+        if days:
+            refresh_touched_hours(store, batch, *days)
 
-    writer = updates.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _start(readings, step, checkpoint, available_now, processing_time)
 
 
-def dedup_stream(readings: DataFrame, delay: str = "2 hours", keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
-    """Drop re-delivered readings across batches (first arrival kept)."""
-    return (
-        readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(list(keys))
-    )
+def start_dedup(readings: DataFrame, store: TableStore, checkpoint: str,
+                available_now: bool = True, processing_time: str = "1 minute") -> StreamingQuery:
+    """Keep ``staging_events`` of ``store`` at one row per reading, the first to arrive."""
+    store.ensure_all()
 
+    def step(batch: DataFrame, batch_id: int) -> None:
+        store_new(store, batch, batch_id)
 
-def start_dedup(readings: DataFrame, path: str, checkpoint: str, delay: str = "2 hours",
-                available_now: bool = True) -> StreamingQuery:
-    writer = (dedup_stream(readings, delay).writeStream.format("parquet").option("path", path)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _start(readings, step, checkpoint, available_now, processing_time)
