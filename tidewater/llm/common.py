@@ -41,6 +41,15 @@ def distinct_texts(docs: DataFrame, column: str = "text") -> DataFrame:
     return docs.select(text_key(column).alias("text_id"), text_of(column).alias("text")).dropDuplicates(["text_id"])
 
 
+def with_ids(df: DataFrame, ids: DataFrame, key: str, most: int = 2_000_000) -> DataFrame:
+    """The rows of ``df`` whose ``key`` (a long) is in ``ids``, a stored table of distinct keys.
+
+    Up to ``most`` keys (16 MB) are sent to every task, so that ``df`` is not
+    shuffled; beyond that Spark plans an ordinary join.
+    """
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_semi")
+
+
 def byte_slices(column: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column without nulls into runs of rows of about ``max_bytes``.
 

@@ -11,7 +11,8 @@ holds the smallest k hashes; a set of at most ``whole`` shingles is kept whole.
    the lists unless it makes up most of a document.
 2. Each list is first compared with one pivot, its member with the fewest
    rarer values.  Links that hold give components; then the pairs that are
-   still in different components are compared.  A group of n near copies
+   still in different components are compared, those of long lists after
+   listing their members anew with whole sets.  A group of n near copies
    costs about n comparisons, not n * n.
 3. The *union sketch* of a pair estimates its similarity and filters;
    the exact Jaccard similarity of the full sets verifies the rest.
@@ -31,14 +32,14 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import RangeHash, byte_slices, mix64, scratch_folder, text_key, text_of
+from tidewater.llm.common import RangeHash, byte_slices, mix64, scratch_folder, text_key, text_of, with_ids
 from tidewater.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -52,6 +53,8 @@ class NearRule:
     percent: int = 80
     k: int = 128
     whole: int = 256
+    #: Members from which on a list's texts are compared by whole sets.
+    crowd: int = 16
     #: Standard errors by which a sketch may fall short of what it estimates.
     slack: float = 5.0
 
@@ -254,24 +257,43 @@ def pivot_pairs(entries: DataFrame, rule: NearRule) -> DataFrame:
     return pairs.select(*pair_of(F.col("e.text_id"), F.col("p.text_id"))).distinct()
 
 
-def open_pairs(entries: DataFrame, roots: DataFrame, tested: DataFrame, rule: NearRule) -> DataFrame:
-    """(a, b): pairs of a list that are in different components and not yet tested."""
-    labelled = entries.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn(
+def labelled(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """``entries`` with the root of each text, and the spread of roots and number of members of each list."""
+    named = entries.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn(
         "root", F.coalesce("root", "text_id")
     )
-    split = (
-        labelled.groupBy("v", "tier")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .where(F.col("lo") != F.col("hi"))
-        .select("v", "tier")
+    lists = named.groupBy("v", "tier").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")
     )
-    mixed = labelled.join(split, ["v", "tier"], "left_semi")
+    return named.join(lists.where(F.col("lo") != F.col("hi")).select("v", "tier", "members"), ["v", "tier"])
+
+
+def apart_pairs(mixed: DataFrame, rule: NearRule) -> DataFrame:
+    """(a, b): pairs of a list that have different roots."""
     x, y = mixed.alias("x"), mixed.alias("y")
     same = (F.col("x.v") == F.col("y.v")) & (F.col("x.tier") == F.col("y.tier"))
     apart = (F.col("x.text_id") < F.col("y.text_id")) & (F.col("x.root") != F.col("y.root"))
     pairs = x.join(y, same & apart & may_link("x", "y", rule))
-    found = pairs.select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b")).distinct()
-    return found.join(tested, ["a", "b"], "left_anti")
+    return pairs.select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b")).distinct()
+
+
+def open_pairs(
+    entries: DataFrame, roots: DataFrame, tested: DataFrame, texts: DataFrame, folder: str, rule: NearRule
+) -> DataFrame:
+    """(a, b): pairs that share a list, are in different components and have not been tested.
+
+    The members of a list of over ``crowd`` are listed anew, among themselves
+    and with whole sets: the exact requirement lets hardly a pair through that
+    is not linked, where a sketch must allow for chance.
+    """
+    spark = entries.sparkSession
+    mixed = labelled(entries, roots)
+    crowded = F.col("members") > rule.crowd
+    mixed.where(crowded).select("text_id").distinct().write.parquet(f"{folder}/crowd")
+    whole = replace(rule, whole=(1 << 31) - 1)
+    again = index_entries(retained_values(with_ids(texts, spark.read.parquet(f"{folder}/crowd"), "text_id"), whole), whole)
+    pairs = apart_pairs(mixed.where(~crowded), rule).unionByName(apart_pairs(labelled(again, roots), whole))
+    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: NearRule) -> DataFrame:
@@ -309,15 +331,17 @@ def text_links(docs: DataFrame, rule: NearRule, text: str = "text") -> DataFrame
     lists = entries.groupBy("v", "tier").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
     lists = lists.where(F.col("lo") != F.col("hi")).select("v", "tier")
     members = entries.join(lists, ["v", "tier"], "left_semi")
-    candidates = members.select("text_id").distinct()
-    texts.join(candidates, "text_id", "left_semi").dropDuplicates(["text_id"]).write.parquet(f"{folder}/texts")
-    sets = full_sets(spark.read.parquet(f"{folder}/texts"), rule.width)
-    tested = pivot_pairs(members, rule)
-    tested.write.parquet(f"{folder}/pairs")
+    members.select("text_id").distinct().write.parquet(f"{folder}/candidates")
+    candidates = with_ids(texts, spark.read.parquet(f"{folder}/candidates"), "text_id")
+    candidates.dropDuplicates(["text_id"]).write.parquet(f"{folder}/texts")
+    candidates = spark.read.parquet(f"{folder}/texts")
+    sets = full_sets(candidates, rule.width)
+    pivot_pairs(members, rule).write.parquet(f"{folder}/pairs")
     tested = spark.read.parquet(f"{folder}/pairs")
     verify(tested, sets, rule).write.parquet(f"{folder}/links-1")
     links = spark.read.parquet(f"{folder}/links-1")
-    verify(open_pairs(members, components(links), tested, rule), sets, rule).write.parquet(f"{folder}/links-2")
+    left = open_pairs(members, components(links), tested, candidates, folder, rule)
+    verify(left, sets, rule).write.parquet(f"{folder}/links-2")
     return links.unionByName(spark.read.parquet(f"{folder}/links-2"))
 
 
