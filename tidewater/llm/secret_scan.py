@@ -61,7 +61,7 @@ def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]
     """
     if len(run) < window:
         return []
-    weigh = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    weigh = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     limit = (math.log2(window) - bits) * window + 1e-9
     counts: dict[str, int] = {}
     total = 0.0
