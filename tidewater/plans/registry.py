@@ -676,6 +676,15 @@ def q_quarantine_staging(spark, sf_dir):
     return _round_doubles(_quarantine_job(spark, sf_dir).store.read("staging_events"))
 
 
+#: Runs that several queries read; each is made once a session.
+BUILDS = {
+    "served": _served,
+    "incremental": _incremental_run,
+    "landed": _landed,
+    "stream_warehouse": _stream_warehouse,
+    "quarantine": _quarantine_job,
+}
+
 # --- registry ----------------------------------------------------------------------
 
 SERIES_METRICS = ("temp", "humidity", "pressure", "wind_speed", "uvi", "rain_1h", "wind_gust")
