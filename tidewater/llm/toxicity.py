@@ -1,7 +1,7 @@
 """Toxicity: a counterfactual-regularised classifier.
 
-A logistic regression over the distinct words of a text and their prefixes
-(inflected words share a stem).  Fitting adds a penalty: each labelled text
+A logistic regression over the words of a text and their prefixes (inflected
+words share a stem): which occur, and which occur twice or more.  Fitting adds a penalty: each labelled text
 that names a group is paired with counterfactuals, in which the group's name
 is swapped for the other names of its family and for a neutral word, and the
 squared change of the score's logit is charged.  Weight then cannot sit on
@@ -22,6 +22,7 @@ rows count once each; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,7 +59,7 @@ class FitRule:
     features: int = 3_000
     min_rows: int = 3  # labelled rows that must hold a feature
     prefixes: tuple[int, ...] = (4, 5, 6)
-    ridge: float = 2e-4
+    ridge: float = 5e-5
     counterfactual: float = 5.0
     steps: int = 400
     rate: float = 0.1
@@ -73,18 +74,28 @@ def word_features(word: str, prefixes: tuple[int, ...]) -> list[str]:
     return [word, *(word[:k] + "*" for k in prefixes if len(word) > k)]
 
 
-def features_of(text: str, prefixes: tuple[int, ...]) -> set[str]:
-    return {f for w in set(WORD.findall(text.lower())) for f in word_features(w, prefixes)}
+def word_counts(text: str) -> Counter[str]:
+    return Counter(WORD.findall(text.lower()))
 
 
-def counterfactuals(text: str) -> list[set[str]]:
-    """The word sets of a text with its group names swapped, one for each other name of a family."""
-    words = set(WORD.findall(text.lower()))
+def features_of(words: Counter[str], prefixes: tuple[int, ...]) -> set[str]:
+    """Words and prefixes that occur, and once more with # those that occur twice or more often."""
+    total: dict[str, int] = {}
+    for word, count in words.items():
+        for f in word_features(word, prefixes):
+            total[f] = total.get(f, 0) + count
+    return {*total, *(f + "#" for f, count in total.items() if count > 1)}
+
+
+def counterfactuals(words: Counter[str]) -> list[Counter[str]]:
+    """The words of a text with its group names swapped, one for each other name of a family."""
     out = []
     for family in IDENTITY_TERMS:
-        named = words.intersection(family)
+        named = set(family).intersection(words)
         if named:
-            out += [(words - named) | {other} for other in family if {other} != named]
+            rest = Counter({w: n for w, n in words.items() if w not in named})
+            total = sum(words[w] for w in named)
+            out += [rest + Counter({other: total}) for other in family if {other} != named]
     return out
 
 
@@ -98,16 +109,17 @@ class Model:
         """Probability of label 1.  ``known`` remembers the weighted features of words."""
         known = {} if known is None else known
         weights = self.weights
-        found: set[str] = set()
-        for word in set(WORD.findall(text.lower())):
+        total: dict[str, int] = {}
+        for word, count in word_counts(text).items():
             own = known.get(word)
             if own is None:
-                own = tuple(f for f in word_features(word, self.prefixes) if f in weights)
+                own = tuple(f for f in word_features(word, self.prefixes) if f in weights or f + "#" in weights)
                 if len(known) < 100_000 and len(word) <= 64:
                     known[word] = own
-            if own:
-                found.update(own)
-        z = self.bias + math.fsum(weights[f] for f in found)
+            for f in own:
+                total[f] = total.get(f, 0) + count
+        held = [weights.get(f, 0.0) for f in total] + [weights.get(f + "#", 0.0) for f, n in total.items() if n > 1]
+        z = self.bias + math.fsum(held)
         return 1 / (1 + math.exp(-z)) if z >= 0 else 1 - 1 / (1 + math.exp(z))
 
     def score(self, text: Column) -> Column:
@@ -141,6 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, rule: FitRule = FitRule()) -> Model:
         share = (n.get(1, 0) + 1) / (sum(n.values()) + 2)
         return Model(math.log(share / (1 - share)), {}, rule.prefixes)
     terms = {w for family in IDENTITY_TERMS for w in family}
+    terms |= {t + "#" for t in terms}
     names = sorted(terms.union(select_features(rows, n, rule)))
     rows_of, pairs = training_rows(rows, names, rule)
     weights, bias = fit_weights(
@@ -157,7 +170,7 @@ def select_features(rows: DataFrame, n: dict[int, int], rule: FitRule) -> list[s
         totals: dict[str, list[int]] = {}
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"].to_pylist(), strict=True):
-                for f in features_of(text.as_py(), prefixes):
+                for f in features_of(word_counts(text.as_py()), prefixes):
                     totals.setdefault(f, [0, 0])[y] += 1
         yield pa.RecordBatch.from_pydict(
             {
@@ -187,14 +200,14 @@ def training_rows(
     """(y, feature numbers) of the sample, and (before, after) of its counterfactuals."""
     prefixes, column = rule.prefixes, {f: k for k, f in enumerate(names)}
 
-    def number(words: set[str]) -> list[int]:
-        return sorted({column[f] for w in words for f in word_features(w, prefixes) if f in column})
+    def number(words: Counter[str]) -> list[int]:
+        return sorted(column[f] for f in features_of(words, prefixes) if f in column)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch["text"]]
-            x = [number(set(WORD.findall(t.lower()))) for t in texts]
-            swapped = [[number(c) for c in counterfactuals(t)] for t in texts]
+            words = [word_counts(t.as_py()) for t in batch["text"]]
+            x = [number(w) for w in words]
+            swapped = [[number(c) for c in counterfactuals(w)] for w in words]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
