@@ -98,3 +98,11 @@ def test_grid_join_path_matches_expression_form(spark):
     native = {r.id: (r.c.country_code, r.c.city) for r in
               df.select("id", geo.country_of("latitude", "longitude").alias("c")).collect()}
     assert grid == native
+
+
+def test_lookup_method_stays_compilable(spark, tmp_dir):
+    spark.createDataFrame([(1.0, 2.0)], "lat double, lon double").write.parquet(f"{tmp_dir}/p")
+    df = spark.read.parquet(f"{tmp_dir}/p").select(geo.country_of("lat", "lon"))
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
+    sizes = [int(line.split("maxMethodCodeSize:")[1].split(";")[0]) for line in code.splitlines() if "maxMethodCodeSize:" in line]
+    assert sizes and max(sizes) < 8000
