@@ -247,3 +247,33 @@ def test_event_time_versioning_in_the_job(spark, tmp_dir):
     newer_devices = {r[1] for r in before}
     assert [r for r in after if r[1] in newer_devices] == before
     assert store.read("fact_measurements").count() == readings.count()
+
+
+def test_device_level_raw_zone_and_random_row_keys(spark, tmp_dir):
+    from tidewater.streaming.landing import DEVICE_PARTITION_COLUMNS
+
+    readings = telemetry.load_measurements(spark, SF).filter(F.dayofmonth("event_time") == 5)
+    publish_records(envelope.to_kafka_records(readings, 3), path=f"{tmp_dir}/broker")
+    q = start_landing(record_file_source(spark, f"{tmp_dir}/broker"), f"{tmp_dir}/raw", f"{tmp_dir}/ck-land",
+                      available_now=True, partition_columns=DEVICE_PARTITION_COLUMNS)
+    q.awaitTermination()
+    day = next(d for d in os.listdir(f"{tmp_dir}/raw") if d.startswith("ingestion_date="))
+    assert any(d.startswith("iot_device_id=") for d in os.listdir(f"{tmp_dir}/raw/{day}"))
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    run(spark, f"{tmp_dir}/raw", store, f"{tmp_dir}/ck", as_of=dt.datetime(2024, 1, 31), clock=_clock())
+    fact = store.read("fact_measurements")
+    assert fact.count() == readings.select("event_time", "iot_device_id").distinct().count()
+    assert fact.select("fact_sk").distinct().count() == fact.count()  # random keys by default
+
+
+def test_utc_text_in_any_session_zone(spark):
+    from tidewater.functions import timefn
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = spark.range(1).select(timefn.format_iso_utc(F.timestamp_seconds(F.lit(1704448800)))).first()[0]
+            assert got == "2024-01-05T10:00:00Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

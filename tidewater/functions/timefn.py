@@ -33,8 +33,8 @@ def parse_iso_date(text: Column | str) -> Column:
 
 
 def format_iso_utc(ts: Column | str) -> Column:
-    """TIMESTAMP -> ``yyyy-MM-ddTHH:mm:ssZ`` (session zone is pinned to UTC)."""
-    return F.date_format(_c(ts), ISO_UTC_FORMAT)
+    """TIMESTAMP -> ``yyyy-MM-ddTHH:mm:ssZ`` in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(_c(ts), F.current_timezone()), ISO_UTC_FORMAT)
 
 
 def date_key(d: Column | str) -> Column:

@@ -50,7 +50,7 @@ N_STATIONS = len(STATIONS)
 INGESTION_SPREAD_SECONDS = 300
 MOBILE_EVERY = 3
 
-# Weather condition by event type (id, main, description).
+# Weather condition by event type (id, main, description), names as in the public condition catalogue.
 CONDITIONS = {
     "purchase": (500, "Rain", "light rain"),
     "view": (800, "Clear", "clear sky"),
