@@ -13,10 +13,9 @@ the smallest id (and in it the first) stays, others go if they lie in a run of
 neighbouring such chunks of ``min_bytes`` at least; shorter repeats are the
 common coin of a language.  Exact copies of a text go as a whole.
 
-Scale: texts are shuffled once, by text id; the digest table is reduced to
-digests that occur twice before anything but the digest travels.  Counts are
+Scale: texts are shuffled once, by text id; digests alone are counted first,
 combined before the shuffle, so a chunk in a third of all documents is one row
-a task.
+a task, and only chunks whose digest occurs twice are stored and compared.
 
 Defined results: a null text is an empty one, with no chunk; ids that are null
 count as larger than any other; rows that repeat id and text are one document
@@ -34,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, text_key, text_of
+from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, repeated_keys, scratch_folder, text_key, text_of
 
 #: Bytes of padding between the texts of a slice.
 GAP = 64
@@ -101,8 +100,11 @@ def chunk_rows(texts: DataFrame, rule: ChunkRule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = RangeHash(1), RangeHash(2)
+        seen: set[int] = set()  # copies in one task are cut once
         for batch in batches:
-            for lo, hi, data, offsets in byte_slices(batch["text"], 1 << 20):
+            new = [i not in seen and not seen.add(i) for i in batch["text_id"].to_pylist()]
+            batch = batch.filter(pa.array(new))
+            for lo, hi, data, offsets in byte_slices(batch["text"]):
                 row, start, end = cuts(data, offsets, rule.reach)
                 first.load(data)
                 second.load(data)
@@ -121,11 +123,17 @@ def chunk_rows(texts: DataFrame, rule: ChunkRule) -> DataFrame:
     return texts.select("text_id", "text").mapInArrow(run, "h long, h2 long, text_id long, start int, size int")
 
 
-def repeated_chunks(texts: DataFrame, first_ids: DataFrame, rule: ChunkRule) -> DataFrame:
+def repeated_chunks(docs: DataFrame, key: str, text: str, rule: ChunkRule) -> DataFrame:
     """(text_id, repeats): for each text its repeated chunks (start, size, later), later if not the one that stays."""
-    chunks = chunk_rows(texts, rule)
-    often = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h")
-    found = chunks.join(often, "h").join(first_ids, "text_id")
+    spark = docs.sparkSession
+    rows = docs.select(text_key(text).alias("text_id"), text_of(text).alias("text"), F.col(key).alias("id"))
+    chunks = chunk_rows(rows, rule)
+    # copies of a text repeat its digests; they only make this first sieve a little wider
+    often = repeated_keys(chunks, "h").select("h")
+    path = scratch_folder(spark, "chunks")
+    chunks.join(often, "h").dropDuplicates(["text_id", "start"]).write.parquet(path)
+    least = rows.groupBy("text_id").agg(F.min("id").alias("least"))
+    found = spark.read.parquet(path).join(least, "text_id")
     place = F.struct(F.col("least").isNull().alias("none"), "least", "text_id", "start")
     owner = found.groupBy("h", "h2").agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     owned = found.join(owner, ["h", "h2"]).select(
@@ -163,7 +171,7 @@ def dedup_texts(docs: DataFrame, rule: ChunkRule = ChunkRule(), key: str = "doc_
     that stay included.
     """
     texts = distinct_texts(docs, text)
-    repeats = repeated_chunks(texts, smallest_ids(docs, key, text), rule)
+    repeats = repeated_chunks(docs, key, text, rule)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,11 +195,6 @@ def dedup_texts(docs: DataFrame, rule: ChunkRule = ChunkRule(), key: str = "doc_
     )
 
 
-def smallest_ids(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(text_id, least): the smallest id of each text."""
-    return docs.select(text_key(text).alias("text_id"), F.col(key).alias("id")).groupBy("text_id").agg(F.min("id").alias("least"))
-
-
 def per_document(
     docs: DataFrame, results: DataFrame, rule: ChunkRule = ChunkRule(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -50,6 +50,18 @@ def with_ids(df: DataFrame, ids: DataFrame, key: str, most: int = 2_000_000) ->
     return df.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_semi")
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """(key, n) of the keys that more than one row of ``df`` has.
+
+    Counts are combined before the shuffle.  Grouped by a struct, the result
+    doesn't count as dealt by the key: a join with it gets an exchange on both
+    sides right below, where adaptive execution can split a key that a large
+    part of all rows has.
+    """
+    counted = df.groupBy(F.struct(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > 1).select(f"_key.{key}", "n")
+
+
 def byte_slices(column: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column without nulls into runs of rows of about ``max_bytes``.
 
