@@ -193,6 +193,8 @@ def build_index(rows: DataFrame, rule: GraphRule) -> tuple[DataFrame, int]:
     distinct = rows.groupBy("node", "dim").agg(F.first("vector").alias("vector"))
     shards = max(1, math.ceil(distinct.count() / rule.shard_rows))
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
+    # a shard is few bytes and much work: a task each, not merged by size
+    dealt = dealt.repartition(shards, "dim", "shard")
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("node")
