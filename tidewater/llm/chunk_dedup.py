@@ -135,7 +135,9 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, rule: ChunkRule) -> Da
     least = rows.groupBy("text_id").agg(F.min("id").alias("least"))
     found = spark.read.parquet(path).join(least, "text_id")
     place = F.struct(F.col("least").isNull().alias("none"), "least", "text_id", "start")
-    owner = found.groupBy("h", "h2").agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    # grouped by a struct for the same reason as in repeated_keys
+    owner = found.groupBy(F.struct("h", "h2").alias("_key")).agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n"))
+    owner = owner.where(F.col("n") > 1).select("_key.*", "owner")
     owned = found.join(owner, ["h", "h2"]).select(
         "text_id",
         F.struct("start", "size", (~place.eqNullSafe(F.col("owner"))).alias("later")).alias("chunk"),
