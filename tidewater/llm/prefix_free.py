@@ -42,10 +42,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.chunk_dedup import cut_out
-from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, text_key
+from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, repeated_keys, scratch_folder, text_key, text_of
 
 #: Bytes of text that are parsed at a time, and triggers that are sorted at a time.
-PIECE, BLOCK = 1 << 20, 40_000
+PIECE, BLOCK = 1 << 17, 20_000
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,10 @@ def parse(texts: DataFrame, rule: RepeatRule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = RangeHash(3)
+        seen: set[int] = set()  # copies in one task are parsed once
         for batch in batches:
+            new = [i not in seen and not seen.add(i) for i in batch["text_id"].to_pylist()]
+            batch = batch.filter(pa.array(new))
             ids = batch["text_id"].to_numpy(zero_copy_only=False)
             for rows, shifts, data, offsets in pieces(batch["text"], rule.length):
                 at, first, last = triggers(data, offsets, rule)
@@ -122,7 +125,7 @@ def parse(texts: DataFrame, rule: RepeatRule) -> DataFrame:
 
 
 def contexts(live: DataFrame, rule: RepeatRule) -> DataFrame:
-    """(k, k2, text_id, at, left, right) of the live triggers of each text.
+    """(k, k2, text_id, at, left, right) of the triggers in column ``sparse`` of each text.
 
     ``left`` holds the bytes before the trigger, read backwards, ``right``
     those behind the shared ones; k2 is a second hash of the shared bytes.
@@ -131,7 +134,7 @@ def contexts(live: DataFrame, rule: RepeatRule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = RangeHash(4)
         for batch in batches:
-            for text_id, text, found in zip(batch["text_id"], batch["text"], batch["live"], strict=True):
+            for text_id, text, found in zip(batch["text_id"], batch["text"], batch["sparse"], strict=True):
                 data = text.as_py().encode()
                 for lo in range(0, len(found.values), 20_000):
                     part = found.values[lo : lo + 20_000]
@@ -151,7 +154,7 @@ def contexts(live: DataFrame, rule: RepeatRule) -> DataFrame:
                         ["k", "k2", "text_id", "at", "left", "right"],
                     )
 
-    return live.select("text_id", "text", "live").mapInArrow(
+    return live.where(F.size("sparse") > 0).mapInArrow(
         run, "k long, k2 long, text_id long, at long, left binary, right binary"
     )
 
@@ -241,7 +244,7 @@ def counted_spans(live: DataFrame, rule: RepeatRule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = RangeHash(5), RangeHash(6)
         for batch in batches:
-            for text_id, text, found in zip(batch["text_id"], batch["text"], batch["live"], strict=True):
+            for text_id, text, found in zip(batch["text_id"], batch["text"], batch["crowded"], strict=True):
                 data = np.frombuffer(text.as_py().encode(), np.uint8)
                 for lo in range(0, len(found.values), 1000):
                     part = found.values[lo : lo + 1000]
@@ -262,7 +265,7 @@ def counted_spans(live: DataFrame, rule: RepeatRule) -> DataFrame:
                         ["h", "h2", "text_id", "a"],
                     )
 
-    strings = live.select("text_id", "text", "live").mapInArrow(run, "h long, h2 long, text_id long, a long")
+    strings = live.where(F.size("crowded") > 0).mapInArrow(run, "h long, h2 long, text_id long, a long")
     often = strings.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h", "h2")
     return strings.join(often, ["h", "h2"], "left_semi").select("text_id", "a", (F.col("a") + rule.length).alias("b"))
 
@@ -272,24 +275,25 @@ def dedup_texts(docs: DataFrame, rule: RepeatRule = RepeatRule(), text: str = "t
 
     A text that several rows hold is treated here as if it stood once.
     """
-    texts = distinct_texts(docs, text)
-    found = parse(texts, rule)
-    shared = found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    spark = docs.sparkSession
+    # copies of a text in other tasks only make more triggers live
+    found = parse(docs.select(text_key(text).alias("text_id"), text_of(text).alias("text")), rule)
     place = F.struct("at", "ahead", "behind", "k")
     crowded = F.col("n") > rule.crowd
     # as many triggers as the text has at most
     live = (
-        found.join(shared, "k")
+        found.join(repeated_keys(found, "k"), "k")
         .groupBy("text_id")
         .agg(
-            F.sort_array(F.collect_list(F.when(~crowded, place))).alias("sparse"),
-            F.sort_array(F.collect_list(F.when(crowded, place))).alias("crowded"),
+            F.sort_array(F.collect_set(F.when(~crowded, place))).alias("sparse"),
+            F.sort_array(F.collect_set(F.when(crowded, place))).alias("crowded"),
         )
     )
-    with_text = texts.join(live, "text_id")
-    sparse = with_text.where(F.size("sparse") > 0).select("text_id", "text", F.col("sparse").alias("live"))
-    crowd = with_text.where(F.size("crowded") > 0).select("text_id", "text", F.col("crowded").alias("live"))
-    spans = sorted_spans(contexts(sparse, rule), rule).unionByName(counted_spans(crowd, rule))
+    path = scratch_folder(spark, "triggers")
+    live.write.parquet(path)
+    texts = distinct_texts(docs, text)
+    with_text = texts.join(spark.read.parquet(path), "text_id").select("text_id", "text", "sparse", "crowded")
+    spans = sorted_spans(contexts(with_text, rule), rule).unionByName(counted_spans(with_text, rule))
     covered = spans.groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
