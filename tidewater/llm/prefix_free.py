@@ -266,7 +266,9 @@ def counted_spans(live: DataFrame, rule: RepeatRule) -> DataFrame:
                     )
 
     strings = live.where(F.size("crowded") > 0).mapInArrow(run, "h long, h2 long, text_id long, a long")
-    often = strings.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h", "h2")
+    # grouped by a struct for the same reason as in repeated_keys
+    often = strings.groupBy(F.struct("h", "h2").alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") > 1).select("_key.*")
     return strings.join(often, ["h", "h2"], "left_semi").select("text_id", "a", (F.col("a") + rule.length).alias("b"))
 
 
