@@ -25,6 +25,7 @@ pass through untouched.
 from __future__ import annotations
 
 import base64
+from array import array
 from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
 
@@ -41,6 +42,8 @@ from tidewater.llm.common import mix64, text_of
 CACHE_ENTRIES = 300_000
 CACHE_CHARS = 64
 
+WORD = (1 << 64) - 1
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Entry bytes to id, from lines of base64 and rank."""
@@ -108,6 +111,17 @@ class PerfectHash:
         seeded = mix64(h + d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.slots)
         return np.where(d < 0, -d - 1, seeded.astype(np.int64))
 
+    def find_one(self, key: bytes) -> int:
+        """The same for one key, in plain integers."""
+        h = xxhash.xxh64_intdigest(key)
+        d = int(self.displace[h % len(self.displace)])
+        if d < 0:
+            return -d - 1
+        x = (h + d * 0x9E3779B97F4A7C15) & WORD  # as mix64 does
+        x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & WORD
+        x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 & WORD
+        return (x ^ (x >> 33)) % self.slots
+
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a pre-token by merges: a heap of pairs over a linked list."""
@@ -144,7 +158,7 @@ class Vocabulary:
     pattern: str
     table: PerfectHash
     entries: list[bytes]
-    ids: np.ndarray
+    ids: list[int]
     ranks: dict[bytes, int] = field(repr=False)
 
     @classmethod
@@ -154,46 +168,46 @@ class Vocabulary:
         table = PerfectHash.build(keys)
         slot = table.find(PerfectHash.hashes(keys))
         entries: list[bytes] = [b""] * len(keys)
-        ids = np.zeros(len(keys), np.int32)
+        ids = [0] * len(keys)
         for s, key in zip(slot.tolist(), keys, strict=True):
             entries[s], ids[s] = key, ranks[key]
         return cls(pattern, table, entries, ids, ranks)
 
-    def resolve(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of each pre-token as packed 32-bit integers."""
-        out = []
-        slots = self.table.find(PerfectHash.hashes(pieces)).tolist()
-        entries, ids, ranks = self.entries, self.ids, self.ranks
-        for piece, slot in zip(pieces, slots, strict=True):
-            if entries and entries[slot] == piece:
-                out.append(ids[slot].tobytes())
-            else:
-                out.append(np.array(merge_bytes(piece, ranks), np.int32).tobytes())
-        return out
+    def resolve(self, piece: bytes) -> list[int]:
+        """The ids of a pre-token: its own entry, or what the merges leave."""
+        if self.entries:
+            slot = self.table.find_one(piece)
+            if self.entries[slot] == piece:
+                return [self.ids[slot]]
+        return merge_bytes(piece, self.ranks)
 
     def by_id(self) -> dict[int, bytes]:
         return {i: entry for entry, i in self.ranks.items()}
 
 
+class Resolved(dict):
+    """Pre-token to its ids, packed as 32-bit integers; a missing one is resolved, and kept while there is room."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = array("i", self.vocabulary.resolve(piece.encode())).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 def id_lists(text: Column, vocabulary: Vocabulary) -> Column:
     """array<int> of the ids of a text column."""
-    known: dict[str, bytes] = {}
-    split = regex.compile(vocabulary.pattern)
+    split, known = regex.compile(vocabulary.pattern), Resolved(vocabulary)
 
     def encode(texts: pa.Array) -> pa.Array:
         offsets, flat = [0], bytearray()
         for value in texts:
-            pieces = split.findall(value.as_py() or "")
-            new = [x for x in set(pieces) if x not in known]
-            if new:
-                if len(known) + len(new) > CACHE_ENTRIES:
-                    known.clear()
-                    new = list(set(pieces))
-                known.update(zip(new, vocabulary.resolve([x.encode() for x in new]), strict=True))
-            flat += b"".join(map(known.__getitem__, pieces))
-            for x in new:
-                if len(x) > CACHE_CHARS:
-                    del known[x]
+            flat += b"".join(map(known.__getitem__, split.findall(value.as_py() or "")))
             offsets.append(len(flat) // 4)
         values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(flat)])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
