@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import RangeHash, byte_slices, mix64, scratch_folder, text_key, text_of, with_ids
+from tidewater.llm.common import RangeHash, byte_slices, mix64, repeated_keys, scratch_folder, text_key, text_of, with_ids
 from tidewater.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -211,7 +211,7 @@ def index_entries(values: DataFrame, rule: NearRule) -> DataFrame:
     i is the value's place among the sketch's values, rarest first.  Values of
     one text only come first and are not listed: they lead nowhere.
     """
-    shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > 1)
+    shared = repeated_keys(values, "v").withColumnRenamed("n", "texts")
     # a sketch has `whole` values at most, so these lists are bounded
     listed = (
         values.join(shared, "v")
