@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontaminate, minhash, queries, secret_scan, toxicity
-from tidewater.llm.common import scratch_folder, table
+from tidewater.llm.common import scratch_folder, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: one document of each group of near copies stays (shingles of five words, similarity 0.8)."""
+    small_batches(spark)
     return minhash.keep_one(docs, minhash.NearRule(width=5, percent=80))
 
 
@@ -32,6 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: every document stays; secrets in its text are masked and n_chars follows."""
+    small_batches(spark)
     text = secret_scan.redacted(docs["text"])
     return docs.withColumn("text", text).withColumn(
         "n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("long"))
@@ -39,17 +41,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: token ids of every document, checked by decoding them again."""
-    vocabulary = queries.tokenizer()
-    both = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
-    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    return both.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.when(same, F.col("token_ids")).otherwise(F.raise_error(F.lit("decoded ids differ from the text"))).alias("token_ids"),
-    )
+    """Operator 7: token ids of every document, checked by decoding them again in the same worker."""
+    small_batches(spark)
+    encoded = bpe.encode(docs, queries.tokenizer(), verify=True)
+    return encoded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 
 STAGES = [

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import mix64, text_of
 
 #: Pre-tokens whose ids a task remembers, and the longest that it keeps.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 60_000
 CACHE_CHARS = 64
 
 WORD = (1 << 64) - 1
@@ -200,14 +200,23 @@ class Resolved(dict):
         return packed
 
 
-def id_lists(text: Column, vocabulary: Vocabulary) -> Column:
-    """array<int> of the ids of a text column."""
+def id_lists(text: Column, vocabulary: Vocabulary, verify: bool = False) -> Column:
+    """array<int> of the ids of a text column.
+
+    With ``verify`` each text's ids are decoded again in the same worker; a
+    difference is an error.
+    """
+    entry = vocabulary.by_id() if verify else {}
     split, known = regex.compile(vocabulary.pattern), Resolved(vocabulary)
 
     def encode(texts: pa.Array) -> pa.Array:
         offsets, flat = [0], bytearray()
         for value in texts:
-            flat += b"".join(map(known.__getitem__, split.findall(value.as_py() or "")))
+            whole = value.as_py() or ""
+            packed = b"".join(map(known.__getitem__, split.findall(whole)))
+            if verify and b"".join(map(entry.__getitem__, memoryview(packed).cast("i"))) != whole.encode():
+                raise ValueError("the decoded ids differ from the text")
+            flat += packed
             offsets.append(len(flat) // 4)
         values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(flat)])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
@@ -229,8 +238,10 @@ def bytes_of(ids: Column, vocabulary: Vocabulary) -> Column:
     return F.arrow_udf(decode, "binary")(ids)
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, column: str = "text", into: str = "token_ids") -> DataFrame:
-    return df.withColumn(into, id_lists(text_of(column), vocabulary))
+def encode(
+    df: DataFrame, vocabulary: Vocabulary, column: str = "text", into: str = "token_ids", verify: bool = False
+) -> DataFrame:
+    return df.withColumn(into, id_lists(text_of(column), vocabulary, verify))
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, column: str = "token_ids", into: str = "decoded") -> DataFrame:

@@ -19,7 +19,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Let at most ``most`` bytes of rows go to a Python worker at a time, however long the texts.
+
+    An executor runs several workers beside its heap; each holds one batch and
+    what it makes of it.  A setting other than Spark's default stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == f"{64 << 20}b":
+        spark.conf.set(name, most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,7 +74,7 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("n") > 1).select(f"_key.{key}", "n")
 
 
-def byte_slices(column: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def byte_slices(column: pa.Array, max_bytes: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column without nulls into runs of rows of about ``max_bytes``.
 
     Yields (first row, end row, bytes, offsets); row ``first + r`` holds
