@@ -4,8 +4,10 @@ Three fixed patterns find credentials with a known shape.  Beside them, every
 candidate string (a run of token characters) is scanned with a window that
 slides one character at a time; the window's Shannon entropy is kept up to
 date from incremental character counts and compared with the threshold of the
-candidate's character class.  Windows at or above it are joined to one span
-unless the allow-list knows the candidate.
+candidate's character class: hexadecimal digits, letters alone, or any token
+characters.  Windows at or above it are joined to one span.  Windows that
+overlap what the allow-list knows are dropped, the rest of the candidate is
+scanned like any other.
 
 Defined results: a null text is an empty one and has no span; texts are
 scanned whole whatever their length; repeated rows give repeated results; an
@@ -44,7 +46,9 @@ class EntropyRule:
     window: int = 20
     hex_bits: float = 3.0
     token_bits: float = 3.8
-    #: A candidate that one of these matches is never reported.
+    #: Runs without a digit, where joined words come near to what random letters reach.
+    letter_bits: float = 3.9
+    #: Characters that one of these matches are in no reported window.
     allow: tuple[str, ...] = (
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
         r"(.)\1{7,}",  # filler such as xxxxxxxx
@@ -84,6 +88,38 @@ def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]
     return spans
 
 
+def class_bits(run: str, rule: EntropyRule) -> float | None:
+    """The threshold of a run's character class; None for plain numbers, which are no tokens."""
+    if not re.search(r"[A-Za-z]", run):
+        return None
+    if not re.search(r"[0-9]", run):
+        return rule.letter_bits
+    return rule.hex_bits if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) else rule.token_bits
+
+
+def token_windows(run: str, rule: EntropyRule) -> list[tuple[int, int]]:
+    """Spans of the windows of a candidate that reach a threshold and overlap nothing on the allow-list.
+
+    What is left beside an allow-listed part has the lower threshold of the
+    candidate's class and its own, read without separators at its ends.
+    """
+    bits = class_bits(run, rule)
+    if bits is None:
+        return []
+    known = sorted(m.span() for p in rule.allow for m in re.finditer(p, run))
+    if not known:
+        return entropy_windows(run, rule.window, bits)
+    spans, at = [], 0
+    for start, end in [*known, (len(run), len(run))]:
+        if start - at >= rule.window:
+            piece = run[at:start]
+            own = class_bits(piece.strip("+/=_-"), rule)
+            if own is not None:
+                spans += [(at + a, at + b) for a, b in entropy_windows(piece, rule.window, min(bits, own))]
+        at = max(at, end)
+    return spans
+
+
 def find_spans(text: str, rule: EntropyRule = EntropyRule()) -> list[tuple[str, int, int]]:
     """All spans of one text, ordered by start, then kind."""
     spans: list[tuple[int, int, int]] = []
@@ -97,14 +133,7 @@ def find_spans(text: str, rule: EntropyRule = EntropyRule()) -> list[tuple[str,
     for found in re.finditer(r"[0-9a-f]{16,}", text):  # a shorter run would be dropped
         spans.append((found.start(), 2, found.end()))
     for found in re.finditer(CANDIDATE, text):
-        run = found[0]
-        letters = re.search(r"[A-Za-z]", run)
-        if not letters or not re.search(r"[0-9]", run):
-            continue  # plain words and plain numbers are no tokens
-        is_hex = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run)
-        windows = entropy_windows(run, rule.window, rule.hex_bits if is_hex else rule.token_bits)
-        if windows and not any(re.search(p, run) for p in rule.allow):
-            spans += [(found.start() + a, 3, found.start() + b) for a, b in windows]
+        spans += [(found.start() + a, 3, found.start() + b) for a, b in token_windows(found[0], rule)]
     return [(KINDS[k], start, end) for start, k, end in sorted(spans)]
 
 
