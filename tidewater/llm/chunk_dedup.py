@@ -11,7 +11,11 @@ and last chunk of a text aside).
 Chunks are deduplicated by a 128-bit digest: the occurrence in the document of
 the smallest id (and in it the first) stays, others go if they lie in a run of
 neighbouring such chunks of ``min_bytes`` at least; shorter repeats are the
-common coin of a language.  Exact copies of a text go as a whole.
+common coin of a language.  Exact copies of a text go as a whole if it has
+``min_bytes`` at least; copies of a shorter text all stay.
+
+There is no longest chunk: a stretch of period ``reach`` or less has no cut and
+is one chunk with its neighbours, so it is not found in other surroundings.
 
 Scale: texts are shuffled once, by text id; digests alone are counted first,
 combined before the shuffle, so a chunk in a third of all documents is one row
