@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chunk_dedup, decontaminate, graph_ann, license_scan, minhash, prefix_free, secret_scan, sharding, toxicity
+from tidewater.llm import (
+    bit_sliced, bpe, chunk_dedup, decontaminate, graph_ann, hard_negatives, license_scan, minhash, prefix_free, secret_scan, sharding, toxicity,
+)
 from tidewater.llm.common import table
+from tidewater.llm.vector_shards import vector_rows
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +127,56 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = vector_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return hard_negatives.mine(rows, rows.where(F.col("id") % 100 == 0))
+
+
+def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = bit_sliced.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS n
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE n <= 5
+"""
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -136,8 +189,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_sharding": op10_sharding,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_bit_sliced": op12_bit_sliced,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL}
+    return {"op5_decontamination": OP5_SQL, "op11_hard_negatives": OP11_SQL, "op12_bit_sliced": OP12_SQL}
