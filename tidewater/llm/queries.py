@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (
-    bit_sliced, bpe, chunk_dedup, decontaminate, graph_ann, hard_negatives, license_scan, minhash, prefix_free, secret_scan, sharding, toxicity,
+    bit_sliced, bpe, chunk_dedup, decontaminate, graph_ann, hard_negatives, license_scan, minhash, prefix_free, secret_scan, sharding, token_alignment, toxicity,
 )
 from tidewater.llm.common import table
 from tidewater.llm.vector_shards import vector_rows
@@ -140,6 +140,12 @@ def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = token_alignment.ByteLevel.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    b = token_alignment.Pieces.read(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+
+
 OP11_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -191,6 +197,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_bit_sliced": op12_bit_sliced,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
