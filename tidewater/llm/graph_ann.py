@@ -7,9 +7,14 @@ drops those that are closer to it than to the vector by the factor ``alpha``,
 and goes on with the rest, so long and short edges in different directions
 remain.  Edges are added both ways and pruned again where a node has too many.
 
-*Search.*  A beam search runs in every shard for every query; exact distances
-in double precision rank what the beams hold.  Queries come in blocks, so a
-task holds one shard's graph and one block.
+*Search.*  A task loads one shard's graph and streams the queries past it, in
+batches; a beam search finds what is near, and exact distances in double
+precision rank what the beams hold.
+
+The graph is built and searched in single precision on vectors less their
+shard's mean, divided by the largest component, and distances are sums of squared
+differences: neither a common offset nor the size of the values costs accuracy.
+The scores are computed in double precision from the vectors as they are.
 
 Equal vectors are one node.  Of a node's rows only the ``k + 1`` smallest ids
 can be among a query's k nearest, so no more are listed.
@@ -33,28 +38,63 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import scratch_folder
+from tidewater.llm.vector_shards import beside_shards, matrix, search_shards
 
 
 @dataclass(frozen=True)
 class GraphRule:
-    shard_rows: int = 2000
+    shard_rows: int = 20_000
     degree: int = 32
-    beam: int = 64
+    beam: int = 80
     alpha: float = 1.2
-    batch: int = 256
-    query_rows: int = 1000
+    batch: int = 128
+
+    @property
+    def room(self) -> int:
+        """Edges that a node may have before it is pruned to ``degree``; only while the graph is built."""
+        return self.degree * 3 // 2
 
 
 # ------------------------------------------------------------ one shard
 
 
-def squared(x: np.ndarray, norms: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Frame:
+    """Where a shard's vectors lie: the power of two, the mean and the size that are taken out of them."""
+
+    exponent: int
+    mean: np.ndarray
+    size: float
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Frame:
+        exponent = int(np.frexp(np.abs(x).max())[1])
+        small = np.ldexp(x, -exponent)
+        mean = small.mean(axis=0)
+        return cls(exponent, mean, float(np.abs(small - mean).max()) or 1.0)
+
+    def inside(self, x: np.ndarray) -> np.ndarray:
+        """The vectors in single precision; those far outside the shard at its horizon."""
+        with np.errstate(over="ignore"):
+            return np.clip((np.ldexp(x, -self.exponent) - self.mean) / self.size, -1e15, 1e15).astype(np.float32)
+
+
+def exact_distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of x (b, r, d) to q (b, d); powers of two keep squares within range."""
+    most = np.maximum(np.abs(x).max(axis=(1, 2), initial=0), np.abs(q).max(axis=1))
+    exponent = np.frexp(most)[1]
+    apart = np.ldexp(x, -exponent[:, None, None]) - np.ldexp(q, -exponent[:, None])[:, None, :]
+    return np.ldexp(np.sqrt((apart**2).sum(axis=2)), exponent[:, None])
+
+
+def squared(x: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Squared distances of x[ids] (b, r) to q (b, d)."""
-    return norms[ids] + np.einsum("bd,bd->b", q, q)[:, None] - 2 * np.einsum("brd,bd->br", x[ids], q)
+    apart = x[ids] - q[:, None, :]
+    return np.einsum("brd,brd->br", apart, apart)
 
 
 def beam_search(
-    x: np.ndarray, norms: np.ndarray, edges: np.ndarray, entry: int, q: np.ndarray, beam: int
+    x: np.ndarray, edges: np.ndarray, entry: int, q: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, distances, expanded ids) for each query: the beam at the end, and the nodes that were expanded; -1 pads."""
     rows, n = len(q), len(x)
@@ -63,7 +103,7 @@ def beam_search(
     done = np.zeros((rows, beam), bool)
     seen = np.zeros((rows, n), bool)
     ids[:, 0], seen[:, entry] = entry, True
-    far[:, 0] = squared(x, norms, np.full((rows, 1), entry), q)[:, 0]
+    far[:, 0] = squared(x, np.full((rows, 1), entry), q)[:, 0]
     expanded = []
     active = np.arange(rows)
     while len(active):
@@ -81,7 +121,10 @@ def beam_search(
         near = edges[node]
         new = (near >= 0) & ~seen[active[:, None], near]
         seen[active[:, None], near] |= near >= 0
-        d = np.where(new, squared(x, norms, near, q[active]), np.inf).astype(np.float32)
+        d = np.full(near.shape, np.inf, np.float32)
+        row, slot = np.nonzero(new)
+        apart = x[near[row, slot]] - q[active[row]]
+        d[row, slot] = np.einsum("nd,nd->n", apart, apart)
         all_d = np.concatenate([far[active], d], axis=1)
         best = np.argsort(all_d, axis=1, kind="stable")[:, :beam]
         take = np.arange(len(active))[:, None]
@@ -92,19 +135,18 @@ def beam_search(
     return ids, far, np.stack(expanded, axis=1) if expanded else np.zeros((rows, 0), int)
 
 
-def robust_prune(
-    x: np.ndarray, norms: np.ndarray, node: np.ndarray, options: np.ndarray, rule: GraphRule
-) -> np.ndarray:
+def robust_prune(x: np.ndarray, node: np.ndarray, options: np.ndarray, rule: GraphRule) -> np.ndarray:
     """The kept neighbours (b, degree) of each node among its options (b, c); -1 pads."""
     options = np.sort(options, axis=1)
     bad = (options < 0) | (options == node[:, None])
     bad[:, 1:] |= options[:, 1:] == options[:, :-1]
-    d = np.where(bad, np.inf, squared(x, norms, options, x[node]))
+    v = x[options] - x[node][:, None, :]  # seen from the node, so that close neighbours stay apart
+    d = np.where(bad, np.inf, np.einsum("brd,brd->br", v, v))
     order = np.argsort(d, axis=1, kind="stable")
     take = np.arange(len(node))
-    options, d = options[take[:, None], order], d[take[:, None], order]
-    v = x[options]
-    between = norms[options][:, :, None] + norms[options][:, None, :] - 2 * (v @ v.transpose(0, 2, 1))
+    options, d, v = options[take[:, None], order], d[take[:, None], order], v[take[:, None], order]
+    norms = np.einsum("brd,brd->br", v, v)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * (v @ v.transpose(0, 2, 1))
     alive = np.isfinite(d)
     kept = np.full((len(node), rule.degree), -1)
     for slot in range(rule.degree):
@@ -119,32 +161,38 @@ def robust_prune(
     return kept
 
 
+def in_batches(rows: np.ndarray, size: int) -> list[np.ndarray]:
+    return [rows[at : at + size] for at in range(0, len(rows), size)]
+
+
 def build_graph(x: np.ndarray, rule: GraphRule) -> tuple[np.ndarray, int]:
     """(edges, entry) of a shard's vectors; -1 pads."""
     n = len(x)
-    edges = np.full((n, rule.degree), -1)
-    norms = np.einsum("nd,nd->n", x, x)
-    entry = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
+    edges = np.full((n, rule.room), -1)
+    entry = int(squared(x, np.arange(n)[None, :], x.mean(axis=0)[None, :])[0].argmin())
     if n == 1:
-        return edges, entry
+        return edges[:, : rule.degree], entry
     rng = np.random.default_rng(7)
     edges[:, : rule.degree // 2] = rng.integers(0, n, (n, rule.degree // 2))
     edges[:, 0] = np.roll(np.arange(n), 1)  # a ring: every node can be reached
-    order = rng.permutation(n)
-    for at in range(0, n, rule.batch):
-        node = order[at : at + rule.batch]
-        ids, _, expanded = beam_search(x, norms, edges, entry, x[node], rule.beam)
-        edges[node] = robust_prune(x, norms, node, np.concatenate([expanded, ids[:, : rule.degree], edges[node]], axis=1), rule)
-        source, slot = np.nonzero(edges[node] >= 0)
-        target = edges[node][source, slot]
-        add_back(x, norms, edges, target, node[source], rule)
-    return edges, entry
-
-
-def add_back(
-    x: np.ndarray, norms: np.ndarray, edges: np.ndarray, target: np.ndarray, source: np.ndarray, rule: GraphRule
-) -> None:
-    """Add edges target -> source; nodes with too many are pruned."""
+    for node in in_batches(rng.permutation(n), rule.batch):
+        ids, _, expanded = beam_search(x, edges, entry, x[node], rule.beam)
+        kept = robust_prune(x, node, np.concatenate([expanded, ids[:, : rule.degree], edges[node]], axis=1), rule)
+        edges[node] = -1
+        edges[node, : rule.degree] = kept
+        source, slot = np.nonzero(kept >= 0)
+        add_back(x, edges, kept[source, slot], node[source], rule)
+    for node in in_batches(np.flatnonzero((edges >= 0).sum(axis=1) > rule.degree), rule.batch):
+        kept = robust_prune(x, node, edges[node], rule)
+        edges[node] = -1
+        edges[node, : rule.degree] = kept
+    return -np.sort(-edges, axis=1)[:, : rule.degree], entry
+
+
+def add_back(x: np.ndarray, edges: np.ndarray, target: np.ndarray, source: np.ndarray, rule: GraphRule) -> None:
+    """Add edges target -> source; nodes that have no room for theirs are pruned."""
+    if not len(target):
+        return
     order = np.argsort(target, kind="stable")
     target, source = target[order], source[order]
     node, first, count = np.unique(target, return_index=True, return_counts=True)
@@ -158,14 +206,14 @@ def add_back(
         column = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         options[row, column] = source[(first[some] + done)[row] + column]
         mine = node[some]
-        joined = np.concatenate([edges[mine], options], axis=1)
-        fits = (joined >= 0).sum(axis=1) <= rule.degree
-        for rows in np.array_split(np.flatnonzero(~fits), max(1, math.ceil((~fits).sum() / rule.batch))):
-            if len(rows):
-                edges[mine[rows]] = robust_prune(x, norms, mine[rows], joined[rows], rule)
-        packed = -np.sort(-joined[fits], axis=1)[:, : rule.degree]
-        packed[:, 1:][packed[:, 1:] == packed[:, :-1]] = -1
-        edges[mine[fits]] = packed
+        joined = -np.sort(-np.concatenate([edges[mine], options], axis=1), axis=1)
+        joined[:, 1:][joined[:, 1:] == joined[:, :-1]] = -1
+        fits = (joined >= 0).sum(axis=1) <= rule.room
+        for rows in in_batches(np.flatnonzero(~fits), rule.batch):
+            kept = robust_prune(x, mine[rows], joined[rows], rule)
+            edges[mine[rows]] = -1
+            edges[mine[rows], : rule.degree] = kept
+        edges[mine[fits]] = -np.sort(-joined[fits], axis=1)[:, : rule.room]
 
 
 # ----------------------------------------------------------------- on Spark
@@ -183,11 +231,6 @@ def nodes(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") ->
     return rows.select(F.xxhash64("vector").alias("node"), "id", "vector", F.size("vector").alias("dim"))
 
 
-def matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
-
-
 def build_index(rows: DataFrame, rule: GraphRule) -> tuple[DataFrame, int]:
     """(dim, shard, nodes, vectors, edges, entry) with one row a shard, and the number of shards of a length."""
     distinct = rows.groupBy("node", "dim").agg(F.first("vector").alias("vector"))
@@ -199,7 +242,7 @@ def build_index(rows: DataFrame, rule: GraphRule) -> tuple[DataFrame, int]:
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("node")
         x = matrix(group["vector"])
-        edges, entry = build_graph(x.astype(np.float32), rule)
+        edges, entry = build_graph(Frame.of(x).inside(x), rule)
         return pa.table(
             {
                 "dim": group["dim"].slice(0, 1),
@@ -215,48 +258,39 @@ def build_index(rows: DataFrame, rule: GraphRule) -> tuple[DataFrame, int]:
     return dealt.groupBy("dim", "shard").applyInArrow(build, schema), shards
 
 
+class GraphShard:
+    """A shard's graph, loaded once for all queries that stream past it."""
+
+    def __init__(self, row: dict) -> None:
+        self.ids = np.frombuffer(row["nodes"], np.int64)
+        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(self.ids), -1)
+        self.edges = np.frombuffer(row["edges"], np.int32).reshape(len(self.ids), -1).astype(np.int64)
+        self.entry = row["entry"]
+        self.frame = Frame.of(self.vectors)
+        self.small = self.frame.inside(self.vectors)
+
+    def nearest(self, q: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of the k nearest nodes found for each query; distance inf pads."""
+        found, _, _ = beam_search(self.small, self.edges, self.entry, self.frame.inside(q), beam)
+        exact = exact_distances(self.vectors[found], q)
+        exact[found < 0] = np.inf
+        best = np.argsort(exact, axis=1, kind="stable")[:, :k]
+        take = np.arange(len(q))[:, None]
+        return found[take, best], exact[take, best]
+
+
 def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int, rule: GraphRule) -> DataFrame:
     """(query_id, node, score): the k + 1 nearest nodes of each shard."""
-    blocks = max(1, math.ceil(queries.count() / rule.query_rows))
-    dealt = queries.select(
-        F.col("id").alias("query_id"),
-        "vector",
-        "dim",
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-    )
-    copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def search(shard: pa.Table, wanted: pa.Table) -> pa.Table:
-        out = {"query_id": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "score": np.zeros(0)}
-        if shard.num_rows and wanted.num_rows:
-            ids = np.frombuffer(shard["nodes"][0].as_py(), np.int64)
-            x = np.frombuffer(shard["vectors"][0].as_py(), np.float64).reshape(len(ids), -1)
-            edges = np.frombuffer(shard["edges"][0].as_py(), np.int32).reshape(len(ids), -1).astype(np.int64)
-            x32 = x.astype(np.float32)
-            norms = np.einsum("nd,nd->n", x32, x32)
-            wanted = wanted.sort_by("query_id")
-            query, q = wanted["query_id"].to_numpy(), matrix(wanted["vector"])
-            parts = []
-            for at in range(0, len(q), rule.batch):
-                some = q[at : at + rule.batch]
-                beam, _, _ = beam_search(x32, norms, edges, shard["entry"][0].as_py(), some.astype(np.float32), rule.beam)
-                exact = np.sqrt(((x[beam] - some[:, None, :]) ** 2).sum(axis=2))
-                exact[beam < 0] = np.inf
-                best = np.argsort(exact, axis=1, kind="stable")[:, : k + 1]
-                row = np.repeat(np.arange(len(some)), best.shape[1])
-                score = exact[row, best.ravel()]
-                ok = np.isfinite(score)
-                parts.append((query[at + row][ok], ids[beam[row, best.ravel()]][ok], score[ok]))
-            out = dict(zip(out, map(np.concatenate, zip(*parts, strict=True)), strict=True))
-        return pa.table(out)
-
-    keys = ["dim", "shard", "block"]
-    return (
-        copies.groupBy(*keys)
-        .cogroup(dealt.groupBy(*keys))
-        .applyInArrow(search, "query_id long, node long, score double")
-    )
+
+    def search(shard: GraphShard, rows: pa.Table) -> pa.Table:
+        place, score = shard.nearest(matrix(rows["query"]), k + 1, rule.beam)
+        ok = np.isfinite(score)
+        ids = np.repeat(rows["query_id"].to_numpy(), place.shape[1]).reshape(place.shape)
+        return pa.table({"query_id": ids[ok], "node": shard.ids[place[ok]], "score": score[ok]})
+
+    wanted = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("query"), "dim")
+    beside = beside_shards(index, shards, wanted, ["query_id"])
+    return search_shards(beside, GraphShard, search, "query_id long, node long, score double")
 
 
 def nearest(

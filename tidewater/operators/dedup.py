@@ -7,6 +7,9 @@ row per key and a hot key cannot pile up in one reducer.
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -63,3 +66,14 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
         cond = F.col(k).isNull()
         any_null = cond if any_null is None else (any_null | cond)
     return df.filter(~any_null), df.filter(any_null)
+
+
+def batch_days(batch: DataFrame, keys: Sequence[str], time_col: str = "event_time") -> tuple[list[dt.date], int]:
+    """(days of the rows with every key set, number of rows with a NULL key), in one job.
+
+    The days are literals for the caller, which prune exactly the partitions a
+    batch touches; there are as many as the calendar has at most.
+    """
+    broken = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    days, n_bad = batch.select(F.collect_set(F.when(~broken, F.to_date(time_col))), F.count_if(broken)).first()
+    return sorted(days), n_bad

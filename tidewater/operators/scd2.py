@@ -11,6 +11,13 @@ Two forms with the same result:
   states in one window pass (backfills, replays, and the oracle for the
   incremental form).
 
+A state that arrives late, by event time, can split a version, move the start
+of one, or join two equal neighbours' states.  A version alone doesn't tell: it
+hides at which times its state was seen again.  So the states themselves are
+kept (``logged_states``), and the versions of the keys that have a late one
+(``late_keys``) are built anew from all their states; the result is that of
+``scd2_history`` whatever order batches come in.
+
 Change detection is NULL-safe: a value turning into NULL or back is a change.
 Every batch carries one literal ``batch_ts``, so the closing and the opening
 row of a change share the same instant and versions are contiguous.
@@ -94,6 +101,31 @@ def country_states(batch: DataFrame, time_col: str = "event_time", boxes=None, k
     ).select(COUNTRY.key, "_c.*", *extra)
 
 
+def logged_states(batch: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """Latest reading per device as a row of the log of states."""
+    latest = latest_per_key(batch, [DEVICE.key], time_col)
+    return latest.select(DEVICE.key, F.col(time_col).cast("timestamp").alias("state_time"), *DEVICE.tracked)
+
+
+def tracked_states(log: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """States of a dimension (with ``_state_time``) from rows of the log of
+    states.  Of several states of a device at one time the smallest counts, so
+    the result doesn't depend on the order they came in."""
+    once = log.groupBy(DEVICE.key, "state_time").agg(F.min(F.struct(*DEVICE.tracked)).alias("_s"))
+    states = once.select(DEVICE.key, "_s.*", F.col("state_time").alias("_state_time"))
+    if spec is COUNTRY:
+        states = states.select(DEVICE.key, country_of("latitude", "longitude").alias("_c"), "_state_time").select(
+            DEVICE.key, "_c.*", "_state_time"
+        )
+    return states
+
+
+def late_keys(log: DataFrame, states: DataFrame, key: str = DEVICE.key) -> DataFrame:
+    """Keys of ``states`` whose state isn't newer than all in the log."""
+    newest = log.groupBy(key).agg(F.max("state_time").alias("_newest"))
+    return states.join(newest, key).filter(F.col("state_time") <= F.col("_newest")).select(key)
+
+
 def stage_versions(states: DataFrame, spec: Scd2Spec, batch_ts=None, effective_from: str = "batch") -> DataFrame:
     """Turn one-row-per-key states into candidate dimension rows.
 
@@ -132,10 +164,24 @@ def scd2_merge(dim: DataFrame, stage: DataFrame, spec: Scd2Spec, ignore_older: b
     cur = dim.filter(F.col(spec.current) == F.lit(True))
     history = dim.filter(~F.coalesce(F.col(spec.current), F.lit(False)))
     if ignore_older:
-        newer = stage.alias("s").join(
-            cur.select(spec.key, F.col(spec.start).alias("_cur_start")), spec.key, "left"
-        ).filter(F.col("_cur_start").isNull() | (F.col(spec.start) > F.col("_cur_start")))
-        stage = newer.select(*spec.columns)
+        stage = newer_states(cur, stage, spec)
+    closed, current = scd2_changes(cur, stage, spec)
+    return history.select(*spec.columns).unionByName(closed).unionByName(current)
+
+
+def newer_states(cur: DataFrame, stage: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Staged rows that start after their key's current version, or have none."""
+    starts = cur.select(spec.key, F.col(spec.start).alias("_cur_start"))
+    joined = stage.join(starts, spec.key, "left")
+    return joined.filter(F.col("_cur_start").isNull() | (F.col(spec.start) > F.col("_cur_start"))).select(*spec.columns)
+
+
+def scd2_changes(cur: DataFrame, stage: DataFrame, spec: Scd2Spec) -> tuple[DataFrame, DataFrame]:
+    """(versions that the staged batch closes, the current versions after it).
+
+    ``cur`` holds the current versions of any set of keys that has the staged
+    ones, so a store merges the buckets that a batch changes and leaves the rest.
+    """
     s = stage.select(
         spec.key,
         F.col(spec.start).alias("_s_start"),
@@ -145,17 +191,11 @@ def scd2_merge(dim: DataFrame, stage: DataFrame, spec: Scd2Spec, ignore_older: b
     closes = F.col("_s_start").isNotNull() & any_changed(
         [F.col(c) for c in spec.tracked], [F.col(f"_s_{c}") for c in spec.tracked]
     )
-    updated = matched.select(
-        *[
-            F.when(closes, F.col("_s_start")).otherwise(F.col(c)).alias(c) if c == spec.end
-            else F.when(closes, F.lit(False)).otherwise(F.col(c)).alias(c) if c == spec.current
-            else F.col(c)
-            for c in spec.columns
-        ]
-    )
-    still_current = matched.filter(~closes).select(spec.key)
-    inserted = stage.join(still_current, spec.key, "left_anti").select(*spec.columns)
-    return history.select(*spec.columns).unionByName(updated).unionByName(inserted)
+    instead = {spec.end: F.col("_s_start"), spec.current: F.lit(False)}
+    closed = matched.filter(closes).select(*[instead.get(c, F.col(c)).alias(c) for c in spec.columns])
+    kept = matched.filter(~closes).select(*spec.columns)
+    opened = stage.join(kept.select(spec.key), spec.key, "left_anti").select(*spec.columns)
+    return closed, kept.unionByName(opened)
 
 
 def changing_keys(dim: DataFrame, stage: DataFrame, spec: Scd2Spec) -> DataFrame:

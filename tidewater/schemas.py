@@ -166,12 +166,23 @@ HOURLY = _struct(
     *[(f"avg_{c}", _dbl) for c in HOURLY_AVG_SOURCES],
 )
 
+# States that devices reported, one row per device and micro-batch: kept for dimensions
+# whose versions follow event time, so that a late state can be put in its place.
+DIM_STATES = _struct(
+    ("iot_device_id", _int),
+    ("state_time", _ts),
+    ("latitude", _dbl),
+    ("longitude", _dbl),
+    ("timezone", _str),
+)
+
 # Table registry: name -> (schema, day-partition source column or None).
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "staging_events": (STAGING, "event_time"),
     "dim_date": (DIM_DATE, None),
     "dim_iot_device": (DIM_DEVICE, None),
     "dim_country": (DIM_COUNTRY, None),
+    "dim_states": (DIM_STATES, None),
     "fact_measurements": (FACT, "event_time"),
     "fact_hourly_agg": (HOURLY, "hour_bucket"),
 }

@@ -4,7 +4,8 @@ Tables live under one root (``<root>/<name>``), are created from the schema
 registry (``schemas.TABLES``), compressed with snappy, and -- for the
 time-partitioned ones -- partitioned by a derived ``<col>_date`` column so a
 filter on the day prunes directories and a rewrite touches only the days a
-batch covers (dynamic partition overwrite).
+batch covers (dynamic partition overwrite).  Dimensions are dealt into buckets
+by the hash of their key, current and closed versions apart.
 
 A write never deletes rows before their replacement is complete.  A whole
 table is written to a sibling folder, which takes the table's place by rename
@@ -20,6 +21,10 @@ files however many tasks computed it; adaptive execution splits large days.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.schemas import TABLES
@@ -32,15 +37,33 @@ SORT_ORDER = {
 }
 
 
+#: Tables whose rows are dealt by the hash of a key, so that a merge rewrites only
+#: the buckets it touches.  Dimensions keep their closed versions apart from the
+#: current ones: those are appended to, these are few and replaced.
+BUCKET_KEY = {"dim_iot_device": "iot_device_id", "dim_country": "iot_device_id", "dim_states": "iot_device_id"}
+VERSIONED = ("dim_iot_device", "dim_country")
+
+
 def day_column(name: str) -> str | None:
     part = TABLES[name][1]
     return None if part is None else f"{part}_date"
 
 
+def partition_fields(name: str) -> list[T.StructField]:
+    """The folder levels of a table, outermost first."""
+    if day_column(name):
+        return [T.StructField(day_column(name), T.DateType(), True)]
+    fields = [T.StructField("version", T.StringType(), True)] if name in VERSIONED else []
+    return fields + ([T.StructField("bucket", T.IntegerType(), True)] if name in BUCKET_KEY else [])
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        """``buckets`` is a property of the stored tables: the same for every
+        store over the same root."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- layout ---------------------------------------------------------------
 
@@ -65,9 +88,26 @@ class TableStore:
         if fs.exists(table):
             return
         if fs.exists(Path(self.path(name) + ".new/_SUCCESS")):
-            fs.rename(new, table)
+            self._rename(new, table)
         elif fs.exists(old):
-            fs.rename(old, table)
+            self._rename(old, table)
+
+    def _rename(self, source, target) -> None:
+        """Rename a folder to a name that is free.  Some file systems report
+        a failure only by their result, and one that finds the name taken may
+        move the folder into the other."""
+        fs, _ = self._fs()
+        if fs.exists(target):
+            raise FileExistsError(f"{target} is in the way of {source}")
+        if not fs.rename(source, target):
+            raise OSError(f"{source} can't be renamed to {target}")
+
+    def folders(self, path: str) -> list[str]:
+        """Paths of the folders directly below ``path``; none if it doesn't exist."""
+        fs, Path = self._fs()
+        if not fs.exists(Path(path)):
+            return []
+        return sorted(str(f.getPath()) for f in fs.listStatus(Path(path)) if f.isDirectory())
 
     def has_path(self, path: str) -> bool:
         fs, Path = self._fs()
@@ -77,6 +117,21 @@ class TableStore:
         fs, Path = self._fs()
         fs.delete(Path(path), True)
 
+    def delete_if_empty(self, path: str) -> None:
+        """Remove a folder that holds nothing; one that is filled meanwhile stays."""
+        fs, Path = self._fs()
+        if fs.exists(Path(path)) and not len(fs.listStatus(Path(path))):
+            try:
+                fs.delete(Path(path), False)
+            except Py4JJavaError:
+                if not len(fs.listStatus(Path(path))):
+                    raise
+
+    def make_folder(self, path: str) -> None:
+        fs, Path = self._fs()
+        if not fs.mkdirs(Path(path)):
+            raise OSError(f"{path} can't be made")
+
     def days(self, name: str) -> list[str]:
         """The days that have files, newest first, from the folder listing alone."""
         col = day_column(name)
@@ -127,24 +182,48 @@ class TableStore:
     def read_with_day(self, name: str) -> DataFrame:
         self.recover(name)
         schema = TABLES[name][0]
-        col = day_column(name)
-        full = T.StructType(schema.fields + ([T.StructField(col, T.DateType(), True)] if col else []))
-        df = self.spark.read.schema(full).option("basePath", self.path(name)).parquet(self.path(name))
+        df = self._files(name, self.path(name))
         cols = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+        col = day_column(name)
         if col:
             cols.append(F.col(col).cast("date").alias(col))
         return df.select(*cols)
 
-    def read_days(self, name: str, first: Column, last: Column) -> DataFrame:
-        """Only the day partitions ``first`` .. ``last`` (inclusive), declared
-        columns.  The bounds may be scalar subqueries: Spark prunes the day
-        directories at run time (``PartitionFilters``), so a micro-batch
-        never lists the history outside the days it covers."""
+    def _files(self, name: str, *paths: str) -> DataFrame:
+        full = T.StructType(TABLES[name][0].fields + partition_fields(name))
+        return self.spark.read.schema(full).option("basePath", self.path(name)).parquet(*paths)
+
+    def _read_folders(self, name: str, folders: Iterable[str]) -> DataFrame:
+        """Exactly these partition folders, declared columns.  Only they are
+        listed, so neither the history nor what lies between two folders that
+        a batch touches costs anything."""
+        self.recover(name)
+        paths = [p for p in (f"{self.path(name)}/{f}" for f in folders) if self.has_path(p)]
+        schema = TABLES[name][0]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self._files(name, *paths).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+    def read_days(self, name: str, days: Iterable[dt.date]) -> DataFrame:
+        """Exactly these day partitions."""
         col = day_column(name)
         if col is None:
             raise ValueError(f"{name} is not day-partitioned")
-        days = self.read_with_day(name).filter(F.col(col).between(first, last))
-        return days.select(*TABLES[name][0].fieldNames())
+        return self._read_folders(name, [f"{col}={d.isoformat()}" for d in sorted(set(days))])
+
+    def bucket_of(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def read_buckets(self, name: str, buckets: Iterable[int], version: str | None = None) -> DataFrame:
+        """Exactly these buckets, of a dimension the ``current`` or the ``closed`` versions."""
+        if name not in BUCKET_KEY or (version is None) == (name in VERSIONED):
+            raise ValueError(f"{name} has no such buckets")
+        above = f"version={version}/" if version else ""
+        return self._read_folders(name, [f"{above}bucket={b}" for b in sorted(set(buckets))])
+
+    def read_current(self, name: str) -> DataFrame:
+        """The current versions of a dimension; its history isn't listed."""
+        return self._read_folders(name, ["version=current"])
 
     # -- write -----------------------------------------------------------------
 
@@ -153,20 +232,25 @@ class TableStore:
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         if part:
             out = out.withColumn(day_column(name), F.to_date(F.col(part)))
-            if deal:
-                out = out.hint("rebalance", day_column(name))
-        order = SORT_ORDER.get(name)
-        if order:
-            out = out.sortWithinPartitions(*([day_column(name)] if part else []), *order)
+        if name in VERSIONED:
+            out = out.withColumn("version", F.when(F.col("is_current"), F.lit("current")).otherwise(F.lit("closed")))
+        if name in BUCKET_KEY:
+            out = out.withColumn("bucket", self.bucket_of(BUCKET_KEY[name]))
+        parts = [f.name for f in partition_fields(name)]
+        if parts and deal:
+            out = out.hint("rebalance", *parts)
+        order = SORT_ORDER.get(name, ())
+        if parts or order:
+            out = out.sortWithinPartitions(*parts, *order)
         return out
 
     def _write(self, df: DataFrame, name: str, mode: str, path: str, overwrite: str = "static", deal: bool = True) -> None:
         writer = self._prepare(df, name, deal).write.mode(mode).option("compression", PARQUET_CODEC)
         # said for each write, so that the session's mode doesn't matter
         writer = writer.option("partitionOverwriteMode", overwrite)
-        col = day_column(name)
-        if col:
-            writer = writer.partitionBy(col)
+        parts = [f.name for f in partition_fields(name)]
+        if parts:
+            writer = writer.partitionBy(*parts)
         writer.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -182,14 +266,14 @@ class TableStore:
         self._write(df, name, "overwrite", self.path(name) + ".new")
         if fs.exists(table):
             fs.delete(old, True)
-            fs.rename(table, old)
-        fs.rename(new, table)
+            self._rename(table, old)
+        self._rename(new, table)
 
     def overwrite_days(self, name: str, df: DataFrame, deal: bool = True) -> None:
-        """Replace only the day partitions present in ``df``, which may read
-        the table; other days are untouched."""
-        if day_column(name) is None:
-            raise ValueError(f"{name} is not day-partitioned")
+        """Replace only the day partitions (or buckets) present in ``df``,
+        which may read the table; others keep their files."""
+        if not partition_fields(name):
+            raise ValueError(f"{name} has no partitions")
         self.ensure(name)
         self._write(df, name, "overwrite", self.path(name), "dynamic", deal)
 
@@ -198,14 +282,13 @@ class TableStore:
         self.ensure_all()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, (schema, _) in TABLES.items():
-            col = day_column(name)
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            columns += f", `{col}` date" if col else ""
-            parts = f"PARTITIONED BY ({col})" if col else ""
+            parts = partition_fields(name)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields + parts)
+            by = f"PARTITIONED BY ({', '.join(f.name for f in parts)})" if parts else ""
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {parts} LOCATION '{self.path(name)}'"
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {by} LOCATION '{self.path(name)}'"
             )
-            if col:
+            if parts:
                 self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
             else:
                 self.spark.catalog.refreshTable(f"{database}.{name}")

@@ -2,14 +2,16 @@
 
 Per micro-batch (``WarehouseJob.process``, the ``foreachBatch`` body):
 
-1. persist the batch; one job finds its day range and its broken rows;
+1. persist the batch; one job finds its days and its broken rows;
 2. rows with a NULL key go to ``<root>/quarantine``, in a folder named by
-   source and batch id that a replay replaces;
+   stream and batch id that a replay replaces;
 3. de-duplicate on (event_time, device); an empty batch stops here;
-4. staging: insert rows not yet present (target read from the batch's day
-   partitions only);
+4. staging: insert rows not yet present (of the target only the day
+   partitions that the batch has readings of are read);
 5. dim_date: append dates not yet present;
 6. dim_iot_device, dim_country: SCD2 merge with one literal batch instant;
+   closed versions are appended, of the current ones the buckets that change
+   are replaced;
 7. fact: resolve keys against the new current rows, skip rows already
    loaded, append;
 8. note the (hour, device) pairs the batch touched in ``<root>/pending_hours``.
@@ -24,21 +26,24 @@ before that leaves them to the next one.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.operators import calendar, facts, rollup, scd2
 from tidewater.operators.compaction import compact_recent
-from tidewater.operators.dedup import split_null_keys
-from tidewater.operators.merge import rows_to_insert
+from tidewater.operators.dedup import batch_days, split_null_keys
+from tidewater.operators.merge import rows_to_insert, upsert
 from tidewater.plans.warehouse import dedup_batch
-from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS, STAGING
+from tidewater.schemas import DEDUP_KEYS, HOURLY, HOURLY_KEYS, STAGING
 from tidewater.sources.tables import TableStore
-from tidewater.streaming.staging import start_staging
+from tidewater.streaming.staging import start_staging, stream_name
+
+_EPOCH = dt.datetime(1970, 1, 1)
+_HOURS = T.StructType([HOURLY[k] for k in HOURLY_KEYS])
 
 
 def _utc_now() -> dt.datetime:
@@ -47,47 +52,69 @@ def _utc_now() -> dt.datetime:
 
 class WarehouseJob:
     def __init__(self, spark: SparkSession, store: TableStore, row_key_kind: str = "uuid",
-                 clock: Callable[[], dt.datetime] = _utc_now, source: str = "job",
+                 clock: Callable[[], dt.datetime] = _utc_now, source: str | None = None,
                  effective_from: str = "batch"):
-        """``source`` names the stream whose batch ids are used.
+        """``source`` names the run whose batch ids are used; by default the
+        id of the stream that calls, and outside a stream a name of its own.
         ``effective_from="batch"`` versions dimensions in arrival order (a
         version starts at the batch instant); ``"event_time"`` starts a version
         at its reading's time and ignores late states older than the current
-        version (they are in staging and facts, but open no version)."""
+        version (they are in staging and facts, but open no version);
+        ``"spliced"`` starts it there too and puts late states in their place,
+        so that any order of batches gives the same versions."""
+        if effective_from not in ("batch", "event_time", "spliced"):
+            raise ValueError(f"unknown effective_from {effective_from!r}")
         self.effective_from = effective_from
         self.spark = spark
         self.store = store
         self.row_key_kind = row_key_kind
         self.clock = clock
         self.source = source
+        self._own_name = f"run-{uuid.uuid4().hex[:12]}"
         self.batches = 0
         store.ensure_all()
 
     # -- per batch -------------------------------------------------------------
 
+    def _name(self) -> str:
+        return self.source or stream_name(self.spark) or self._own_name
+
     def _batch_folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.store.root}/{kind}/source={self.source}/batch_id={batch_id}"
+        return f"{self.store.root}/{kind}/source={self._name()}/batch_id={batch_id}"
+
+    def _instant(self, batch_id: int) -> dt.datetime:
+        """The batch's instant, noted before the first write: a replay after a
+        failure uses the same, so versions that it closes again are equal."""
+        noted = self.store.folders(self._batch_folder("batch_instants", batch_id))
+        if noted:
+            return _EPOCH + dt.timedelta(microseconds=int(noted[0].rsplit("=", 1)[1]))
+        instant = self.clock()
+        micros = (instant - _EPOCH) // dt.timedelta(microseconds=1)
+        self.store.make_folder(f"{self._batch_folder('batch_instants', batch_id)}/instant={micros}")
+        return instant
+
+    def _forget_instants(self, batch_id: int) -> None:
+        """Notes of earlier batches, which can't be replayed any more."""
+        for folder in self.store.folders(f"{self.store.root}/batch_instants/source={self._name()}"):
+            if int(folder.rsplit("=", 1)[1]) < batch_id:
+                self.store.delete_path(folder)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        batch_ts = self.clock()
+        batch_ts = self._instant(batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = split_null_keys(batch, DEDUP_KEYS)
-            day = F.to_date("event_time")
-            broken = F.col(DEDUP_KEYS[0]).isNull() | F.col(DEDUP_KEYS[1]).isNull()
-            # one job gives the emptiness test, the day bounds of the good
-            # rows (literals, which prune target partitions statically) and
-            # whether there is anything to set aside
-            lo, hi, n_bad = batch.select(
-                F.min(F.when(~broken, day)), F.max(F.when(~broken, day)), F.count_if(broken)
-            ).first()
+            # one job gives the emptiness test, the days of the good rows
+            # (which prune target partitions) and whether there is anything
+            # to set aside
+            days, n_bad = batch_days(batch, DEDUP_KEYS)
             if n_bad:
                 bad.write.mode("overwrite").parquet(self._batch_folder("quarantine", batch_id))
-            if lo is None:
+            if not days:
                 return
             deduped = dedup_batch(good).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self._merge(deduped, batch_ts, F.lit(lo), F.lit(hi))
+                self._merge(deduped, batch_ts, days)
                 hours = rollup.touched_hours(deduped)
                 hours.write.mode("overwrite").parquet(self._batch_folder("pending_hours", batch_id))
                 self.batches += 1
@@ -95,6 +122,7 @@ class WarehouseJob:
                 deduped.unpersist()
         finally:
             batch.unpersist()
+        self._forget_instants(batch_id)
 
     def quarantined(self) -> DataFrame:
         """All rows set aside so far."""
@@ -103,47 +131,113 @@ class WarehouseJob:
             return self.spark.createDataFrame([], STAGING)
         return self.spark.read.schema(STAGING).option("recursiveFileLookup", "true").parquet(path)
 
-    def _merge(self, deduped: DataFrame, batch_ts: dt.datetime, first, last) -> None:
+    def _merge(self, deduped: DataFrame, batch_ts: dt.datetime, days: list[dt.date]) -> None:
         st = self.store
 
         def staging() -> None:
-            target = st.read_days("staging_events", first, last)
+            target = st.read_days("staging_events", days)
             st.append("staging_events", rows_to_insert(target, deduped, DEDUP_KEYS))
 
         def dates() -> None:
             st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
 
-        by_time = self.effective_from == "event_time"
-
-        def merge_dimension(name: str, spec: scd2.Scd2Spec, states: DataFrame) -> None:
-            # one row per device of the batch, read several times below
-            stage = scd2.stage_versions(states, spec, batch_ts, self.effective_from).persist()
-            try:
-                dim = st.read(name)
-                if not by_time and scd2.changing_keys(dim, stage, spec).isEmpty():
-                    return  # nothing opens or closes: skip rewriting the dimension
-                st.overwrite(name, scd2.scd2_merge(dim, stage, spec, ignore_older=by_time))
-            finally:
-                stage.unpersist()
+        late = self._log_states(deduped) if self.effective_from == "spliced" else None
 
         def devices() -> None:
-            merge_dimension("dim_iot_device", scd2.DEVICE, scd2.device_states(deduped, keep_time=by_time))
+            states = scd2.device_states(deduped, keep_time=True)
+            self._merge_dimension("dim_iot_device", scd2.DEVICE, states, batch_ts, late)
 
         def countries() -> None:
-            merge_dimension("dim_country", scd2.COUNTRY, scd2.country_states(deduped, keep_time=by_time))
+            states = scd2.country_states(deduped, keep_time=True)
+            self._merge_dimension("dim_country", scd2.COUNTRY, states, batch_ts, late)
 
         # The four merges read only the persisted batch and their own table,
         # so they run as concurrent Spark jobs; the fact load needs both new
         # dimensions and runs after them.
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            # the threads carry the stream's job group, so stopping it cancels them
-            for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in (staging, dates, devices, countries)]:
-                f.result()
+        try:
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                # the threads carry the stream's job group, so stopping it cancels them
+                steps = (staging, dates, devices, countries)
+                for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]:
+                    f.result()
+        finally:
+            if late is not None:
+                late.unpersist()
 
-        new_facts = facts.load_fact(deduped, st.read("dim_iot_device"), st.read("dim_country"), self.row_key_kind)
-        loaded = st.read_days("fact_measurements", first, last)
+        new_facts = facts.load_fact(
+            deduped, st.read_current("dim_iot_device"), st.read_current("dim_country"), self.row_key_kind
+        )
+        loaded = st.read_days("fact_measurements", days)
         st.append("fact_measurements", facts.not_yet_loaded(new_facts, loaded))
 
+    def _buckets(self, keys: DataFrame, key: str) -> list[int]:
+        return [r[0] for r in keys.select(self.store.bucket_of(key)).distinct().collect()]
+
+    def _log_states(self, deduped: DataFrame) -> DataFrame:
+        """Add the batch's states to the log; (device, bucket) of those that
+        came late, persisted."""
+        st, key = self.store, scd2.DEVICE.key
+        states = scd2.logged_states(deduped).persist()
+        try:
+            log = st.read_buckets("dim_states", self._buckets(states, key))
+            late = scd2.late_keys(log, states).withColumn("bucket", st.bucket_of(key)).persist()
+            late.count()
+            st.append("dim_states", states.join(log, [key, "state_time"], "left_anti"))
+        finally:
+            states.unpersist()
+        return late
+
+    def _merge_dimension(self, name: str, spec: scd2.Scd2Spec, states: DataFrame, batch_ts: dt.datetime,
+                         late: DataFrame | None) -> None:
+        """Merge one row per device into a dimension; only the buckets whose
+        versions change are written.
+
+        Closed versions are appended before the current ones are replaced.  A
+        replay after a failure between the two closes the same versions again;
+        those that are stored already are left out.
+        """
+        st = self.store
+        by_time = self.effective_from != "batch"
+        late_keys = None if late is None else late.select(spec.key)
+        if late_keys is not None:
+            states = states.join(late_keys, spec.key, "left_anti")
+        stage = scd2.stage_versions(states, spec, batch_ts, "event_time" if by_time else "batch").persist()
+        try:
+            current = st.read_current(name)
+            changing = stage.join(scd2.changing_keys(current, stage, spec), spec.key, "left_semi")
+            if by_time:
+                changing = scd2.newer_states(current, changing, spec)
+            buckets = self._buckets(changing, spec.key)
+            rebuilt = [] if late is None else [r.bucket for r in late.select("bucket").distinct().collect()]
+            if not buckets and not rebuilt:
+                return
+            here = st.bucket_of(spec.key).isin(sorted({*buckets, *rebuilt}))
+            before = st.read_buckets(name, {*buckets, *rebuilt}, "current")
+            if late_keys is not None:
+                before = before.join(late_keys, spec.key, "left_anti")
+            batch_rows = stage.filter(here)
+            if by_time:
+                batch_rows = scd2.newer_states(before, batch_rows, spec)
+            closed, after = scd2.scd2_changes(before, batch_rows, spec)
+            stored = st.read_buckets(name, {*buckets, *rebuilt}, "closed")
+            fresh = closed.join(stored.select(spec.sk_col), spec.sk_col, "left_anti")
+            if rebuilt:
+                log = st.read_buckets("dim_states", rebuilt).join(late_keys, spec.key, "left_semi")
+                history = scd2.scd2_history(scd2.tracked_states(log, spec), spec, "_state_time").persist()
+                after = after.unionByName(history.filter(F.col(spec.current)))
+                again = st.bucket_of(spec.key).isin(sorted(rebuilt))
+                kept = st.read_buckets(name, rebuilt, "closed").join(late_keys, spec.key, "left_anti")
+                whole = kept.unionByName(fresh.filter(again)).unionByName(history.filter(~F.col(spec.current)))
+                st.append(name, fresh.filter(~again))
+                st.overwrite_days(name, whole)
+            else:
+                st.append(name, fresh)
+            st.overwrite_days(name, after)
+            if rebuilt:
+                history.unpersist()
+        finally:
+            stage.unpersist()
+
     # -- after the stream ------------------------------------------------------
 
     def refresh_rollup(self, as_of: dt.datetime | None = None, lookback: str = rollup.DEFAULT_LOOKBACK) -> None:
@@ -159,26 +253,33 @@ class WarehouseJob:
 
     def refresh_pending(self) -> None:
         """Recompute every (hour, device) that a batch wrote since the last
-        time, however old; reads only the fact days that hold them."""
+        time, however old.  Only the days that hold them are read and written;
+        only the notes that were read are deleted."""
         st, path = self.store, f"{self.store.root}/pending_hours"
-        if not st.has_path(path):
+        notes = [note for source in st.folders(path) for note in st.folders(source)]
+        if not notes:
             return
-        hours = self.spark.read.option("recursiveFileLookup", "true").parquet(path).distinct()
-        lo, hi = hours.select(F.min(F.to_date("hour_bucket")), F.max(F.to_date("hour_bucket"))).first()
-        facts_of = st.read_days("fact_measurements", F.lit(lo), F.lit(hi))
-        self._upsert_hourly(rollup.refresh_hours(facts_of, hours))
-        st.delete_path(path)
+        hours = self.spark.read.schema(_HOURS).parquet(*notes).distinct().persist()
+        try:
+            days = sorted(r[0] for r in hours.select(F.to_date("hour_bucket")).distinct().collect())
+            facts_of = st.read_days("fact_measurements", days)
+            self._upsert_hourly(rollup.refresh_hours(facts_of, hours))
+        finally:
+            hours.unpersist()
+        for note in notes:
+            st.delete_path(note)
+        for folder in [*st.folders(path), path]:
+            st.delete_if_empty(folder)
 
     def _upsert_hourly(self, fresh: DataFrame) -> None:
         st = self.store
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            lo, hi = fresh.select(F.min(F.to_date("hour_bucket")), F.max(F.to_date("hour_bucket"))).first()
-            if lo is None:
+            days = [r[0] for r in fresh.select(F.to_date("hour_bucket")).distinct().collect()]
+            if not days:
                 return
-            existing = st.read_days("fact_hourly_agg", F.lit(lo), F.lit(hi))
-            kept = existing.join(fresh.select(*HOURLY_KEYS), HOURLY_KEYS, "left_anti")
-            st.overwrite_days("fact_hourly_agg", kept.unionByName(fresh))
+            existing = st.read_days("fact_hourly_agg", days)
+            st.overwrite_days("fact_hourly_agg", upsert(existing, fresh, HOURLY_KEYS))
         finally:
             fresh.unpersist()
 
@@ -193,8 +294,7 @@ def run(spark: SparkSession, raw_path: str, store: TableStore, checkpoint: str,
     """Drain the raw zone through the warehouse job, then finish (rollup and
     compaction).  The fact table exists before the stream starts, so a run
     with no new files still succeeds."""
-    source = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
-    job = WarehouseJob(spark, store, **{"source": source, **job_args})
+    job = WarehouseJob(spark, store, **job_args)
     query = start_staging(spark, raw_path, checkpoint, job.process, available_now=True,
                           max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination()

@@ -8,54 +8,52 @@ arrives late, in any order, is kept, and one delivered twice is not.
 * :func:`start_hourly_upsert` does so too, then recomputes the (hour, device)
   pairs that the batch touched from the stored readings and replaces them.
 
-A micro-batch costs a read of the days it covers.  Every step is idempotent.
+A micro-batch costs a read of the days that it has readings of, and only of
+these; a day between two of them is not touched.  Every step is idempotent.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.geo import country_of
 from tidewater.operators import rollup
-from tidewater.operators.dedup import split_null_keys
+from tidewater.operators.dedup import batch_days, split_null_keys
 from tidewater.operators.merge import rows_to_insert, upsert
 from tidewater.plans.warehouse import dedup_batch
 from tidewater.schemas import DEDUP_KEYS, HOURLY_KEYS
 from tidewater.sources.tables import TableStore
+from tidewater.streaming.staging import stream_name
 
 
-def store_new(store: TableStore, batch: DataFrame, batch_id: int) -> tuple | None:
+def store_new(store: TableStore, batch: DataFrame, batch_id: int, source: str) -> list[dt.date]:
     """Append the batch's readings that are not stored yet to staging_events.
 
-    Returns the first and last day of the batch (None: it has no reading with
-    both keys).  Readings without a key are set aside by batch id.
+    Returns the days of its readings.  Readings without a key are set aside, in
+    a folder named by stream and batch id.
     """
     good, bad = split_null_keys(batch, DEDUP_KEYS)
-    broken = F.col(DEDUP_KEYS[0]).isNull() | F.col(DEDUP_KEYS[1]).isNull()
-    day = F.to_date("event_time")
-    lo, hi, n_bad = batch.select(
-        F.min(F.when(~broken, day)), F.max(F.when(~broken, day)), F.count_if(broken)
-    ).first()
+    days, n_bad = batch_days(batch, DEDUP_KEYS)
     if n_bad:
-        bad.write.mode("overwrite").parquet(f"{store.root}/quarantine/batch_id={batch_id}")
-    if lo is None:
-        return None
-    stored = store.read_days("staging_events", F.lit(lo), F.lit(hi))
-    store.append("staging_events", rows_to_insert(stored, dedup_batch(good), DEDUP_KEYS))
-    return lo, hi
-
-
-def refresh_touched_hours(store: TableStore, batch: DataFrame, first, last) -> None:
-    """Replace the rollup rows of the hours that ``batch`` touched."""
-    days = F.lit(first), F.lit(last)
-    readings = store.read_days("staging_events", *days)
+        bad.write.mode("overwrite").parquet(f"{store.root}/quarantine/source={source}/batch_id={batch_id}")
+    if days:
+        stored = store.read_days("staging_events", days)
+        store.append("staging_events", rows_to_insert(stored, dedup_batch(good), DEDUP_KEYS))
+    return days
+
+
+def refresh_touched_hours(store: TableStore, batch: DataFrame, days: list[dt.date]) -> None:
+    """Replace the rollup rows of the hours that ``batch`` touched, which lie
+    in ``days``; other days are neither read nor written."""
+    readings = store.read_days("staging_events", days)
     placed = readings.withColumn("country_code", country_of("latitude", "longitude").getField("country_code"))
     fresh = rollup.refresh_hours(placed, rollup.touched_hours(split_null_keys(batch, DEDUP_KEYS)[0]))
-    existing = store.read_days("fact_hourly_agg", *days)
+    existing = store.read_days("fact_hourly_agg", days)
     store.overwrite_days("fact_hourly_agg", upsert(existing, fresh, HOURLY_KEYS))
 
 
@@ -79,9 +77,9 @@ def start_hourly_upsert(readings: DataFrame, store: TableStore, checkpoint: str,
     store.ensure_all()
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        days = store_new(store, batch, batch_id)
+        days = store_new(store, batch, batch_id, stream_name(store.spark))
         if days:
-            refresh_touched_hours(store, batch, *days)
+            refresh_touched_hours(store, batch, days)
 
     return _start(readings, step, checkpoint, available_now, processing_time)
 
@@ -92,6 +90,6 @@ def start_dedup(readings: DataFrame, store: TableStore, checkpoint: str,
     store.ensure_all()
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        store_new(store, batch, batch_id)
+        store_new(store, batch, batch_id, stream_name(store.spark))
 
     return _start(readings, step, checkpoint, available_now, processing_time)

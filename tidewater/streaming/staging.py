@@ -16,6 +16,12 @@ from tidewater.schemas import RAW_FILE
 from tidewater.sources.envelope import flatten
 
 
+def stream_name(spark: SparkSession) -> str | None:
+    """Inside ``foreachBatch``: the id of the running stream, which a restart
+    from its checkpoint keeps and a new checkpoint changes; else None."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def raw_source(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.format("json").schema(RAW_FILE)
     if max_files_per_trigger:
