@@ -5,10 +5,11 @@ itself), so the tokens of both spell the same bytes.  Two tokens are linked if
 their byte ranges overlap; a group ends at each byte offset where a token of
 either side ends.
 
-*Encoding.*  A text is cut where tokens of a side cannot reach across: A's
-pre-tokens by its split pattern, and for B before a run of spaces that follows
-another character, which no piece of its vocabulary spans (checked when it is
-read).  What a part becomes is remembered in a bounded table.
+*Encoding.*  A text is cut where no token reaches across: before a run of spaces
+that follows another character.  No piece of B's vocabulary spans such a place
+(checked when it is read), and A's split pattern never does unless the character
+before is white space too; segments with such a place are encoded whole by A.
+What a part becomes is remembered in a bounded table.
 
 *Merge path.*  The ends of A and of B are two sorted lists.  The split of the
 first d ends of their merged order, for d = ``piece``, 2 ``piece`` ..., is found
@@ -40,7 +41,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,9 +53,9 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import scratch_folder
 
 #: Parts that a side remembers, and how long they may be.
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
-#: Characters that are encoded at a time, and tokens that are aligned at a time.
-SEGMENT, TOKENS = 1 << 20, 1 << 20
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
+#: Characters of a segment and of texts that are encoded together, and tokens that are aligned at a time.
+SEGMENT, TOGETHER, TOKENS = 1 << 20, 1 << 18, 1 << 20
 #: Rows of different documents are this many bytes apart in the merged order of a batch.
 APART = 1 << 40
 
@@ -70,10 +71,6 @@ class AlignRule:
 # ---------------------------------------------------------------- tokenizers
 
 
-class Mismatch(Exception):
-    """The tokens of a part do not spell it."""
-
-
 def byte_of_character() -> dict[str, int]:
     """The byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes for 256 and up in order."""
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
@@ -81,22 +78,10 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
-class Parts(dict):
-    """A part of a text to its ids, packed as 32-bit integers; a missing one is encoded, and kept while there is room."""
-
-    def __init__(self, side: ByteLevel | Pieces) -> None:
-        self.side, self.encode = side, side.encoder()
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.encode(part)
-        if b"".join([self.side.entries[i] for i in ids]) != part.encode():
-            raise Mismatch
-        packed = array("i", ids).tobytes()
-        if len(part) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[part] = packed
-        return packed
+def packed(ids: list[int], entries: list[bytes], part: str) -> bytes | None:
+    """Ids as 32-bit integers; None if their tokens do not spell the part."""
+    spelt = b"".join([entries[i] for i in ids]) == part.encode()
+    return array("i", ids).tobytes() if spelt else None
 
 
 @dataclass
@@ -120,15 +105,31 @@ class ByteLevel:
             entries[i] = special[i] if i in special else bytes(byte[c] for c in token)
         return cls(source, pattern, entries)
 
-    def encoder(self):
+    def encoder(self) -> Callable[[str], bytes | None]:
+        """Packed ids of any text, pre-token by pre-token."""
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(self.source)
-        tokenizer.encode_special_tokens = True
-        return lambda part: tokenizer.encode(part, add_special_tokens=False).ids
+        model, split = Tokenizer.from_str(self.source).model, regex.compile(self.pattern).findall
+        character = {b: c for c, b in byte_of_character().items()}
+        spell = {b: character[b] for b in range(256)}  # of a byte, read as Latin-1
+        known: dict[str, bytes | None] = {}
+
+        def encode(part: str) -> bytes | None:
+            words = split(part)
+            new = [w for w in words if w not in known]
+            if new:
+                if len(known) >= CACHE_ENTRIES:
+                    known.clear()
+                    new = words
+                for word in new:
+                    ids = [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(spell))]
+                    known[word] = packed(ids, self.entries, word)
+            try:
+                return b"".join(map(known.__getitem__, words))
+            except TypeError:  # a None among them
+                return None
 
-    def split(self):
-        return regex.compile(self.pattern).findall
+        return encode
 
 
 @dataclass
@@ -152,20 +153,62 @@ class Pieces:
         entries = [bytes([int(m[1], 16)]) if (m := one.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         return cls(source, entries)
 
-    def encoder(self):
+    def encoder(self) -> Callable[[list[str]], list[bytes | None]]:
+        """Packed ids of texts that begin with the space which the model adds itself."""
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_proto=self.source)
+        # by itself, an empty text would not get that space
+        space = model.encode_as_ids("a ")[len(model.encode_as_ids("a")) :]
 
-        def encode(part: str) -> list[int]:
-            if part == " ":  # by itself, an empty text would not get the space that the model adds
-                return model.encode("a ")[len(model.encode("a")) :]
-            return model.encode(part[1:])
+        def encode(parts: list[str]) -> list[bytes | None]:
+            found = model.encode_as_ids([p[1:] for p in parts])
+            return [packed(space if p == " " else ids, self.entries, p) for p, ids in zip(parts, found, strict=True)]
 
         return encode
 
-    def split(self):
-        return re.compile(" +[^ ]*").findall
+
+#: A run of spaces and what follows it.  No token of B reaches across the start of one, and none of
+#: A does where the character before is no white space of another kind.
+split_parts = re.compile(" +[^ ]*").findall
+other_space = re.compile(r"[^\S ] ").search
+
+
+class Parts:
+    """Packed ids of parts of texts, by side; None where the tokens do not spell the part."""
+
+    def __init__(self, a: ByteLevel, b: Pieces) -> None:
+        self.encode_a, self.encode_b = a.encoder(), b.encoder()
+        self.known: tuple[dict[str, bytes | None], dict[str, bytes | None]] = ({}, {})
+
+    def ids(self, segment_lists: list[list[str]]) -> list[list[np.ndarray]]:
+        """The ids of both sides of texts given as their segments; none where a text isn't spelt."""
+        texts = [[split_parts(s) for s in segments_] for segments_ in segment_lists]
+        wanted = set().union(*(parts for lists in texts for parts in lists))
+        a, b = self.known
+        if len(a) + len(wanted) > CACHE_ENTRIES:
+            a.clear()
+            b.clear()
+        new = list(wanted.difference(a))
+        a.update(zip(new, map(self.encode_a, new), strict=True))
+        b.update(zip(new, self.encode_b(new), strict=True))
+        out = []
+        for segments_, lists in zip(segment_lists, texts, strict=True):
+            try:
+                sides = [
+                    b"".join(
+                        self.encode_a(s) if other_space(s) else b"".join(map(a.__getitem__, parts))
+                        for s, parts in zip(segments_, lists, strict=True)
+                    ),
+                    b"".join([b"".join(map(b.__getitem__, parts)) for parts in lists]),
+                ]
+            except TypeError:  # a None among them
+                sides = [b"", b""]
+            out.append([np.frombuffer(side, np.int32) for side in sides])
+        for part in new:
+            if len(part) > CACHE_CHARS:
+                del a[part], b[part]
+        return out
 
 
 def segments(whole: str, size: int = SEGMENT) -> Iterator[str]:
@@ -202,24 +245,23 @@ def encode(docs: DataFrame, a: ByteLevel, b: Pieces, rule: AlignRule, key: str =
     small = id_type(a), id_type(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = (Parts(a), Parts(b)), (a.split(), b.split())
-        length = byte_lengths(a), byte_lengths(b)
-
-        def ids_of(value: str) -> list[np.ndarray]:
-            packed: tuple[list[bytes], list[bytes]] = ([], [])
-            try:
-                for segment in segments(" " + value) if value else ():
-                    for side in (0, 1):
-                        packed[side].append(b"".join(map(known[side].__getitem__, split[side](segment))))
-            except Mismatch:
-                packed = ([], [])
-            return [np.frombuffer(b"".join(p), np.int32) for p in packed]
+        known, length = Parts(a, b), (byte_lengths(a), byte_lengths(b))
+
+        def texts_with_ids(batch: pa.RecordBatch) -> Iterator[tuple[int, int | None, list[np.ndarray]]]:
+            keys, held, size = zip(batch["row"].to_pylist(), batch["id"].to_pylist(), strict=True), [], 0
+            for n, value in enumerate(batch["text"], 1):
+                text = value.as_py()
+                held.append(list(segments(" " + text)) if text else [])
+                size += len(text or "")
+                if size >= TOGETHER or n == batch.num_rows:
+                    for ids in known.ids(held):
+                        yield *next(keys), ids
+                    held, size = [], 0
 
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for row, doc_id, value in zip(batch["row"].to_pylist(), batch["id"].to_pylist(), batch["text"], strict=True):
-                ids = ids_of(value.as_py() or "")
+            for row, doc_id, ids in texts_with_ids(batch):
                 ends = [np.cumsum(length[s][ids[s]]) for s in (0, 1)]
                 splits = diagonals(*ends, rule.piece) if len(ids[0]) else (np.zeros(2, int), np.zeros(2, int))
                 last = len(splits[0]) - 2
@@ -330,7 +372,7 @@ def count_pairs(pieces: DataFrame, a: ByteLevel, b: Pieces, rule: AlignRule) ->
             np.add.at(total, where, np.concatenate([counts, *(m[1] for m in more)]))
             return every, total
 
-        def packed() -> pa.RecordBatch:
+        def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], ["pair", "n"])
 
         for batch in slices(batches):
@@ -338,10 +380,10 @@ def count_pairs(pieces: DataFrame, a: ByteLevel, b: Pieces, rule: AlignRule) ->
             if sum(len(m[0]) for m in more) > rule.held_pairs:
                 (pairs, counts), more = sum_up(), []
                 if len(pairs) > rule.held_pairs:
-                    yield packed()
+                    yield out()
                     pairs, counts = pairs[:0], counts[:0]
         pairs, counts = sum_up()
-        yield packed()
+        yield out()
 
     return pieces.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
