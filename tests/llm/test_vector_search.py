@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from tidewater.llm import bit_sliced, hard_negatives, queries
+from tidewater.llm import bit_sliced, graph_ann, hard_negatives, queries
 from tidewater.llm.vector_shards import LONG_MAX, LONG_MIN, vector_rows
 
 Q = queries.queries()
@@ -142,3 +142,46 @@ def test_sums_and_selection_of_slices():
         assert kth == np.sort(want)[-k]
         some = np.unpackbits(bit_sliced.at_least(sums, alive, kth).view(np.uint8), bitorder="little")
         assert (some[:200] == (want >= kth)).all()
+
+
+@pytest.mark.parametrize("move", ["offset", "large", "small", "huge", "two far clusters", "outlier query"])
+def test_graph_search_keeps_recall_wherever_the_vectors_lie(spark, move):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 16))
+    x = {
+        "offset": x + 1000, "large": x * 1e20, "small": x * 1e-160, "huge": x * 1e300,
+        "two far clusters": x + 1e4 * (np.arange(1500) % 2)[:, None], "outlier query": x,
+    }[move]
+    if move == "outlier query":
+        x[700] = 50.0
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rule = graph_ann.GraphRule(shard_rows=800, degree=16, beam=48)
+    found = graph_ann.nearest(table, table.where("vec_id % 100 = 0"), 10, rule).collect()
+    small = x / np.abs(x).max()
+    hits = 0
+    for q in range(0, 1500, 100):
+        far = np.sqrt(((small - small[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        best = np.argsort(far, kind="stable")[:10]
+        mine = sorted((r["rank"], r.id, r.score) for r in found if r.query_id == q)
+        assert [m[0] for m in mine] == list(range(1, 11))
+        for _, i, score in mine:
+            assert math.isclose(score / np.abs(x).max(), far[i], rel_tol=1e-9)
+        hits += len({m[1] for m in mine} & set(best.tolist()))
+    assert hits >= 0.9 * 150
+
+
+def test_graph_search_reads_a_small_part_of_a_shard():
+    """Distances computed for a query are under a tenth of a shard of clustered vectors."""
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(60, 12))[rng.integers(0, 60, 6000)] + 0.3 * rng.normal(size=(6000, 12))).astype(np.float32)
+    rule = graph_ann.GraphRule(degree=16, beam=24)
+    edges, entry = graph_ann.build_graph(x, rule)
+    ids, _, expanded = graph_ann.beam_search(x, edges, entry, x[::100], 24)
+    seen = [len(np.unique(edges[e[e >= 0]])) for e in expanded]
+    assert max(seen) < 600
+    hits = 0
+    for q, found in zip(range(0, 6000, 100), ids):
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        hits += len(set(found[:10].tolist()) & set(np.argsort(far, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 600

@@ -48,6 +48,7 @@ class GraphRule:
     beam: int = 80
     alpha: float = 1.2
     batch: int = 128
+    query_rows: int = 256
 
     @property
     def room(self) -> int:
@@ -290,7 +291,7 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int, rule
 
     wanted = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("query"), "dim")
     beside = beside_shards(index, shards, wanted, ["query_id"])
-    return search_shards(beside, GraphShard, search, "query_id long, node long, score double")
+    return search_shards(beside, GraphShard, search, "query_id long, node long, score double", most=rule.query_rows)
 
 
 def nearest(
