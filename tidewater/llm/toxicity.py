@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import prepare_checkpoints, text_of
 
-#: Names of groups by family; the first word of each is neutral.
+#: Names of groups by family, in the languages of the corpus; the first word of each is neutral.
 IDENTITY_TERMS = (
     ("people", "women", "men", "girls", "boys", "females", "males", "transgender", "nonbinary"),
     ("believers", "christians", "muslims", "jews", "hindus", "buddhists", "sikhs", "atheists", "catholics"),
@@ -45,6 +45,24 @@ IDENTITY_TERMS = (
     ("local", "black", "white", "asian", "african", "european", "american", "arab", "latino", "mexican", "chinese", "indian"),
     ("adult", "gay", "lesbian", "bisexual", "straight", "queer", "homosexual", "heterosexual"),
     ("resident", "disabled", "blind", "deaf", "autistic", "elderly", "old", "young", "poor", "rich"),
+    # German
+    ("leute", "frauen", "männer", "mädchen", "jungen"),
+    ("gläubige", "christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "katholiken"),
+    ("bürger", "ausländer", "flüchtlinge", "migranten", "einwanderer", "einheimische"),
+    ("örtliche", "schwarze", "weiße", "asiatische", "afrikanische", "arabische", "türkische", "polnische"),
+    ("erwachsene", "schwule", "lesbische", "homosexuelle", "heterosexuelle", "behinderte", "blinde", "alte", "junge"),
+    # French
+    ("gens", "femmes", "hommes", "filles", "garçons"),
+    ("croyants", "chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    ("citoyens", "étrangers", "réfugiés", "migrants", "immigrés"),
+    ("locaux", "noirs", "blancs", "asiatiques", "africains", "arabes", "européens", "maghrébins"),
+    ("adultes", "gays", "lesbiennes", "homosexuels", "hétérosexuels", "handicapés", "aveugles", "vieux", "jeunes"),
+    # Spanish
+    ("gente", "mujeres", "hombres", "niñas", "niños"),
+    ("creyentes", "cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("ciudadanos", "extranjeros", "refugiados", "migrantes", "inmigrantes"),
+    ("locales", "negros", "blancos", "asiáticos", "africanos", "árabes", "europeos", "latinos", "gitanos"),
+    ("adultos", "lesbianas", "homosexuales", "heterosexuales", "discapacitados", "ciegos", "viejos", "jóvenes"),
 )
 
 #: Scores from here on count as toxic.
@@ -155,10 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, rule: FitRule = FitRule()) -> Model:
     terms = {w for family in IDENTITY_TERMS for w in family}
     terms |= {t + "#" for t in terms}
     names = sorted(terms.union(select_features(rows, n, rule)))
-    rows_of, pairs = training_rows(rows, names, rule)
-    weights, bias = fit_weights(
-        [x for _, x in rows_of], np.array([y for y, _ in rows_of], float), pairs, len(names), rule
-    )
+    weights, bias = fit_weights(training_rows(rows, names, rule), len(names), rule)
     return Model(bias, {f: float(w) for f, w in zip(names, weights, strict=True) if w != 0.0}, rule.prefixes)
 
 
@@ -194,54 +209,74 @@ def select_features(rows: DataFrame, n: dict[int, int], rule: FitRule) -> list[s
     return [r["feature"] for r in best.collect()]
 
 
-def training_rows(
-    rows: DataFrame, names: list[str], rule: FitRule
-) -> tuple[list[tuple[int, list[int]]], list[tuple[list[int], list[int]]]]:
-    """(y, feature numbers) of the sample, and (before, after) of its counterfactuals."""
+@dataclass
+class Training:
+    """The sample as flat lists: the features of each row, and the features that each counterfactual adds or takes away."""
+
+    y: np.ndarray
+    row: np.ndarray
+    col: np.ndarray
+    pairs: int
+    pair: np.ndarray
+    pair_col: np.ndarray
+    sign: np.ndarray
+
+
+def training_rows(rows: DataFrame, names: list[str], rule: FitRule) -> Training:
+    """The sample in numbers.  Of a counterfactual only the differences are sent: what both texts hold cancels."""
     prefixes, column = rule.prefixes, {f: k for k, f in enumerate(names)}
 
-    def number(words: Counter[str]) -> list[int]:
-        return sorted(column[f] for f in features_of(words, prefixes) if f in column)
+    def number(words: Counter[str]) -> set[int]:
+        return {column[f] for f in features_of(words, prefixes) if f in column}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [word_counts(t.as_py()) for t in batch["text"]]
-            x = [number(w) for w in words]
-            swapped = [[number(c) for c in counterfactuals(w)] for w in words]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"],
-                    "y": batch["y"],
-                    "x": pa.array(x, pa.list_(pa.int32())),
-                    "swapped": pa.array(swapped, pa.list_(pa.list_(pa.int32()))),
-                }
-            )
-
-    coded = rows.mapInArrow(encode, "doc_id long, y int, x array<int>, swapped array<array<int>>")
-    data = coded.orderBy("doc_id", "y", "x").collect()
-    return [(r["y"], r["x"]) for r in data], [(r["x"], after) for r in data for after in r["swapped"]]
-
-
-def fit_weights(
-    rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], features: int, rule: FitRule
-) -> tuple[np.ndarray, float]:
+            out: dict[str, list] = {"x": [], "swaps": [], "swap": [], "feature": [], "sign": []}
+            for text in batch["text"]:
+                words = word_counts(text.as_py())
+                x, swapped = number(words), [number(c) for c in counterfactuals(words)]
+                changes = [(n, f, -1) for n, after in enumerate(swapped) for f in sorted(x - after)]
+                changes += [(n, f, 1) for n, after in enumerate(swapped) for f in sorted(after - x)]
+                out["x"].append(sorted(x))
+                out["swaps"].append(len(swapped))
+                for k, c in enumerate(("swap", "feature", "sign")):
+                    out[c].append([change[k] for change in changes])
+            lists = {c: pa.array(v, pa.int32() if c == "swaps" else pa.list_(pa.int32())) for c, v in out.items()}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "y": batch["y"], **lists})
+
+    coded = rows.mapInArrow(
+        encode, "doc_id long, y int, x array<int>, swaps int, swap array<int>, feature array<int>, sign array<int>"
+    )
+    data = coded.orderBy("doc_id", "y", "x").toArrow().combine_chunks()
+    lists = {c: data[c].combine_chunks() for c in ("x", "swap", "feature", "sign")}
+    flat = {c: v.flatten().to_numpy(zero_copy_only=False) for c, v in lists.items()}
+    length = {c: v.value_lengths().to_numpy(zero_copy_only=False) for c, v in lists.items()}
+    swaps = data["swaps"].to_numpy()
+    first = np.cumsum(swaps) - swaps  # the number of each row's first counterfactual
+    return Training(
+        data["y"].to_numpy().astype(float),
+        np.repeat(np.arange(len(swaps)), length["x"]),
+        flat["x"],
+        int(swaps.sum()),
+        np.repeat(first, length["swap"]) + flat["swap"],
+        flat["feature"],
+        flat["sign"].astype(float),
+    )
+
+
+def fit_weights(t: Training, features: int, rule: FitRule) -> tuple[np.ndarray, float]:
     """Minimise class-balanced log-loss + ridge + counterfactual penalty by Adam on the whole sample."""
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.fromiter((k for r in rows for k in r), np.int64)
-    # a swap changes the logit by the weights it adds less those it takes away
-    pair = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs]) if pairs else np.zeros(0, np.int64)
-    pair_col = np.fromiter((k for a, b in pairs for k in (*a, *b)), np.int64)
-    sign = np.fromiter((s for a, b in pairs for s in (*[-1.0] * len(a), *[1.0] * len(b))), float)
+    y, row, col, pair, pair_col, sign = t.y, t.row, t.col, t.pair, t.pair_col, t.sign
     importance = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     w, bias = np.zeros(features), 0.0
     m, v = np.zeros(features + 1), np.zeros(features + 1)
     for step in range(1, rule.steps + 1):
-        z = bias + np.bincount(row, w[col], len(rows))
+        z = bias + np.bincount(row, w[col], len(y))
         residual = importance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
         slope = np.bincount(col, residual[row], features) + rule.ridge * w
-        if pairs:
-            change = np.bincount(pair, sign * w[pair_col], len(pairs))
-            slope += rule.counterfactual * 2 / len(pairs) * np.bincount(pair_col, sign * change[pair], features)
+        if t.pairs:
+            change = np.bincount(pair, sign * w[pair_col], t.pairs)
+            slope += rule.counterfactual * 2 / t.pairs * np.bincount(pair_col, sign * change[pair], features)
         g = np.append(slope, residual.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rule.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
