@@ -169,6 +169,34 @@ h AS (
 anchor AS (SELECT max(event_time) AS t FROM f)
 """
 
+
+
+def _spliced_dim(name: str, sk: str, key_parts: tuple[str, ...], tracked: tuple[str, ...]) -> str:
+    """CTEs of a dimension whose versions start at the times of the weekly states."""
+    return f"""{name}_s AS (
+  SELECT * FROM (
+    SELECT iot_device_id, event_time AS batch_ts, {", ".join(tracked)}, row_number() OVER (
+      PARTITION BY iot_device_id, week_end ORDER BY event_time DESC) AS _rn
+    FROM (SELECT b.* EXCLUDE (batch_ts), batch_ts AS week_end,
+            {country_case('latitude', 'longitude', 'code')} AS country_code,
+            {country_case('latitude', 'longitude', 'name')} AS country_name,
+            {country_case('latitude', 'longitude', 'city')} AS city FROM b)
+  ) WHERE _rn = 1
+),
+{name}_v AS (SELECT *, {_changed(tracked)} AS changed FROM {name}_s WINDOW w AS (PARTITION BY iot_device_id ORDER BY batch_ts)),
+{name} AS (
+  SELECT {_sk(*key_parts, 'CAST(batch_ts AS VARCHAR)')} AS {sk}, iot_device_id, {", ".join(tracked)},
+    batch_ts AS effective_start, {_NEXT} AS effective_end, {_NEXT} IS NULL AS is_current
+  FROM {name}_v WHERE changed
+)"""
+
+
+_SPLICED = ",\n".join([
+    _spliced_dim("spliced_device", "device_sk", ("CAST(iot_device_id AS VARCHAR)",), ("latitude", "longitude", "timezone")),
+    _spliced_dim("spliced_country", "country_sk", ("CAST(iot_device_id AS VARCHAR)", "country_code"),
+                 ("country_code", "country_name", "city")),
+])
+
 HOURLY_COLS = ("avg_temp", "avg_feels_like", "avg_humidity", "avg_pressure", "avg_wind_speed", "avg_uvi",
                "avg_clouds", "avg_visibility", "avg_rain_1h")
 
@@ -319,6 +347,17 @@ FROM (SELECT event_id, ((value * 7) % 360.0) - 180 AS longitude FROM events)""",
         "scd2_country": _with("SELECT * FROM dim_country"),
         "scd2_device_incremental": _with("SELECT * FROM dim_device"),
         "scd2_country_incremental": _with("SELECT * FROM dim_country"),
+        "scd2_device_spliced": _with_extra(_SPLICED, "SELECT * FROM spliced_device"),
+        "scd2_country_spliced": _with_extra(_SPLICED, "SELECT * FROM spliced_country"),
+        "fact_load_asof": _with_extra(f"""{_SPLICED},
+af AS (
+  SELECT f.* REPLACE (d.device_sk AS device_sk, c.country_sk AS country_sk, c.country_code AS country_code)
+  FROM f
+  LEFT JOIN spliced_device d ON d.iot_device_id = f.iot_device_id AND f.event_time >= d.effective_start
+    AND (d.effective_end IS NULL OR f.event_time < d.effective_end)
+  LEFT JOIN spliced_country c ON c.iot_device_id = f.iot_device_id AND f.event_time >= c.effective_start
+    AND (c.effective_end IS NULL OR f.event_time < c.effective_end)
+)""", f"SELECT {fact_cols} FROM af"),
         "fact_load": _with(f"SELECT {fact_cols} FROM f"),
         "fact_load_incremental": _with(f"SELECT {fact_cols} FROM f"),
         "upsert_hourly": _with_extra(

@@ -3,7 +3,7 @@ denormalise device and country, add the calendar key and a row key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.functions.keys import content_row_key, random_row_key
 from tidewater.functions.timefn import date_key
@@ -70,6 +70,60 @@ def load_fact(
     return fact_rows(resolved.where(F.col("_one").isNull()), row_key_kind)
 
 
+def load_fact_asof(
+    batch: DataFrame,
+    dim_device: DataFrame,
+    dim_country: DataFrame,
+    row_key_kind: str = "uuid",
+    slot: str = "day",
+) -> DataFrame:
+    """Fact rows whose keys are those of the versions valid at event time.
+
+    ``effective_start <= event_time < effective_end``, also for readings that
+    come late; a reading before its device's first version keeps NULL keys.
+
+    An as-of join without a range condition: versions and readings are laid
+    out by time, and each reading takes the last version before it.  A device's
+    time is cut into slots (``slot``: a unit of ``date_trunc``), and a version
+    is copied into each slot that it overlaps and that has readings, so a
+    device with a large part of all readings is many independent groups and a
+    version pairs with no reading one by one.
+    """
+    key, at = "iot_device_id", F.date_trunc(slot, F.col("event_time"))
+    readings = batch.withColumn("_slot", at)
+    slots = readings.select(key, "_slot").distinct()
+    bounds = slots.agg(F.min("_slot"), F.max("_slot")).first()
+    if bounds[0] is None:
+        return fact_rows(batch.withColumns({c: F.lit(None).cast("string") for c in ("device_sk", "country_sk", "country_code")}), row_key_kind)
+    low, high = (F.lit(b).cast("timestamp") for b in bounds)
+
+    def placed(dim: DataFrame, *columns: str) -> DataFrame:
+        """Version rows at the time they begin to hold in each slot."""
+        first = F.greatest(F.date_trunc(slot, "effective_start"), low)
+        last = F.least(F.coalesce(F.col("effective_end"), high), high)
+        each = dim.filter(last >= first).withColumn("_slot", F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {slot}"))))
+        here = each.join(slots, [key, "_slot"], "left_semi")
+        start = F.greatest("effective_start", "_slot")
+        return here.select(key, "_slot", start.alias("event_time"), F.struct("effective_start", *columns).alias("_version"))
+
+    device = placed(dim_device, "device_sk").withColumnRenamed("_version", "_device")
+    country = placed(dim_country, "country_sk", "country_code").withColumnRenamed("_version", "_country")
+    rows = readings.withColumn("_reading", F.lit(True)).unionByName(device, allowMissingColumns=True).unionByName(
+        country, allowMissingColumns=True
+    )
+    # at one instant versions come before readings; of several the latest to start
+    begins = F.greatest(F.col("_device.effective_start"), F.col("_country.effective_start"))
+    order = Window.partitionBy(key, "_slot").orderBy("event_time", F.col("_reading").asc_nulls_first(), begins)
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = rows.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in ("_device", "_country")})
+    resolved = held.filter("_reading").withColumns({
+        "device_sk": F.col("_device.device_sk"),
+        "country_sk": F.col("_country.country_sk"),
+        "country_code": F.col("_country.country_code"),
+    })
+    return fact_rows(resolved, row_key_kind)
+
+
 def not_yet_loaded(new_facts: DataFrame, fact_table: DataFrame, touched: Column | None = None) -> DataFrame:
     """Drop rows whose (event_time, device) is already in the fact table.
 

@@ -53,8 +53,9 @@ def _utc_now() -> dt.datetime:
 class WarehouseJob:
     def __init__(self, spark: SparkSession, store: TableStore, row_key_kind: str = "uuid",
                  clock: Callable[[], dt.datetime] = _utc_now, source: str | None = None,
-                 effective_from: str = "batch"):
-        """``source`` names the run whose batch ids are used; by default the
+                 effective_from: str = "batch", keys: str = "current"):
+        """``keys="current"`` resolves facts to the versions current when they
+        are loaded, ``"as_of"`` to those valid at event time.  ``source`` names the run whose batch ids are used; by default the
         id of the stream that calls, and outside a stream a name of its own.
         ``effective_from="batch"`` versions dimensions in arrival order (a
         version starts at the batch instant); ``"event_time"`` starts a version
@@ -64,6 +65,9 @@ class WarehouseJob:
         so that any order of batches gives the same versions."""
         if effective_from not in ("batch", "event_time", "spliced"):
             raise ValueError(f"unknown effective_from {effective_from!r}")
+        if keys not in ("current", "as_of"):
+            raise ValueError(f"unknown keys {keys!r}")
+        self.keys = keys
         self.effective_from = effective_from
         self.spark = spark
         self.store = store
@@ -164,9 +168,15 @@ class WarehouseJob:
             if late is not None:
                 late.unpersist()
 
-        new_facts = facts.load_fact(
-            deduped, st.read_current("dim_iot_device"), st.read_current("dim_country"), self.row_key_kind
-        )
+        if self.keys == "as_of":
+            # versions that hold in the batch's days; the bounds reach the scans
+            first, after = F.lit(days[0]).cast("timestamp"), F.lit(days[-1] + dt.timedelta(days=1)).cast("timestamp")
+            valid = (F.col("effective_start") < after) & (F.col("effective_end").isNull() | (F.col("effective_end") > first))
+            dims = [st.read(name).filter(valid) for name in ("dim_iot_device", "dim_country")]
+            new_facts = facts.load_fact_asof(deduped, *dims, self.row_key_kind)
+        else:
+            dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
+            new_facts = facts.load_fact(deduped, *dims, self.row_key_kind)
         loaded = st.read_days("fact_measurements", days)
         st.append("fact_measurements", facts.not_yet_loaded(new_facts, loaded))
 
