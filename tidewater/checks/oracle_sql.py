@@ -538,6 +538,16 @@ WHERE (CAST(epoch(event_time) AS BIGINT) + iot_device_id) % 10 NOT IN (3, 7)""")
   {rnd('avg(avg_temp)')} AS value
 FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR GROUP BY 1, 2"""),
     })
+    sql["stream_rollup_window"] = sql["stream_rollup"]
+    sql["stream_last_not_null"] = sql["last_not_null"]
+
+    def distinct_devices(hours: int, where: str = "") -> str:
+        return _with(f"""SELECT count(DISTINCT iot_device_id) AS value FROM f
+WHERE date_trunc('hour', event_time) >= date_trunc('hour', (SELECT t FROM anchor)) - INTERVAL {hours} HOUR{where}""")
+
+    # at this size the sketches' error is below half a device
+    sql["panel_active_devices_approx"] = distinct_devices(24)
+    sql["panel_devices_reporting_approx"] = distinct_devices(48, f" AND {_IN_SELECTED}")
     return sql
 
 

@@ -1,12 +1,17 @@
 """Small-file compaction of recent day partitions.
 
-Streaming appends leave many small files per day.  ``compact_recent``
-rewrites the day partitions from ``as_of - days`` to ``as_of`` as files
-of about ``target_bytes`` each, sorted by the table's sort order so parquet
-min/max statistics can skip row groups.  The number of output files comes
-from the bytes on storage (metadata), never from collecting rows; the rows
-are range-partitioned on (day, time) so one large day spreads over many
-tasks instead of landing in one.
+Streaming appends leave many small files per day.  ``compact_recent`` packs the
+small files of the days from ``as_of - days`` to ``as_of`` into files of about
+``target_bytes``; which files are small, and how many new ones there are, comes
+from the folder listing, never from reading rows.  Files that are large stay as
+they are, so a second run rewrites nothing.
+
+Inside the new files rows follow a space-filling curve over time and device,
+in row groups of ``group_bytes``: the minima and maxima of a row group then
+bound both columns, and a panel of some devices skips the groups of the others
+(a table sorted by time has every device in every group).  The rows are
+range-partitioned on (day, place on the curve), so one large day spreads over
+many tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.curve import interleave, scaled
 from tidewater.session import SPLIT_BYTES
 from tidewater.sources.tables import SORT_ORDER, TableStore, day_column
 
@@ -25,22 +31,32 @@ def recent_days(as_of: dt.date, days: int) -> list[str]:
     return [(as_of - dt.timedelta(days=i)).isoformat() for i in range(days, -1, -1)]
 
 
+def small_files(store: TableStore, name: str, days: list[str], target_bytes: int) -> dict[str, list[tuple[str, int]]]:
+    """Of each day the files under three quarters of the target, where there are at least two."""
+    small = {d: [f for f in store.day_files(name, d) if f[1] < 0.75 * target_bytes] for d in days}
+    return {d: files for d, files in small.items() if len(files) > 1}
+
+
 def compact_recent(store: TableStore, name: str, as_of: dt.date | None = None, days: int = 2,
-                   target_bytes: int = SPLIT_BYTES) -> int:
-    """Rewrite the recent day partitions of ``name``; returns the number of
-    output partitions planned (0 when there is nothing to compact)."""
+                   target_bytes: int = SPLIT_BYTES, group_bytes: int = SPLIT_BYTES // 8) -> int:
+    """Pack the small files of the recent day partitions of ``name``; returns
+    the number of output partitions planned (0 when there is nothing to pack)."""
     col = day_column(name)
     if col is None:
         raise ValueError(f"{name} is not day-partitioned")
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    wanted = recent_days(as_of, days)
-    size = store.size_bytes(name, wanted)
-    if size == 0:
+    store.recover(name)
+    chosen = small_files(store, name, recent_days(as_of, days), target_bytes)
+    if not chosen:
         return 0
-    n_out = max(1, math.ceil(size / target_bytes))
-    lo, hi = F.lit(wanted[0]).cast("date"), F.lit(wanted[-1]).cast("date")
-    recent = store.read_with_day(name).filter(F.col(col).between(lo, hi))
-    order = SORT_ORDER.get(name, ())
-    rewritten = recent.repartitionByRange(n_out, col, *order).drop(col)
-    store.overwrite_days(name, rewritten, deal=False)
+    n_out = sum(math.ceil(sum(size for _, size in files) / target_bytes) for files in chosen.values())
+    paths = [path for files in chosen.values() for path, _ in files]
+    rows = store.read_files(name, paths)
+    time, key = SORT_ORDER[name]
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    seconds = F.unix_timestamp(time) - F.unix_timestamp(F.date_trunc("day", time))
+    place = interleave(scaled(seconds, 0, 86400), scaled(F.col(key), low or 0, high or 0))
+    order = [col, "_place", time, key]
+    packed = rows.withColumn("_place", place).repartitionByRange(n_out, *order).sortWithinPartitions(*order).drop("_place")
+    store.replace_files(name, paths, packed, **{"parquet.block.size": str(group_bytes)})
     return n_out

@@ -91,3 +91,26 @@ def refresh_hours(fact: DataFrame, hours: DataFrame) -> DataFrame:
 def refresh_touched(existing: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
     """Upsert the rollup for every (hour, device) the batch touched."""
     return upsert(existing, refresh_hours(fact, touched_hours(batch)), HOURLY_KEYS)
+
+
+# --- distinct devices ---------------------------------------------------------
+
+#: Registers of a sketch as a power of two, and the relative standard error that this gives.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def device_sketches(fact: DataFrame) -> DataFrame:
+    """Sketch of the distinct devices of each hour and country; unions of
+    sketches stand for unions of rows, so any span of hours and any choice of
+    countries is answered from these."""
+    return fact.groupBy(hour_bucket("event_time").alias("hour_bucket"), "country_code").agg(
+        F.hll_sketch_agg("iot_device_id", SKETCH_BITS).alias("devices"), F.count(F.lit(1)).alias("n_events")
+    )
+
+
+def refresh_sketches(existing: DataFrame, fact: DataFrame, hours: DataFrame) -> DataFrame:
+    """New sketch table state: those of the given hours made anew, whole, from the facts."""
+    touched = hours.select("hour_bucket").distinct()
+    rows = fact.withColumn("hour_bucket", hour_bucket("event_time")).join(touched, "hour_bucket", "left_semi")
+    return existing.join(touched, "hour_bucket", "left_anti").unionByName(device_sketches(rows.drop("hour_bucket")))

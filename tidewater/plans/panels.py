@@ -16,6 +16,7 @@ series name.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -113,12 +114,15 @@ def latest_event_time(fact: DataFrame, countries: Sequence[str] | None = None) -
 
 def latest_event_time_stored(store, countries: Sequence[str] | None = None, name: str = "fact_measurements") -> DataFrame:
     """The same over a stored, day-partitioned table: the newest day that has
-    a matching row holds the newest time, so days are tried from the newest
-    on and usually one is read."""
-    for day in store.days(name):
-        found = latest_event_time(store.read_day(name, day), countries)
-        if found.first()[0] is not None:
+    a matching row holds the newest time.  Days are tried from the newest on,
+    one, then two, four ... at once, so usually one is read and a country
+    without rows costs some ten jobs that read each day once."""
+    days, at, width = [dt.date.fromisoformat(d) for d in store.days(name)], 0, 1
+    while at < len(days):
+        found = latest_event_time(store.read_with_day(name).filter(F.col("event_time_date").isin(days[at : at + width])), countries)
+        if at + width >= len(days) or found.first()[0] is not None:
             return found
+        at, width = at + width, 2 * width
     return latest_event_time(store.read(name), countries)
 
 
@@ -129,6 +133,27 @@ def ingestion_lag(fact: DataFrame, as_of: Column | None = None, countries: Seque
     return src.agg(seconds_between(F.max("event_time"), F.max("ingestion_time")).alias("value"))
 
 
+def ingestion_lag_stored(store, as_of: Column | None = None, countries: Sequence[str] | None = None) -> DataFrame:
+    """The same over a stored table: the zone map tells which days may hold
+    rows ingested in the window, and only these are read."""
+    days = store.days_ingested_since(since(as_of, LAG_WINDOW))
+    recent = store.read_with_day("fact_measurements").filter(F.col("event_time_date").isin(days))
+    return ingestion_lag(recent, as_of, countries)
+
+
+def active_devices_approx(sketches: DataFrame, as_of: Column | None = None, hours: int = 24,
+                          countries: Sequence[str] | None = None) -> DataFrame:
+    """Distinct devices of the last ``hours`` full hours and the current one,
+    from the hourly sketches: a row per hour and country is read, however many
+    readings there are.  The relative standard error is that of the sketches
+    (``rollup.SKETCH_ERROR``)."""
+    start = F.date_trunc("hour", _as_of(as_of)) - F.make_dt_interval(hours=F.lit(hours))
+    src = sketches.filter(F.col("hour_bucket") >= start).filter(_in("country_code", countries))
+    if "hour_bucket_date" in sketches.columns:
+        src = src.filter(F.col("hour_bucket_date") >= F.to_date(start))
+    return src.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("devices")), F.lit(0).cast("long")).alias("value"))
+
+
 # --- tables -------------------------------------------------------------------
 
 

@@ -327,6 +327,8 @@ def _served(spark, sf_dir):
         store.overwrite("dim_iot_device", wh.dim_device)
         store.overwrite("dim_country", wh.dim_country)
         store.overwrite("fact_hourly_agg", rollup.hourly_rollup(store.read("fact_measurements")))
+        store.overwrite("fact_hourly_devices", rollup.device_sketches(store.read("fact_measurements")))
+        store.note_zones(store.read("fact_measurements"))
         return store
 
     return _memo(spark, sf_dir, "served", build)
@@ -366,9 +368,21 @@ def q_latest_event_time(spark, sf_dir):
     return panels.latest_event_time_stored(_served(spark, sf_dir))
 
 
+def q_active_devices_approx(spark, sf_dir):
+    """Distinct devices of the last day from the hourly sketches (A4 opt-in; Q12, Q20)."""
+    store = _served(spark, sf_dir)
+    return panels.active_devices_approx(store.read_with_day("fact_hourly_devices"), _literal(newest_instant(store)))
+
+
+def q_devices_reporting_approx(spark, sf_dir):
+    store = _served(spark, sf_dir)
+    sketches = store.read_with_day("fact_hourly_devices")
+    return panels.active_devices_approx(sketches, _literal(newest_instant(store)), 48, SELECTED_COUNTRIES)
+
+
 def q_ingestion_lag(spark, sf_dir):
-    f, as_of = _panel_fact(spark, sf_dir)
-    return panels.ingestion_lag(f, as_of)
+    store = _served(spark, sf_dir)
+    return panels.ingestion_lag_stored(store, _literal(newest_instant(store)))
 
 
 def q_device_summary(spark, sf_dir):
@@ -400,8 +414,8 @@ def q_latest_event_time_by_country(spark, sf_dir):
 
 
 def q_ingestion_lag_by_country(spark, sf_dir):
-    f, as_of = _panel_fact(spark, sf_dir)
-    return panels.ingestion_lag(f, as_of, SELECTED_COUNTRIES)
+    store = _served(spark, sf_dir)
+    return panels.ingestion_lag_stored(store, _literal(newest_instant(store)), SELECTED_COUNTRIES)
 
 
 def q_metric_by_minute(metric, spark, sf_dir, countries=None):
@@ -668,18 +682,57 @@ def q_stream_rollup(spark, sf_dir):
     return _round_doubles(_memo(spark, sf_dir, "stream_rollup", build).read("fact_hourly_agg"))
 
 
-def q_stream_dedup(spark, sf_dir):
-    """Every reading delivered twice, in several micro-batches: one row each, the first to arrive."""
+def _deduplicated(spark, sf_dir):
+    """Every reading delivered twice, in several micro-batches, stored once; the hours noted."""
     from tidewater.sources.tables import TableStore
     from tidewater.streaming.rollup_stream import start_dedup
 
     def build():
         src = _readings_files(spark, sf_dir, 2)
         store = TableStore(spark, _scratch(spark, "stream-dedup"))
-        start_dedup(_file_stream(spark, src), store, _scratch(spark, "ckpt-dedup")).awaitTermination()
+        start_dedup(_file_stream(spark, src), store, _scratch(spark, "ckpt-dedup"), note_hours=True).awaitTermination()
+        return store
+
+    return _memo(spark, sf_dir, "stream_dedup", build)
+
+
+def q_stream_dedup(spark, sf_dir):
+    """Every reading delivered twice, in several micro-batches: one row each, the first to arrive."""
+    return _round_doubles(_deduplicated(spark, sf_dir).read("staging_events"))
+
+
+def q_stream_rollup_window(spark, sf_dir):
+    """Hourly rollup by event-time windows with a watermark, over micro-batches without
+    order in time; what came after its hour was closed is repaired (T9, T10)."""
+    from tidewater.streaming.rollup_stream import repair_hours, start_window_rollup
+
+    def build():
+        store = _deduplicated(spark, sf_dir)
+        files = max(1, store.file_count("staging_events") // 6)
+        start_window_rollup(store, _scratch(spark, "ckpt-windows"), max_files=files).awaitTermination()
+        repair_hours(store)
+        return store
+
+    return _round_doubles(_memo(spark, sf_dir, "stream_rollup_window", build).read("fact_hourly_agg"))
+
+
+def q_stream_last_not_null(spark, sf_dir):
+    """Latest non-NULL wind gust per device as keyed stream state, over unordered
+    micro-batches with a restart in between (A11)."""
+    from tidewater.sources.tables import TableStore
+    from tidewater.streaming.last_reading import start_last_not_null
+
+    def build():
+        src = _readings_files(spark, sf_dir, 1)
+        store, checkpoint = TableStore(spark, _scratch(spark, "last")), _scratch(spark, "ckpt-last")
+        early = spark.readStream.schema(_file_stream(spark, src).schema).option("maxFilesPerTrigger", 2)
+        start_last_not_null(early.parquet(src), F.col("wind_gust"), store, checkpoint).awaitTermination()
+        # started again from its checkpoint: nothing is new, the state and the table stay
+        start_last_not_null(early.parquet(src), F.col("wind_gust"), store, checkpoint).awaitTermination()
         return store
 
-    return _round_doubles(_memo(spark, sf_dir, "stream_dedup", build).read("staging_events"))
+    last = _memo(spark, sf_dir, "stream_last", build).read("device_last")
+    return last.select(F.col("iot_device_id").cast("string").alias("metric"), _r("value").alias("value"))
 
 
 def _broken(r: DataFrame) -> DataFrame:
@@ -725,6 +778,7 @@ BUILDS = {
     "landed": _landed,
     "stream_warehouse": _stream_warehouse,
     "quarantine": _quarantine_job,
+    "stream_dedup": _deduplicated,
 }
 
 # --- registry ----------------------------------------------------------------------
@@ -798,6 +852,10 @@ def queries() -> dict[str, Query]:
         "stream_warehouse_dims": q_stream_warehouse_dims,
         "compaction": q_compaction,
         "stream_rollup": q_stream_rollup,
+        "stream_rollup_window": q_stream_rollup_window,
+        "stream_last_not_null": q_stream_last_not_null,
+        "panel_active_devices_approx": q_active_devices_approx,
+        "panel_devices_reporting_approx": q_devices_reporting_approx,
         "stream_dedup": q_stream_dedup,
         "quarantine": q_quarantine,
         "quarantine_staging": q_quarantine_staging,

@@ -176,6 +176,17 @@ DIM_STATES = _struct(
     ("timezone", _str),
 )
 
+# Last reading of a metric that each device has (keyed stream state, published).
+DEVICE_LAST = _struct(("iot_device_id", _int), ("event_time", _ts), ("value", _dbl))
+
+# When the readings of a day were ingested: a row per write, so that lag queries prune days.
+FACT_ZONES = _struct(("day", T.DateType()), ("first_ingestion", _ts), ("last_ingestion", _ts))
+
+# Distinct-count sketches of the devices that reported, by hour and country.
+HOURLY_DEVICES = _struct(
+    ("hour_bucket", _ts), ("country_code", _str), ("devices", T.BinaryType()), ("n_events", T.LongType())
+)
+
 # Table registry: name -> (schema, day-partition source column or None).
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "staging_events": (STAGING, "event_time"),
@@ -185,6 +196,9 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "dim_states": (DIM_STATES, None),
     "fact_measurements": (FACT, "event_time"),
     "fact_hourly_agg": (HOURLY, "hour_bucket"),
+    "fact_hourly_devices": (HOURLY_DEVICES, "hour_bucket"),
+    "fact_zones": (FACT_ZONES, None),
+    "device_last": (DEVICE_LAST, None),
 }
 
 # Natural keys.

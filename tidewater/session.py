@@ -41,6 +41,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
         "spark.sql.parquet.compression.codec": PARQUET_CODEC,
+        # the default type of timestamps has no minima and maxima in file footers
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # a long-running job checkpoints dimensions every micro-batch; drop

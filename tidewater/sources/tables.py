@@ -22,6 +22,7 @@ files however many tasks computed it; adaptive execution splits large days.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
@@ -40,7 +41,7 @@ SORT_ORDER = {
 #: Tables whose rows are dealt by the hash of a key, so that a merge rewrites only
 #: the buckets it touches.  Dimensions keep their closed versions apart from the
 #: current ones: those are appended to, these are few and replaced.
-BUCKET_KEY = {"dim_iot_device": "iot_device_id", "dim_country": "iot_device_id", "dim_states": "iot_device_id"}
+BUCKET_KEY = {"dim_iot_device": "iot_device_id", "dim_country": "iot_device_id", "dim_states": "iot_device_id", "device_last": "iot_device_id"}
 VERSIONED = ("dim_iot_device", "dim_country")
 
 
@@ -82,8 +83,12 @@ class TableStore:
         return bool(fs.exists(Path(self.path(name))))
 
     def recover(self, name: str) -> None:
-        """Finish a replacement that stopped between its two renames."""
+        """Finish a replacement that stopped between its two renames, and a
+        packing of files that stopped before its end."""
         fs, Path = self._fs()
+        for folder in self.folders(self.path(name)):
+            if folder.rsplit("/", 1)[1].startswith("_packing-") and fs.exists(Path(f"{folder}/old")):
+                self._finish_packing(name, folder)
         table, new, old = Path(self.path(name)), Path(self.path(name) + ".new"), Path(self.path(name) + ".old")
         if fs.exists(table):
             return
@@ -189,9 +194,12 @@ class TableStore:
             cols.append(F.col(col).cast("date").alias(col))
         return df.select(*cols)
 
+    def stored_schema(self, name: str) -> T.StructType:
+        """The declared columns and those of the folder levels."""
+        return T.StructType(TABLES[name][0].fields + partition_fields(name))
+
     def _files(self, name: str, *paths: str) -> DataFrame:
-        full = T.StructType(TABLES[name][0].fields + partition_fields(name))
-        return self.spark.read.schema(full).option("basePath", self.path(name)).parquet(*paths)
+        return self.spark.read.schema(self.stored_schema(name)).option("basePath", self.path(name)).parquet(*paths)
 
     def _read_folders(self, name: str, folders: Iterable[str]) -> DataFrame:
         """Exactly these partition folders, declared columns.  Only they are
@@ -277,6 +285,75 @@ class TableStore:
         self.ensure(name)
         self._write(df, name, "overwrite", self.path(name), "dynamic", deal)
 
+    # -- zone map ----------------------------------------------------------------
+
+    def note_zones(self, readings: DataFrame) -> None:
+        """Note when the readings of each day were ingested.  Called with the
+        rows of a write, or more, before it: a zone may be too wide, never too
+        narrow."""
+        day = F.to_date("event_time").alias("day")
+        first, last = F.min("ingestion_time").alias("first_ingestion"), F.max("ingestion_time").alias("last_ingestion")
+        self.append("fact_zones", readings.groupBy(day).agg(first, last).filter("last_ingestion IS NOT NULL"))
+
+    def merge_zones(self) -> None:
+        """One row a day in the zone map."""
+        zones = self.read("fact_zones")
+        merged = zones.groupBy("day").agg(F.min("first_ingestion").alias("first_ingestion"), F.max("last_ingestion").alias("last_ingestion"))
+        self.overwrite("fact_zones", merged)
+
+    def days_ingested_since(self, start: Column, name: str = "fact_measurements") -> list[dt.date]:
+        """Days that may hold readings ingested from ``start`` on; a day that
+        isn't in the zone map may.  As many as the calendar has at most."""
+        zones = self.read("fact_zones").groupBy("day").agg((F.max("last_ingestion") >= start).alias("may"))
+        known = {r.day: r.may for r in zones.collect()}
+        return [d for d in map(dt.date.fromisoformat, self.days(name)) if known.get(d, True)]
+
+    # -- files -------------------------------------------------------------------
+
+    def day_files(self, name: str, day: str) -> list[tuple[str, int]]:
+        """(path, bytes) of the data files of a day, from the listing."""
+        fs, Path = self._fs()
+        folder = Path(f"{self.path(name)}/{day_column(name)}={day}")
+        if not fs.exists(folder):
+            return []
+        files = [(str(f.getPath()), int(f.getLen())) for f in fs.listStatus(folder) if f.isFile()]
+        return sorted(f for f in files if f[0].rsplit("/", 1)[1][0] not in "._")
+
+    def read_files(self, name: str, paths: list[str]) -> DataFrame:
+        """Some data files of a table, with the columns of the folder levels."""
+        return self._files(name, *paths)
+
+    def replace_files(self, name: str, old: list[str], df: DataFrame, **options: str) -> None:
+        """Put the rows of ``df``, which are those of the files ``old`` (and has
+        their folder columns), in the place of these files.
+
+        The new files are written to a hidden folder of the table, then a list
+        of the old ones: from then on a run that stops is completed by the next
+        access, before that it has changed nothing.
+        """
+        fs, Path = self._fs()
+        packing = f"{self.path(name)}/_packing-{uuid.uuid4().hex[:12]}"
+        writer = df.write.option("compression", PARQUET_CODEC).options(**options)
+        writer.partitionBy(*[f.name for f in partition_fields(name)]).parquet(f"{packing}/data")
+        out = fs.create(Path(f"{packing}/old.tmp"))
+        out.writeBytes("\n".join(old))
+        out.close()
+        self._rename(Path(f"{packing}/old.tmp"), Path(f"{packing}/old"))
+        self._finish_packing(name, packing)
+
+    def _finish_packing(self, name: str, packing: str) -> None:
+        fs, Path = self._fs()
+        if fs.exists(Path(f"{packing}/old")):
+            listed = self.spark.sparkContext.wholeTextFiles(f"{packing}/old").collect()[0][1].split("\n")
+            for folder in self.folders(f"{packing}/data"):
+                target = f"{self.path(name)}/{folder.rsplit('/', 1)[1]}"
+                for f in fs.listStatus(Path(folder)):
+                    if not str(f.getPath().getName()).startswith((".", "_")):
+                        self._rename(f.getPath(), Path(f"{target}/{f.getPath().getName()}"))
+            for path in listed:
+                fs.delete(Path(path), False)
+        fs.delete(Path(packing), True)
+
     def create_tables(self, database: str) -> None:
         """CREATE TABLE IF NOT EXISTS for every table, over its files, in the session's catalog."""
         self.ensure_all()

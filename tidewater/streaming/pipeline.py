@@ -178,6 +178,7 @@ class WarehouseJob:
             dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
             new_facts = facts.load_fact(deduped, *dims, self.row_key_kind)
         loaded = st.read_days("fact_measurements", days)
+        st.note_zones(deduped)
         st.append("fact_measurements", facts.not_yet_loaded(new_facts, loaded))
 
     def _buckets(self, keys: DataFrame, key: str) -> list[int]:
@@ -274,6 +275,8 @@ class WarehouseJob:
             days = sorted(r[0] for r in hours.select(F.to_date("hour_bucket")).distinct().collect())
             facts_of = st.read_days("fact_measurements", days)
             self._upsert_hourly(rollup.refresh_hours(facts_of, hours))
+            sketches = st.read_days("fact_hourly_devices", days)
+            st.overwrite_days("fact_hourly_devices", rollup.refresh_sketches(sketches, facts_of, hours))
         finally:
             hours.unpersist()
         for note in notes:
@@ -295,6 +298,7 @@ class WarehouseJob:
 
     def finish(self, as_of: dt.datetime | None = None, compact_days: int = 2) -> None:
         self.refresh_pending()
+        self.store.merge_zones()
         day = (as_of or self.clock()).date()
         compact_recent(self.store, "fact_measurements", day, compact_days)
 
