@@ -106,3 +106,39 @@ def test_lookup_method_stays_compilable(spark, tmp_dir):
     code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
     sizes = [int(line.split("maxMethodCodeSize:")[1].split(";")[0]) for line in code.splitlines() if "maxMethodCodeSize:" in line]
     assert sizes and max(sizes) < 8000
+
+
+def test_many_boxes_of_every_size_and_shape(spark):
+    """100,000 boxes: first match equal to a plain search, few candidates a point, four cells a box."""
+    import numpy as np
+
+    from tidewater.operators.range_lookup import box_cells
+
+    rng = np.random.default_rng(4)
+    n = 100_000
+    size = 10.0 ** rng.uniform(-5, -0.5, (n, 2))
+    size[:40], size[40:80, 0], size[80:120, 1], size[120:160] = 30.0, 40.0, 60.0, 0.0  # large, two ways long, points
+    low = np.stack([rng.uniform(-85, 50, n), rng.uniform(-175, 110, n)], axis=1)
+    low[:160] = np.round(low[:160])  # edges where cells of every size meet
+    high = low + size
+    boxes = spark.createDataFrame(
+        [(i, float(low[i, 0]), float(high[i, 0]), float(low[i, 1]), float(high[i, 1]), f"c{i}", f"n{i}", f"t{i}") for i in range(n)],
+        "ord int, lat_min double, lat_max double, lon_min double, lon_max double, country_code string, country_name string, city string",
+    ).persist()
+    cells = box_cells(boxes).persist()
+    assert cells.groupBy("ord").count().agg(F.max("count")).first()[0] <= 4
+    some = np.r_[rng.integers(0, n, 150), np.arange(160)]
+    points = np.concatenate([low[some], high[some], (low[some] + high[some]) / 2, low[some] - 1e-7, rng.uniform(-90, 90, (100, 2))])
+    rows = [(float(y), float(x)) for y, x in points] + [(None, 1.0), (1.0, None), (float("nan"), 1.0), (1.0, float("inf")), (500.0, 1.0)]
+    got = lookup_boxes(spark.createDataFrame(rows, "latitude double, longitude double"), boxes).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        hit = np.array([], int)
+        if r.latitude is not None and r.longitude is not None:
+            hit = np.flatnonzero((low[:, 0] <= r.latitude) & (r.latitude <= high[:, 0]) & (low[:, 1] <= r.longitude) & (r.longitude <= high[:, 1]))
+        assert r.country_code == (f"c{hit[0]}" if len(hit) else "XX")
+    # boxes that share a cell of their own sizes: what a point in it is compared with
+    per_cell = cells.groupBy("_ly", "_lx", "_gy", "_gx").count()
+    assert per_cell.agg(F.max("count")).first()[0] < 200
+    none = lookup_boxes(spark.createDataFrame(rows[:3], "latitude double, longitude double"), boxes.limit(0)).collect()
+    assert [r.country_code for r in none] == ["XX"] * 3
