@@ -277,3 +277,31 @@ def test_utc_text_in_any_session_zone(spark):
             assert got == "2024-01-05T10:00:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_broker_source_options():
+    """The connector is absent here: the calls that make the source are recorded instead."""
+    from tidewater.streaming.landing import kafka_source
+
+    class Reader:
+        def __init__(self):
+            self.options, self.kind = {}, None
+
+        def format(self, kind):
+            self.kind = kind
+            return self
+
+        def option(self, key, value):
+            self.options[key] = value
+            return self
+
+        def load(self):
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    source = kafka_source(Session(), "broker:9092", "iot-sensor-data")
+    assert source.kind == "kafka"
+    assert source.options["kafka.bootstrap.servers"] == "broker:9092" and source.options["subscribe"] == "iot-sensor-data"
+    assert source.options["startingOffsets"] == "earliest" and str(source.options["failOnDataLoss"]).lower() == "false"
