@@ -539,6 +539,11 @@ WHERE (CAST(epoch(event_time) AS BIGINT) + iot_device_id) % 10 NOT IN (3, 7)""")
 FROM h WHERE hour_bucket >= (SELECT t FROM anchor) - INTERVAL 24 HOUR GROUP BY 1, 2"""),
     })
     sql["stream_rollup_window"] = sql["stream_rollup"]
+    sql["catalog_tables"] = _with("""SELECT country_code, CAST(event_time AS DATE) AS day, count(*) AS events,
+  count(DISTINCT iot_device_id) AS devices FROM f GROUP BY 1, 2""")
+    sql["published_views"] = _with("""SELECT d.iot_device_id, d.timezone, count(*) AS events
+FROM dim_device d JOIN f ON f.iot_device_id = d.iot_device_id WHERE d.is_current GROUP BY 1, 2""")
+    sql["random_row_keys"] = _with("SELECT count(*) AS n_rows, count(*) AS n_keys, count(*) AS n_formed FROM r")
     sql["stream_last_not_null"] = sql["last_not_null"]
 
     def distinct_devices(hours: int, where: str = "") -> str:

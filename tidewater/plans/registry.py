@@ -645,6 +645,40 @@ def q_compaction(spark, sf_dir):
     return _round_doubles(store.read("fact_measurements"))
 
 
+def q_catalog_tables(spark, sf_dir):
+    """Readings by country and day from a catalog table over the stored files."""
+
+    def build():
+        store = _served(spark, sf_dir)
+        database = "telemetry_" + store.root.rsplit("-", 1)[1]
+        for _ in range(2):  # IF NOT EXISTS: the second call changes nothing
+            store.create_tables(database)
+        return database
+
+    database = _memo(spark, sf_dir, "catalog", build)
+    by_day = spark.table(f"{database}.fact_measurements").groupBy("country_code", F.col("event_time_date").alias("day"))
+    return by_day.agg(F.count(F.lit(1)).alias("events"), F.count_distinct("iot_device_id").alias("devices"))
+
+
+def q_published_views(spark, sf_dir):
+    """Current devices with their readings, from views published over the stored tables."""
+    _served(spark, sf_dir).publish_views()
+    return spark.sql("""
+        SELECT d.iot_device_id, d.timezone, count(*) AS events
+        FROM dim_iot_device d JOIN fact_measurements f ON f.iot_device_id = d.iot_device_id
+        WHERE d.is_current GROUP BY 1, 2
+    """)
+
+
+def q_random_row_keys(spark, sf_dir):
+    """Facts keyed by a random UUID: as many keys as readings, all well formed."""
+    keyed = replay(raw_readings(spark, sf_dir), deduplicate=True, row_key_kind="uuid").fact
+    form = F.col("fact_sk").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return keyed.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("fact_sk").alias("n_keys"), F.count_if(form).alias("n_formed")
+    )
+
+
 def _readings_files(spark, sf_dir, copies: int) -> str:
     """The readings as several files without order in time; ``copies`` deliveries one after the other."""
 
@@ -851,6 +885,9 @@ def queries() -> dict[str, Query]:
         "stream_warehouse_hourly": q_stream_warehouse_hourly,
         "stream_warehouse_dims": q_stream_warehouse_dims,
         "compaction": q_compaction,
+        "catalog_tables": q_catalog_tables,
+        "published_views": q_published_views,
+        "random_row_keys": q_random_row_keys,
         "stream_rollup": q_stream_rollup,
         "stream_rollup_window": q_stream_rollup_window,
         "stream_last_not_null": q_stream_last_not_null,
