@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, repeated_keys, scratch_folder, text_key, text_of
+from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, join_back, mix64, repeated_keys, scratch_folder, text_key, text_of
 
 #: Bytes of padding between the texts of a slice.
 GAP = 64
@@ -211,7 +211,7 @@ def per_document(
     """
     rows = docs.select(F.col(key).alias("id"), text_key(text).alias("text_id"))
     copies = rows.groupBy("text_id").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n_copies"))
-    joined = rows.join(copies.join(results, "text_id"), "text_id")
+    joined = join_back(rows, copies.join(results, "text_id"), "text_id")
     goes = ~F.col("id").eqNullSafe(F.col("least")) & (F.col("n_bytes") >= rule.min_bytes)
     instead = {
         "n_removed": F.col("n_bytes"),

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.chunk_dedup import cut_out
-from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, mix64, repeated_keys, scratch_folder, text_key, text_of
+from tidewater.llm.common import RangeHash, byte_slices, distinct_texts, join_back, mix64, repeated_keys, scratch_folder, text_key, text_of
 
 #: Bytes of text that are parsed at a time, and triggers that are sorted at a time.
 PIECE, BLOCK = 1 << 17, 20_000
@@ -340,7 +340,7 @@ def per_document(
         for c in results.columns
         if c != "text_id"
     ]
-    joined = rows.join(copies.join(results, "text_id"), "text_id")
+    joined = join_back(rows, copies.join(results, "text_id"), "text_id")
     return joined.select(F.col("id").alias(key), *columns)
 
 
