@@ -8,10 +8,8 @@ as data rather than as code, see ``tidewater.operators.range_lookup``.
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
-from pyspark import SparkContext
 from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 
@@ -118,19 +116,6 @@ def box_index(lat: Column | str, lon: Column | str, boxes=COUNTRY_BOXES) -> Colu
 
 def country_of(lat: Column | str, lon: Column | str, boxes=COUNTRY_BOXES) -> Column:
     """struct<country_code, country_name, city> for a coordinate pair."""
-    if isinstance(lat, str) and isinstance(lon, str) and isinstance(boxes, tuple):
-        return _country_of_names(lat, lon, boxes, SparkContext._gateway)
-    return _country_of(lat, lon, boxes)
-
-
-@functools.lru_cache(maxsize=32)
-def _country_of_names(lat: str, lon: str, boxes: tuple, gateway: object) -> Column:
-    """Building the chain takes some thousand calls to the JVM, about a second:
-    a micro-batch takes the one that is there."""
-    return _country_of(lat, lon, boxes)
-
-
-def _country_of(lat: Column | str, lon: Column | str, boxes) -> Column:
     idx = box_index(lat, lon, boxes) + F.lit(1)
     picked = []
     for pos, field in enumerate(("code", "name", "city")):
