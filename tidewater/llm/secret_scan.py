@@ -4,7 +4,8 @@ Three fixed patterns find credentials with a known shape.  Beside them, every
 candidate string (a run of token characters) is scanned with a window that
 slides one character at a time; the window's Shannon entropy is kept up to
 date from incremental character counts and compared with the threshold of the
-candidate's character class: hexadecimal digits, letters alone, or any token
+window's character class, which incremental counts of kinds of characters give:
+hexadecimal digits, letters alone, letters between separators, or any token
 characters.  Windows at or above it are joined to one span.  Windows that
 overlap what the allow-list knows are dropped, the rest of the candidate is
 scanned like any other.
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 import math
 import re
+import string
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -38,6 +41,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 
+#: Kinds of characters: digits, a-f, A-F, other letters, separators.
+KIND_OF = {c: 3 for c in string.ascii_letters} | {c: 4 for c in "+/_=-"}
+KIND_OF |= {c: 0 for c in string.digits} | {c: 1 for c in "abcdef"} | {c: 2 for c in "ABCDEF"}
+
 
 @dataclass(frozen=True)
 class EntropyRule:
@@ -46,8 +53,10 @@ class EntropyRule:
     window: int = 20
     hex_bits: float = 3.0
     token_bits: float = 3.8
-    #: Runs without a digit, where joined words come near to what random letters reach.
+    #: Windows of letters alone, where joined words come near to what random letters reach.
     letter_bits: float = 3.9
+    #: Windows of letters and separators without a digit: paths, slugs and names of several words.
+    word_bits: float = 4.1
     #: Characters that one of these matches are in no reported window.
     allow: tuple[str, ...] = (
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
@@ -56,30 +65,44 @@ class EntropyRule:
         r"(?i)abcdefgh|01234567|12345678",
     )
 
+    def bits(self, kinds: Sequence[int]) -> float:
+        """The threshold of a window's class, from its counts of the kinds of characters."""
+        digits, low, high, other, marks = kinds
+        if not low + high + other:
+            return math.inf  # plain numbers are no tokens
+        if digits:
+            return self.token_bits if other or marks or (low and high) else self.hex_bits
+        return self.word_bits if marks else self.letter_bits
+
 
-def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]:
+def entropy_windows(run: str, window: int, bits: float | Callable[[Sequence[int]], float]) -> list[tuple[int, int]]:
     """Joined [start, end) spans of the windows with at least ``bits`` of entropy.
 
-    With n counts c in a window of w characters the entropy is
-    log2 w - (sum of c log2 c) / w, so each step changes two terms only.
+    ``bits`` is one threshold, or gives that of each window from the number of
+    its characters of each kind.  With n counts c in a window of w characters
+    the entropy is log2 w - (sum of c log2 c) / w, so each step changes two
+    terms only.
     """
     if len(run) < window:
         return []
     weigh = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
-    limit = (math.log2(window) - bits) * window + 1e-9
+    threshold = bits if callable(bits) else lambda kinds: bits
     counts: dict[str, int] = {}
+    kinds = [0] * 5
     total = 0.0
     spans: list[tuple[int, int]] = []
     for at, char in enumerate(run):
         have = counts.get(char, 0)
         total += weigh[have + 1] - weigh[have]
         counts[char] = have + 1
+        kinds[KIND_OF[char]] += 1
         if at >= window:
             gone = run[at - window]
             have = counts[gone]
             total += weigh[have - 1] - weigh[have]
             counts[gone] = have - 1
-        if at >= window - 1 and total <= limit:
+            kinds[KIND_OF[gone]] -= 1
+        if at >= window - 1 and total <= (math.log2(window) - threshold(kinds)) * window + 1e-9:
             start = at - window + 1
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], at + 1)
@@ -88,34 +111,12 @@ def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]
     return spans
 
 
-def class_bits(run: str, rule: EntropyRule) -> float | None:
-    """The threshold of a run's character class; None for plain numbers, which are no tokens."""
-    if not re.search(r"[A-Za-z]", run):
-        return None
-    if not re.search(r"[0-9]", run):
-        return rule.letter_bits
-    return rule.hex_bits if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) else rule.token_bits
-
-
 def token_windows(run: str, rule: EntropyRule) -> list[tuple[int, int]]:
-    """Spans of the windows of a candidate that reach a threshold and overlap nothing on the allow-list.
-
-    What is left beside an allow-listed part has the lower threshold of the
-    candidate's class and its own, read without separators at its ends.
-    """
-    bits = class_bits(run, rule)
-    if bits is None:
-        return []
+    """Spans of the windows of a candidate that reach their threshold and overlap nothing on the allow-list."""
     known = sorted(m.span() for p in rule.allow for m in re.finditer(p, run))
-    if not known:
-        return entropy_windows(run, rule.window, bits)
     spans, at = [], 0
     for start, end in [*known, (len(run), len(run))]:
-        if start - at >= rule.window:
-            piece = run[at:start]
-            own = class_bits(piece.strip("+/=_-"), rule)
-            if own is not None:
-                spans += [(at + a, at + b) for a, b in entropy_windows(piece, rule.window, min(bits, own))]
+        spans += [(at + a, at + b) for a, b in entropy_windows(run[at:start], rule.window, rule.bits)]
         at = max(at, end)
     return spans
 
