@@ -318,15 +318,37 @@ def test_op9(spark, folder, docs, crowd):
 
 
 
+def drawn(key, shard: int) -> float:
+    """One draw by the definition: -ln u, u from the 64-bit hash of the key's text and the shard's four bytes."""
+    first = xxhash.xxh64_intdigest(("" if key is None else str(key)).encode(), seed=42)
+    bits = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), seed=first) >> 12
+    return -math.log((bits + 0.5) / (1 << 52))
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 65_536])
+def test_op10_rows_that_repeat_id_and_text(spark, part_rows):
+    """A third of all rows without id and text: a slot each, and no gaps."""
+    from pyspark.sql import functions as F
+
+    from tidewater.llm import sharding
+
+    some = spark.range(600).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    hot = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    rows = sharding.assign_shards(some.unionByName(hot), [1.0] * 4, bucket_rows=50, part_rows=part_rows).collect()
+    assert collections.Counter(r.doc_id is None for r in rows) == {False: 600, True: 300}
+    for s in range(4):
+        slots = sorted(r.slot for r in rows if r.shard == s)
+        assert slots == list(range(len(slots)))
+
+
 def test_op10(spark, folder, docs):
     rows = Q["op10_sharding"](spark, folder).collect()
     data = [(i, (t or "").encode()) for i, t in docs]
     same_rows([(r.doc_id, r.size, r.text_crc32, r.law) for r in rows], [(i, len(b) + 16, zlib.crc32(b), "key") for i, b in data])
-    # the hash of an int shard number is that of its four bytes in Spark's own mixing, so the law is checked as such
-    place = {}
     for r in rows:
-        assert 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40)
-        assert place.setdefault(r.doc_id, (r.shard, r.grown_shard)) == (r.shard, r.grown_shard)
+        draws = sorted((drawn(r.doc_id, s), s) for s in range(41))
+        assert r.grown_shard == draws[0][1]
+        assert r.shard == (draws[1] if draws[0][1] == 40 else draws[0])[1]
     for s in range(40):
         slots = sorted(r.slot for r in rows if r.shard == s)
         assert slots == list(range(len(slots)))

@@ -11,7 +11,10 @@ Slots number the records of a shard without gaps.  A shard may hold a large
 part of all rows, so it is numbered in buckets: rows are ranked inside a
 (shard, bucket) and shifted by the number of rows in the buckets before it.
 The table of bucket sizes has shards x buckets rows; buckets grow with the
-row count so that one has about ``bucket_rows`` rows.
+row count so that one has about ``bucket_rows`` rows.  Rows that repeat key and
+text are counted before the shuffle and numbered as one, whose slots are dealt
+out again in parts of ``part_rows``: however many there are, no task ranks or
+writes them all.
 
 Defined results: a null key is read as the empty string and placed like any
 key; a null text has no bytes; rows repeated exactly get a slot each; an empty
@@ -54,6 +57,7 @@ def assign_shards(
     key: str = "doc_id",
     text: str = "text",
     bucket_rows: int = 250_000,
+    part_rows: int = 65_536,
 ) -> DataFrame:
     """One row per record: key, size, text_crc32, shard, slot, grown_shard.
 
@@ -75,17 +79,27 @@ def assign_shards(
         F.least("best", "new")["shard"].alias("grown_shard"),
         F.pmod(F.xxhash64(F.col(key), F.col("text_crc32"), F.col("size")), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    sizes = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    counted = placed.groupBy(*placed.columns).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counted.groupBy("shard", "bucket").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
     inside = Window.partitionBy("shard", "bucket").orderBy(F.col(key).asc_nulls_first(), "text_crc32", "size")
-    numbered = placed.withColumn("rank", F.row_number().over(inside))
-    return numbered.join(starts, ["shard", "bucket"]).select(
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = counted.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
+    last = F.lit(part_rows) - 1
+    parts = (
+        numbered.join(starts, ["shard", "bucket"])
+        .withColumn("start", F.col("first") + F.col("above"))
+        .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(part_rows).cast("long"))))
+        .hint("rebalance", key, "at")
+    )
+    place = F.explode(F.sequence(F.col("at"), F.least(F.col("at") + last, F.col("n") - 1)))
+    return parts.withColumn("place", place).select(
         key,
         "size",
         "text_crc32",
         "shard",
-        (F.col("first") + F.col("rank") - 1).cast("long").alias("slot"),
+        (F.col("start") + F.col("place")).cast("long").alias("slot"),
         "grown_shard",
     )
 
