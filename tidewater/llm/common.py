@@ -74,15 +74,15 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("n") > 1).select(f"_key.{key}", "n")
 
 
-def join_back(rows: DataFrame, results: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined with ``results``, one row a ``key``.
+def join_back(rows: DataFrame, results: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``results``, one row for each value of ``keys``.
 
-    ``results`` is often dealt by the key already, and then no exchange stands
-    below its side of the join.  Joined by a struct of the key both sides get
+    ``results`` is often dealt by the keys already, and then no exchange stands
+    below its side of the join.  Joined by a struct of them both sides get
     one, so adaptive execution can split a key that a large part of all rows has.
     """
-    keyed = results.select(F.struct(key).alias("_key"), *[c for c in results.columns if c != key])
-    return rows.withColumn("_key", F.struct(key)).join(keyed, "_key").drop("_key")
+    keyed = results.select(F.struct(*keys).alias("_key"), *[c for c in results.columns if c not in keys])
+    return rows.withColumn("_key", F.struct(*keys)).join(keyed, "_key", how).drop("_key")
 
 
 def byte_slices(column: pa.Array, max_bytes: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

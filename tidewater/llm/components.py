@@ -3,8 +3,8 @@
 Each round hangs every node's larger neighbours, then its smaller ones, below
 the smallest node it knows; the number of rounds grows with the logarithm of
 the longest chain.  Minima are taken by grouped aggregation (combined before
-the shuffle), so a node with very many links is no bottleneck, and each round
-is cut off with ``checkpoint()``.
+the shuffle) and joined back so that adaptive execution can split a node with
+very many links; each round is cut off with ``checkpoint()``.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import prepare_checkpoints
+from tidewater.llm.common import join_back, prepare_checkpoints
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,14 +33,13 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.where(F.col("v") > F.col("u"))
-            .join(low, "u")
+            join_back(both.where(F.col("v") > F.col("u")), low, "u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .distinct()
         )
         # small star: u and its smaller neighbours go below the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = join_back(large, low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct().checkpoint()
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:

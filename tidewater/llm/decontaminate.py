@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import text_key, text_of
+from tidewater.llm.common import join_back, text_key, text_of
 
 # Fixed by the contract: what separates words once A-Z are lowered.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -115,7 +115,7 @@ def report(docs: DataFrame, benchmark: DataFrame, length: int = 13, key: str = "
     sizes = docs.select(key, text_key().alias("text_id"), F.size(words_of(text_of())).cast("long").alias("n_words"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     items = F.coalesce(F.array_sort("items"), F.array().cast("array<string>"))
-    return sizes.join(hits, "text_id", "left").select(
+    return join_back(sizes, hits, "text_id", how="left").select(
         key,
         "n_words",
         n_hit.alias("n_hit"),
@@ -131,6 +131,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 13)
     sizes = docs.select(text_key().alias("text_id"), F.size(words_of(text_of())).alias("n_words"))
     # n_words belongs to the text, so the flagged texts alone decide
     bad = is_contaminated(F.col("n_hit"), F.col("n_words"))
-    flagged = sizes.join(hits, "text_id").where(bad).select("text_id").distinct()
+    flagged = join_back(sizes, hits, "text_id").where(bad).select("text_id").distinct()
     rows = docs.select(F.struct("*").alias("row"), text_key().alias("text_id"))
-    return rows.join(flagged, "text_id", "left_anti").select("row.*")
+    return join_back(rows, flagged, "text_id", how="left_anti").select("row.*")

@@ -31,6 +31,7 @@ no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -39,7 +40,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import RangeHash, byte_slices, mix64, repeated_keys, scratch_folder, text_key, text_of, with_ids
+from tidewater.llm.common import (
+    RangeHash,
+    byte_slices,
+    join_back,
+    mix64,
+    repeated_keys,
+    scratch_folder,
+    text_key,
+    text_of,
+    with_ids,
+)
 from tidewater.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -249,11 +260,10 @@ def pivot_pairs(entries: DataFrame, rule: NearRule) -> DataFrame:
         entries.groupBy("v", "tier")
         .agg(F.min(F.struct("i", "text_id", "n")).alias("p"), F.count(F.lit(1)).alias("members"))
         .where(F.col("members") > 1)
-        .select("v", "tier", "p.*")
+        .select("v", "tier", "p")
     )
-    e, p = entries.alias("e"), pivots.alias("p")
-    same = (F.col("e.v") == F.col("p.v")) & (F.col("e.tier") == F.col("p.tier"))
-    pairs = e.join(p, same & (F.col("e.text_id") != F.col("p.text_id")) & may_link("e", "p", rule))
+    both = join_back(entries.select("v", "tier", F.struct("i", "text_id", "n", "tier").alias("e")), pivots, "v", "tier")
+    pairs = both.where((F.col("e.text_id") != F.col("p.text_id")) & may_link("e", "p", rule))
     return pairs.select(*pair_of(F.col("e.text_id"), F.col("p.text_id"))).distinct()
 
 
@@ -265,16 +275,55 @@ def labelled(entries: DataFrame, roots: DataFrame) -> DataFrame:
     lists = named.groupBy("v", "tier").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")
     )
-    return named.join(lists.where(F.col("lo") != F.col("hi")).select("v", "tier", "members"), ["v", "tier"])
+    return join_back(named, lists.where(F.col("lo") != F.col("hi")).select("v", "tier", "members"), "v", "tier")
+
+
+def size_band(n: Column) -> Column:
+    """The number of a band of sizes, each 3% wide; sizes up to 33 have one each."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(1.03)) + F.lit(1e-9)).cast("int")
+
+
+def partner_sizes(rule: NearRule) -> tuple[Column, Column]:
+    """The sizes of the smaller sets that an entry (tier, n, i) may link with; none where the second is below the first.
+
+    With whole sets the entry's place leaves n - i + 1 values to share at most,
+    which bounds the sum of both sizes; a sketch's requirement depends on the
+    larger set alone.
+    """
+    n, i, tier = F.col("n"), F.col("i"), F.col("tier")
+    left = kept_values(tier, n, rule) - i + 1
+    smallest = F.ceil(rule.percent * n / 100)
+    sum_of_both = F.floor((100 + rule.percent) * left / rule.percent + F.lit(1e-9))
+    fits = left >= least_overlap(tier, n, n, rule)
+    largest = F.when(tier == 0, F.least(n, sum_of_both - n)).otherwise(F.when(fits, n).otherwise(0))
+    return smallest, largest
+
+
+def may_be_smaller(rule: NearRule) -> Column:
+    """An entry's place allows a link with a set at least as large."""
+    n, i, tier = F.col("n"), F.col("i"), F.col("tier")
+    left = kept_values(tier, n, rule) - i + 1
+    most = F.floor(100 * n / rule.percent)
+    return left >= F.when(tier == 0, least_overlap(tier, n, n, rule)).otherwise(least_overlap(tier, most, most, rule))
 
 
 def apart_pairs(mixed: DataFrame, rule: NearRule) -> DataFrame:
-    """(a, b): pairs of a list that have different roots."""
-    x, y = mixed.alias("x"), mixed.alias("y")
-    same = (F.col("x.v") == F.col("y.v")) & (F.col("x.tier") == F.col("y.tier"))
-    apart = (F.col("x.text_id") < F.col("y.text_id")) & (F.col("x.root") != F.col("y.root"))
-    pairs = x.join(y, same & apart & may_link("x", "y", rule))
-    return pairs.select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b")).distinct()
+    """(a, b): pairs of a list that have different roots.
+
+    The larger set of a pair looks for the smaller one in the bands of sizes
+    that its own size and place leave open, so entries that cannot link for
+    either do not meet, however long their list is.
+    """
+    entry = F.struct("text_id", "n", "i", "tier", "root")
+    smallest, largest = partner_sizes(rule)
+    bands = F.when(largest >= smallest, F.sequence(size_band(smallest), size_band(largest)))
+    x = mixed.select("v", "tier", F.explode(bands).alias("band"), entry.alias("x"))
+    y = mixed.where(may_be_smaller(rule)).select("v", "tier", size_band(F.col("n")).alias("band"), entry.alias("y"))
+    smaller_last = F.struct("x.n", "x.text_id") > F.struct("y.n", "y.text_id")
+    pairs = x.join(y, ["v", "tier", "band"]).where(
+        smaller_last & (F.col("x.root") != F.col("y.root")) & may_link("x", "y", rule)
+    )
+    return pairs.select(*pair_of(F.col("x.text_id"), F.col("y.text_id"))).distinct()
 
 
 def open_pairs(
@@ -297,7 +346,11 @@ def open_pairs(
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: NearRule) -> DataFrame:
-    """(a, b) of the pairs whose full sets are similar enough."""
+    """(a, b) of the pairs whose full sets are similar enough.
+
+    The union sketch spares large sets the exact comparison; two sets that are
+    kept whole are always compared exactly.
+    """
     k, p = rule.k, rule.percent / 100
     of = lambda end: sets.select(F.col("text_id").alias(end), F.col("shingles").alias(f"set_{end}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
@@ -307,7 +360,8 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: NearRule) -> DataFrame:
     shared = F.size(F.array_intersect(heads, F.array_intersect(F.slice(a, 1, k), F.slice(b, 1, k))))
     size = F.size(heads)
     error = F.sqrt(size * p * (1 - p) + F.lit(0.0))
-    likely = shared >= p * size - rule.slack * error - 1
+    whole = F.greatest(F.size(a), F.size(b)) <= rule.whole
+    likely = whole | (shared >= p * size - rule.slack * error - 1)
     common = F.size(F.array_intersect(a, b))
     exact = 100 * common >= rule.percent * (F.size(a) + F.size(b) - common)
     return both.where(likely).where(exact).select("a", "b")
@@ -330,7 +384,7 @@ def text_links(docs: DataFrame, rule: NearRule, text: str = "text") -> DataFrame
     # texts that share a list with another one; the others can have no link
     lists = entries.groupBy("v", "tier").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
     lists = lists.where(F.col("lo") != F.col("hi")).select("v", "tier")
-    members = entries.join(lists, ["v", "tier"], "left_semi")
+    members = join_back(entries, lists, "v", "tier", how="left_semi")
     members.select("text_id").distinct().write.parquet(f"{folder}/candidates")
     candidates = with_ids(texts, spark.read.parquet(f"{folder}/candidates"), "text_id")
     candidates.dropDuplicates(["text_id"]).write.parquet(f"{folder}/texts")
@@ -351,7 +405,7 @@ def text_groups(docs: DataFrame, rule: NearRule, key: str = "doc_id", text: str
     least = docs.select(text_key(text).alias("text_id"), F.col(key).alias("id")).groupBy("text_id").agg(F.min("id").alias("id"))
     named = least.join(roots, "text_id", "left").withColumn("root", F.coalesce("root", "text_id"))
     best = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_id")).alias("best"))
-    return named.join(best, "root").select(
+    return join_back(named, best, "root").select(
         "text_id", F.col("best.id").alias("component"), F.col("best.text_id").alias("chosen")
     )
 
@@ -362,7 +416,7 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule(), key: str = "do
     sized = with_set_sizes(rows, rule.width, ["id", "text_id"])
     groups = text_groups(docs, rule, key, text).select("text_id", "component")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
-    return sized.join(groups, "text_id", "left").select(
+    return join_back(sized, groups, "text_id", how="left").select(
         F.col("id").alias(key),
         "text_id",
         F.col("n").alias("n_shingles"),
