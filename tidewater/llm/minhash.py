@@ -333,15 +333,20 @@ def open_pairs(
 
     The members of a list of over ``crowd`` are listed anew, among themselves
     and with whole sets: the exact requirement lets hardly a pair through that
-    is not linked, where a sketch must allow for chance.
+    is not linked, where a sketch must allow for chance.  The lists are written
+    once, since each is read several times.
     """
     spark = entries.sparkSession
-    mixed = labelled(entries, roots)
+    labelled(entries, roots).write.parquet(f"{folder}/mixed")
+    mixed = spark.read.parquet(f"{folder}/mixed")
     crowded = F.col("members") > rule.crowd
     mixed.where(crowded).select("text_id").distinct().write.parquet(f"{folder}/crowd")
     whole = replace(rule, whole=(1 << 31) - 1)
     again = index_entries(retained_values(with_ids(texts, spark.read.parquet(f"{folder}/crowd"), "text_id"), whole), whole)
-    pairs = apart_pairs(mixed.where(~crowded), rule).unionByName(apart_pairs(labelled(again, roots), whole))
+    again.write.parquet(f"{folder}/entries-whole")
+    labelled(spark.read.parquet(f"{folder}/entries-whole"), roots).write.parquet(f"{folder}/mixed-whole")
+    mixed_whole = spark.read.parquet(f"{folder}/mixed-whole")
+    pairs = apart_pairs(mixed.where(~crowded), rule).unionByName(apart_pairs(mixed_whole, whole))
     return pairs.distinct().join(tested, ["a", "b"], "left_anti")
 
 
@@ -385,6 +390,8 @@ def text_links(docs: DataFrame, rule: NearRule, text: str = "text") -> DataFrame
     lists = entries.groupBy("v", "tier").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
     lists = lists.where(F.col("lo") != F.col("hi")).select("v", "tier")
     members = join_back(entries, lists, "v", "tier", how="left_semi")
+    members.write.parquet(f"{folder}/members")
+    members = spark.read.parquet(f"{folder}/members")
     members.select("text_id").distinct().write.parquet(f"{folder}/candidates")
     candidates = with_ids(texts, spark.read.parquet(f"{folder}/candidates"), "text_id")
     candidates.dropDuplicates(["text_id"]).write.parquet(f"{folder}/texts")
