@@ -21,6 +21,10 @@ from tidewater.sources.envelope import decode_payload, landing_columns
 PARTITION_COLUMNS = ("ingestion_date",)
 DEVICE_PARTITION_COLUMNS = ("ingestion_date", "iot_device_id")
 
+# The payloads repeat their field names in every line.  Readers tell the codec by the
+# file's ending; a file holds one task's lines of one day, so it needs no splitting.
+RAW_CODEC = "gzip"
+
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "earliest",
                  fail_on_data_loss: bool = False) -> DataFrame:
@@ -61,12 +65,13 @@ def raw_lines(records: DataFrame, partition_columns=PARTITION_COLUMNS) -> DataFr
 
 def start_landing(records: DataFrame, raw_path: str, checkpoint: str, available_now: bool = False,
                   processing_time: str = "0 seconds", partition_columns=PARTITION_COLUMNS) -> StreamingQuery:
-    """Land records as JSON lines under ``ingestion_date=<day>`` directories
+    """Land records as (compressed) JSON lines under ``ingestion_date=<day>`` directories
     (``DEVICE_PARTITION_COLUMNS`` adds a device level).  Each task writes one
     file per day it holds, so a micro-batch writes tasks x days files."""
     lines = raw_lines(records, partition_columns)
     writer = (
         lines.writeStream.format("json")
+        .option("compression", RAW_CODEC)
         .option("path", raw_path)
         .option("checkpointLocation", checkpoint)
         .partitionBy(*partition_columns)
