@@ -125,7 +125,7 @@ def load_fact_asof(
 
 
 def not_yet_loaded(new_facts: DataFrame, fact_table: DataFrame, touched: Column | None = None) -> DataFrame:
-    """Drop rows whose (event_time, device) is already in the fact table.
+    """Drop rows (facts, or the readings that they are made of) whose (event_time, device) is already in the fact table.
 
     Guards against appending a re-delivered or retried batch twice; pass
     ``touched`` (a filter on the fact's day column) to scan only the days the

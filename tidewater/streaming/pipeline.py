@@ -12,8 +12,8 @@ Per micro-batch (``WarehouseJob.process``, the ``foreachBatch`` body):
 6. dim_iot_device, dim_country: SCD2 merge with one literal batch instant;
    closed versions are appended, of the current ones the buckets that change
    are replaced;
-7. fact: resolve keys against the new current rows, skip rows already
-   loaded, append;
+7. fact: skip rows already loaded, resolve the keys of the others against
+   the new current rows, append;
 8. note the (hour, device) pairs the batch touched in ``<root>/pending_hours``.
 
 Every step is idempotent, so a replayed batch (``foreachBatch`` is
@@ -168,18 +168,19 @@ class WarehouseJob:
             if late is not None:
                 late.unpersist()
 
+        # before their keys are resolved: a batch that comes again isn't dealt by device at all
+        new = facts.not_yet_loaded(deduped, st.read_days("fact_measurements", days))
         if self.keys == "as_of":
             # versions that hold in the batch's days; the bounds reach the scans
             first, after = F.lit(days[0]).cast("timestamp"), F.lit(days[-1] + dt.timedelta(days=1)).cast("timestamp")
             valid = (F.col("effective_start") < after) & (F.col("effective_end").isNull() | (F.col("effective_end") > first))
             dims = [st.read(name).filter(valid) for name in ("dim_iot_device", "dim_country")]
-            new_facts = facts.load_fact_asof(deduped, *dims, self.row_key_kind)
+            new_facts = facts.load_fact_asof(new, *dims, self.row_key_kind)
         else:
             dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
-            new_facts = facts.load_fact(deduped, *dims, self.row_key_kind)
-        loaded = st.read_days("fact_measurements", days)
+            new_facts = facts.load_fact(new, *dims, self.row_key_kind)
         st.note_zones(deduped)
-        st.append("fact_measurements", facts.not_yet_loaded(new_facts, loaded))
+        st.append("fact_measurements", new_facts)
 
     def _buckets(self, keys: DataFrame, key: str) -> list[int]:
         return [r[0] for r in keys.select(self.store.bucket_of(key)).distinct().collect()]
