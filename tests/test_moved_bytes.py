@@ -48,3 +48,23 @@ def test_replayed_batch_resolves_no_keys(spark, tmp_dir, monkeypatch):
     assert 0 < m < n and sizes == [m, 0, n - m]
     assert store.read("fact_measurements").count() == n
     assert store.read("fact_measurements").select("event_time", "iot_device_id").distinct().count() == n
+
+
+def test_hours_are_rolled_up_where_the_join_dealt_them(spark):
+    fact = replay(telemetry.load_measurements(spark, SF), deduplicate=True).fact.persist()
+    hours = rollup.touched_hours(fact.filter("iot_device_id % 2 = 0"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = rollup.refresh_hours(fact, hours)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        # the facts, the hours and the distinct of the hours; the two levels of the rollup add none
+        assert plan.count("Exchange hashpartitioning(_hb") + plan.count("Exchange hashpartitioning(hour_bucket") <= 2
+        want = rollup.hourly_rollup(fact).filter("iot_device_id % 2 = 0")
+        assert made.count() == want.count() > 0
+        rounded = [F.round(f.name, 9).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in want.schema]
+        assert made.select(*rounded).exceptAll(want.select(*rounded)).isEmpty()
+        assert made.schema == want.schema
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        fact.unpersist()

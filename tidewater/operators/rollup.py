@@ -29,12 +29,17 @@ def window_start(as_of: Column, lookback: str = DEFAULT_LOOKBACK) -> Column:
     return F.date_trunc("hour", as_of - F.expr(f"INTERVAL {lookback}"))
 
 
-def hourly_rollup(fact: DataFrame, since: Column | None = None) -> DataFrame:
+def hourly_rollup(fact: DataFrame, since: Column | None = None, hour: Column | None = None) -> DataFrame:
     """Hourly averages per device over facts with ``event_time >= since``
-    (all facts when ``since`` is None)."""
+    (all facts when ``since`` is None).
+
+    ``hour`` is the hour of the event time where the facts have it as a column:
+    facts that are dealt by it and the device are then not dealt again.
+    """
     src = fact if since is None else fact.filter(F.col("event_time") >= since)
+    hour = hour_bucket("event_time") if hour is None else hour
     first = src.groupBy(
-        hour_bucket("event_time").alias("hour_bucket"), "iot_device_id", "country_code"
+        hour.alias("hour_bucket"), "iot_device_id", "country_code"
     ).agg(
         F.max("event_time").alias("_last"),
         *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in HOURLY_AVG_SOURCES],
@@ -81,11 +86,12 @@ def touched_hours(batch: DataFrame) -> DataFrame:
 
 def refresh_hours(fact: DataFrame, hours: DataFrame) -> DataFrame:
     """Recomputed rollup rows for exactly the given (hour, device) pairs
-    (a semi join on the distinct pairs)."""
+    (a semi join on the distinct pairs).  The join deals the facts by hour and
+    device, and the rollup stays on these parts: a pair has a row a second at most."""
     src = fact.withColumn("_hb", hour_bucket("event_time")).join(
         hours.withColumnRenamed("hour_bucket", "_hb"), ["_hb", "iot_device_id"], "left_semi"
-    ).drop("_hb")
-    return hourly_rollup(src)
+    )
+    return hourly_rollup(src, hour=F.col("_hb"))
 
 
 def refresh_touched(existing: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
