@@ -68,3 +68,16 @@ def test_hours_are_rolled_up_where_the_join_dealt_them(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         fact.unpersist()
+
+
+def test_row_keys_are_made_after_the_rows_are_dealt(spark, tmp_dir):
+    fact = replay(telemetry.load_measurements(spark, SF), deduplicate=True).fact
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    derived = {"fact_sk": facts.row_key("content")}
+    plan = store._prepare(fact, "fact_measurements", True, derived)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert "AS fact_sk" in above and "fact_sk" not in below
+    store.overwrite("fact_measurements", fact, derived)
+    kept = store.read("fact_measurements")
+    assert kept.columns == fact.columns and kept.count() == fact.count()
+    assert kept.exceptAll(fact).isEmpty()

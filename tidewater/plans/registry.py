@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewater.functions import geo, measures, timefn
 from tidewater.functions.keys import surrogate_key
-from tidewater.operators import calendar, merge, rollup, scd2
+from tidewater.operators import calendar, facts, merge, rollup, scd2
 from tidewater.operators.dedup import latest_per_key
 from tidewater.plans import panels
 from tidewater.plans.warehouse import Warehouse, dedup_batch, replay, weekly_batch
@@ -323,7 +323,7 @@ def _served(spark, sf_dir):
     def build():
         store = TableStore(spark, _scratch(spark, "served"))
         wh = warehouse(spark, sf_dir)
-        store.overwrite("fact_measurements", wh.fact)
+        store.overwrite("fact_measurements", wh.fact, {"fact_sk": facts.row_key("content")})
         store.overwrite("dim_iot_device", wh.dim_device)
         store.overwrite("dim_country", wh.dim_country)
         store.overwrite("fact_hourly_agg", rollup.hourly_rollup(store.read("fact_measurements")))

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -235,9 +235,10 @@ class TableStore:
 
     # -- write -----------------------------------------------------------------
 
-    def _prepare(self, df: DataFrame, name: str, deal: bool) -> DataFrame:
+    def _prepare(self, df: DataFrame, name: str, deal: bool, derived: Mapping[str, Column] | None = None) -> DataFrame:
         schema, part = TABLES[name]
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        derived = derived or {}
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name not in derived])
         if part:
             out = out.withColumn(day_column(name), F.to_date(F.col(part)))
         if name in VERSIONED:
@@ -247,13 +248,17 @@ class TableStore:
         parts = [f.name for f in partition_fields(name)]
         if parts and deal:
             out = out.hint("rebalance", *parts)
+        if derived:
+            out = out.withColumns({c: value.cast(schema[c].dataType) for c, value in derived.items()})
+            out = out.select(*schema.fieldNames(), *parts)
         order = SORT_ORDER.get(name, ())
         if parts or order:
             out = out.sortWithinPartitions(*parts, *order)
         return out
 
-    def _write(self, df: DataFrame, name: str, mode: str, path: str, overwrite: str = "static", deal: bool = True) -> None:
-        writer = self._prepare(df, name, deal).write.mode(mode).option("compression", PARQUET_CODEC)
+    def _write(self, df: DataFrame, name: str, mode: str, path: str, overwrite: str = "static", deal: bool = True,
+               derived: Mapping[str, Column] | None = None) -> None:
+        writer = self._prepare(df, name, deal, derived).write.mode(mode).option("compression", PARQUET_CODEC)
         # said for each write, so that the session's mode doesn't matter
         writer = writer.option("partitionOverwriteMode", overwrite)
         parts = [f.name for f in partition_fields(name)]
@@ -261,17 +266,19 @@ class TableStore:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
 
-    def append(self, name: str, df: DataFrame) -> None:
+    def append(self, name: str, df: DataFrame, derived: Mapping[str, Column] | None = None) -> None:
+        """``derived``: columns made of the others only when the rows have been
+        dealt to their files, so that they aren't shuffled."""
         self.ensure(name)
-        self._write(df, name, "append", self.path(name))
+        self._write(df, name, "append", self.path(name), derived=derived)
 
-    def overwrite(self, name: str, df: DataFrame) -> None:
+    def overwrite(self, name: str, df: DataFrame, derived: Mapping[str, Column] | None = None) -> None:
         """Replace the whole table; ``df`` may read it.  The old files stay
-        beside it until the next replacement."""
+        beside it until the next replacement.  ``derived`` as in ``append``."""
         self.recover(name)
         fs, Path = self._fs()
         table, new, old = Path(self.path(name)), Path(self.path(name) + ".new"), Path(self.path(name) + ".old")
-        self._write(df, name, "overwrite", self.path(name) + ".new")
+        self._write(df, name, "overwrite", self.path(name) + ".new", derived=derived)
         if fs.exists(table):
             fs.delete(old, True)
             self._rename(table, old)

@@ -180,7 +180,7 @@ class WarehouseJob:
             dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
             new_facts = facts.load_fact(new, *dims, self.row_key_kind)
         st.note_zones(deduped)
-        st.append("fact_measurements", new_facts)
+        st.append("fact_measurements", new_facts, {"fact_sk": facts.row_key(self.row_key_kind)})
 
     def _buckets(self, keys: DataFrame, key: str) -> list[int]:
         return [r[0] for r in keys.select(self.store.bucket_of(key)).distinct().collect()]
