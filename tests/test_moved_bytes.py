@@ -6,7 +6,10 @@ import glob
 from pyspark.sql import functions as F
 
 from tidewater.operators import facts, rollup
+from tidewater.operators.merge import rows_to_insert
+from tidewater.plans import registry
 from tidewater.plans.warehouse import dedup_batch, replay
+from tidewater.schemas import DEDUP_KEYS, STAGING
 from tidewater.sources import envelope, telemetry
 from tidewater.sources.tables import TableStore
 from tidewater.streaming.landing import publish_records, record_file_source, start_landing
@@ -81,3 +84,23 @@ def test_row_keys_are_made_after_the_rows_are_dealt(spark, tmp_dir):
     kept = store.read("fact_measurements")
     assert kept.columns == fact.columns and kept.count() == fact.count()
     assert kept.exceptAll(fact).isEmpty()
+
+
+def test_days_without_rows_deal_nothing(spark, tmp_dir):
+    readings = telemetry.load_measurements(spark, SF)
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    stored = store.read_days("staging_events", [dt.date(2024, 1, 1)])
+    assert stored.schema == STAGING and stored.count() == 0
+    new = rows_to_insert(stored, readings, DEDUP_KEYS)
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString()
+    assert new.count() == readings.count()
+
+
+def test_more_files_make_no_more_micro_batches(spark, tmp_dir):
+    readings = telemetry.load_measurements(spark, SF)
+    for files in (1, 5, 40):
+        path, rows = f"{tmp_dir}/in-{files}", []
+        readings.repartition(files).write.parquet(path)
+        stream = registry._file_stream(spark, path).writeStream.foreachBatch(lambda batch, _: rows.append(batch.count()))
+        stream.option("checkpointLocation", f"{tmp_dir}/ck-{files}").trigger(availableNow=True).start().awaitTermination()
+        assert sum(rows) == readings.count() and len(rows) == min(files, 5)

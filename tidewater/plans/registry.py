@@ -695,11 +695,20 @@ def _readings_files(spark, sf_dir, copies: int) -> str:
     return _memo(spark, sf_dir, f"readings-x{copies}", build)
 
 
-def _file_stream(spark, path: str) -> DataFrame:
-    """One file per micro-batch."""
+def _file_stream(spark, path: str, copies: int = 1) -> DataFrame:
+    """About five micro-batches a delivery.
+
+    A batch without order in time is merged with all stored days.  Large input
+    comes in more files (one a task at least), so with a file a batch the reads
+    of the stored days would grow faster than the input.
+    """
     from tidewater.schemas import STAGING
+    from tidewater.sources.tables import TableStore
 
-    return spark.readStream.schema(STAGING).option("maxFilesPerTrigger", 1).parquet(path)
+    folder, name = path.rsplit("/", 1)
+    files = TableStore(spark, folder).data_files(name)
+    per_batch = max(1, round(files / (5 * copies)))
+    return spark.readStream.schema(STAGING).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def q_stream_rollup(spark, sf_dir):
@@ -724,7 +733,7 @@ def _deduplicated(spark, sf_dir):
     def build():
         src = _readings_files(spark, sf_dir, 2)
         store = TableStore(spark, _scratch(spark, "stream-dedup"))
-        start_dedup(_file_stream(spark, src), store, _scratch(spark, "ckpt-dedup"), note_hours=True).awaitTermination()
+        start_dedup(_file_stream(spark, src, 2), store, _scratch(spark, "ckpt-dedup"), note_hours=True).awaitTermination()
         return store
 
     return _memo(spark, sf_dir, "stream_dedup", build)

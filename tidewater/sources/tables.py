@@ -163,6 +163,12 @@ class TableStore:
         fs, Path = self._fs()
         return int(fs.getContentSummary(Path(self.path(name))).getFileCount())
 
+    def data_files(self, name: str) -> int:
+        """Number of data files right in a table's folder, from the listing."""
+        fs, Path = self._fs()
+        names = [str(f.getPath().getName()) for f in fs.listStatus(Path(self.path(name))) if f.isFile()]
+        return sum(n[0] not in "._" for n in names)
+
     # -- DDL -------------------------------------------------------------------
 
     def ensure(self, name: str) -> None:
@@ -209,9 +215,14 @@ class TableStore:
         paths = [p for p in (f"{self.path(name)}/{f}" for f in folders) if self.has_path(p)]
         schema = TABLES[name][0]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self.no_rows(schema)
         return self._files(name, *paths).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
+    def no_rows(self, schema: T.StructType) -> DataFrame:
+        """No rows of a schema, seen as such by the optimizer: a join with them
+        goes from the plan, and the other side isn't dealt for it."""
+        return self.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
     def read_days(self, name: str, days: Iterable[dt.date]) -> DataFrame:
         """Exactly these day partitions."""
         col = day_column(name)

@@ -125,7 +125,7 @@ def repair_hours(store: TableStore) -> int:
     if not notes["closed"] and not notes["touched"]:
         return 0
     schema = T.StructType([*(HOURLY[k] for k in HOURLY_KEYS), T.StructField("n", T.LongType())])
-    read = lambda kind: spark.read.schema(schema).parquet(*notes[kind]) if notes[kind] else spark.createDataFrame([], schema)
+    read = lambda kind: spark.read.schema(schema).parquet(*notes[kind]) if notes[kind] else store.no_rows(schema)
     made_of = read("closed").groupBy(*HOURLY_KEYS).agg(F.max("n").alias("made_of"))
     looked_at = made_of.join(read("touched").select(*HOURLY_KEYS).distinct(), HOURLY_KEYS, "full").persist()
     try:
