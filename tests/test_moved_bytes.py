@@ -5,7 +5,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import facts, rollup
+from tidewater.operators import dedup, facts, rollup, scd2
 from tidewater.operators.merge import rows_to_insert
 from tidewater.plans import registry
 from tidewater.plans.warehouse import dedup_batch, replay
@@ -104,3 +104,21 @@ def test_more_files_make_no_more_micro_batches(spark, tmp_dir):
         stream = registry._file_stream(spark, path).writeStream.foreachBatch(lambda batch, _: rows.append(batch.count()))
         stream.option("checkpointLocation", f"{tmp_dir}/ck-{files}").trigger(availableNow=True).start().awaitTermination()
         assert sum(rows) == readings.count() and len(rows) == min(files, 5)
+
+
+def test_states_of_a_batch_are_found_once(spark, tmp_dir, monkeypatch):
+    found, latest = [], scd2.latest_per_key
+    monkeypatch.setattr(scd2, "latest_per_key", lambda *args, **kwargs: found.append(1) or latest(*args, **kwargs))
+    readings = telemetry.load_measurements(spark, SF)
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    job = WarehouseJob(spark, store, row_key_kind="content", effective_from="spliced", keys="as_of")
+    job.process(readings.filter("day(event_time) >= 20"), 0)
+    job.process(readings.filter("day(event_time) < 20"), 1)
+    assert len(found) == 2
+    log = dedup_batch(readings).withColumn("state_time", F.col("event_time"))
+    late = F.dayofmonth("event_time") < 20
+    log = dedup.latest_per_key(log.withColumn("late", late), ["iot_device_id", "late"], "event_time")
+    for name, spec in (("dim_iot_device", scd2.DEVICE), ("dim_country", scd2.COUNTRY)):
+        want = scd2.scd2_history(scd2.tracked_states(log, spec), spec, "_state_time")
+        got = store.read(name)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()

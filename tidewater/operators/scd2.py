@@ -93,18 +93,19 @@ def device_states(batch: DataFrame, time_col: str = "event_time", keep_time: boo
 
 def country_states(batch: DataFrame, time_col: str = "event_time", boxes=None, keep_time: bool = False) -> DataFrame:
     """Latest reading per device resolved to its country (native lookup)."""
-    latest = latest_per_key(batch, [COUNTRY.key], time_col)
+    states = in_country(device_states(batch, time_col, keep_time=True), boxes)
+    return states if keep_time else states.drop("_state_time")
+
+
+def in_country(states: DataFrame, boxes=None) -> DataFrame:
+    """Device states (with their time) resolved to countries."""
     c = country_of("latitude", "longitude") if boxes is None else country_of("latitude", "longitude", boxes)
-    extra = ["_state_time"] if keep_time else []
-    return latest.select(
-        COUNTRY.key, c.alias("_c"), F.col(time_col).cast("timestamp").alias("_state_time")
-    ).select(COUNTRY.key, "_c.*", *extra)
+    return states.select(COUNTRY.key, c.alias("_c"), "_state_time").select(COUNTRY.key, "_c.*", "_state_time")
 
 
-def logged_states(batch: DataFrame, time_col: str = "event_time") -> DataFrame:
-    """Latest reading per device as a row of the log of states."""
-    latest = latest_per_key(batch, [DEVICE.key], time_col)
-    return latest.select(DEVICE.key, F.col(time_col).cast("timestamp").alias("state_time"), *DEVICE.tracked)
+def logged_states(states: DataFrame) -> DataFrame:
+    """Device states (with their time) as rows of the log of states."""
+    return states.select(DEVICE.key, F.col("_state_time").alias("state_time"), *DEVICE.tracked)
 
 
 def tracked_states(log: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -113,11 +114,7 @@ def tracked_states(log: DataFrame, spec: Scd2Spec) -> DataFrame:
     the result doesn't depend on the order they came in."""
     once = log.groupBy(DEVICE.key, "state_time").agg(F.min(F.struct(*DEVICE.tracked)).alias("_s"))
     states = once.select(DEVICE.key, "_s.*", F.col("state_time").alias("_state_time"))
-    if spec is COUNTRY:
-        states = states.select(DEVICE.key, country_of("latitude", "longitude").alias("_c"), "_state_time").select(
-            DEVICE.key, "_c.*", "_state_time"
-        )
-    return states
+    return in_country(states) if spec is COUNTRY else states
 
 
 def late_keys(log: DataFrame, states: DataFrame, key: str = DEVICE.key) -> DataFrame:

@@ -145,26 +145,32 @@ class WarehouseJob:
         def dates() -> None:
             st.append("dim_date", calendar.new_dates(st.read("dim_date"), deduped))
 
-        late = self._log_states(deduped) if self.effective_from == "spliced" else None
+        # one row per device, found once for the log and both dimensions
+        latest = scd2.device_states(deduped, keep_time=True).persist()
+        late, rebuilt = None, []
 
         def devices() -> None:
-            states = scd2.device_states(deduped, keep_time=True)
-            self._merge_dimension("dim_iot_device", scd2.DEVICE, states, batch_ts, late)
+            self._merge_dimension("dim_iot_device", scd2.DEVICE, latest, batch_ts, late, rebuilt)
 
         def countries() -> None:
-            states = scd2.country_states(deduped, keep_time=True)
-            self._merge_dimension("dim_country", scd2.COUNTRY, states, batch_ts, late)
+            self._merge_dimension("dim_country", scd2.COUNTRY, scd2.in_country(latest), batch_ts, late, rebuilt)
 
-        # The four merges read only the persisted batch and their own table,
-        # so they run as concurrent Spark jobs; the fact load needs both new
-        # dimensions and runs after them.
+        def zones() -> None:
+            st.note_zones(deduped)
+
+        # The merges read only the persisted batch and their own table, so they
+        # run as concurrent Spark jobs; the fact load needs both new dimensions
+        # (and the zones noted) and runs after them.
         try:
-            with ThreadPoolExecutor(max_workers=4) as pool:
+            if self.effective_from == "spliced":
+                late, rebuilt = self._log_states(latest)
+            with ThreadPoolExecutor(max_workers=5) as pool:
                 # the threads carry the stream's job group, so stopping it cancels them
-                steps = (staging, dates, devices, countries)
+                steps = (staging, dates, devices, countries, zones)
                 for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]:
                     f.result()
         finally:
+            latest.unpersist()
             if late is not None:
                 late.unpersist()
 
@@ -179,38 +185,38 @@ class WarehouseJob:
         else:
             dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
             new_facts = facts.load_fact(new, *dims, self.row_key_kind)
-        st.note_zones(deduped)
         st.append("fact_measurements", new_facts, {"fact_sk": facts.row_key(self.row_key_kind)})
 
     def _buckets(self, keys: DataFrame, key: str) -> list[int]:
         return [r[0] for r in keys.select(self.store.bucket_of(key)).distinct().collect()]
 
-    def _log_states(self, deduped: DataFrame) -> DataFrame:
-        """Add the batch's states to the log; (device, bucket) of those that
-        came late, persisted."""
+    def _log_states(self, latest: DataFrame) -> tuple[DataFrame | None, list[int]]:
+        """Add the batch's states to the log; the devices of those that came
+        late, persisted (None if there are none), and their buckets."""
         st, key = self.store, scd2.DEVICE.key
-        states = scd2.logged_states(deduped).persist()
-        try:
-            log = st.read_buckets("dim_states", self._buckets(states, key))
-            late = scd2.late_keys(log, states).withColumn("bucket", st.bucket_of(key)).persist()
-            late.count()
-            st.append("dim_states", states.join(log, [key, "state_time"], "left_anti"))
-        finally:
-            states.unpersist()
-        return late
+        states = scd2.logged_states(latest)
+        log = st.read_buckets("dim_states", self._buckets(states, key))
+        late = scd2.late_keys(log, states).persist()
+        rebuilt = self._buckets(late, key)
+        st.append("dim_states", states.join(log, [key, "state_time"], "left_anti"))
+        if rebuilt:
+            return late, rebuilt
+        late.unpersist()
+        return None, []
 
     def _merge_dimension(self, name: str, spec: scd2.Scd2Spec, states: DataFrame, batch_ts: dt.datetime,
-                         late: DataFrame | None) -> None:
+                         late_keys: DataFrame | None, rebuilt: list[int]) -> None:
         """Merge one row per device into a dimension; only the buckets whose
         versions change are written.
 
         Closed versions are appended before the current ones are replaced.  A
         replay after a failure between the two closes the same versions again;
-        those that are stored already are left out.
+        those that are stored already are left out.  The versions of
+        ``late_keys``, which lie in the buckets ``rebuilt``, are made anew from
+        the log of states.
         """
         st = self.store
         by_time = self.effective_from != "batch"
-        late_keys = None if late is None else late.select(spec.key)
         if late_keys is not None:
             states = states.join(late_keys, spec.key, "left_anti")
         stage = scd2.stage_versions(states, spec, batch_ts, "event_time" if by_time else "batch").persist()
@@ -220,19 +226,20 @@ class WarehouseJob:
             if by_time:
                 changing = scd2.newer_states(current, changing, spec)
             buckets = self._buckets(changing, spec.key)
-            rebuilt = [] if late is None else [r.bucket for r in late.select("bucket").distinct().collect()]
             if not buckets and not rebuilt:
                 return
-            here = st.bucket_of(spec.key).isin(sorted({*buckets, *rebuilt}))
             before = st.read_buckets(name, {*buckets, *rebuilt}, "current")
             if late_keys is not None:
                 before = before.join(late_keys, spec.key, "left_anti")
-            batch_rows = stage.filter(here)
-            if by_time:
-                batch_rows = scd2.newer_states(before, batch_rows, spec)
-            closed, after = scd2.scd2_changes(before, batch_rows, spec)
-            stored = st.read_buckets(name, {*buckets, *rebuilt}, "closed")
-            fresh = closed.join(stored.select(spec.sk_col), spec.sk_col, "left_anti")
+            if buckets:
+                batch_rows = stage.filter(st.bucket_of(spec.key).isin(sorted({*buckets, *rebuilt})))
+                if by_time:
+                    batch_rows = scd2.newer_states(before, batch_rows, spec)
+                closed, after = scd2.scd2_changes(before, batch_rows, spec)
+                stored = st.read_buckets(name, {*buckets, *rebuilt}, "closed")
+                fresh = closed.join(stored.select(spec.sk_col), spec.sk_col, "left_anti")
+            else:  # none of the batch's states opens a version: what holds is what held
+                fresh, after = st.no_rows(before.schema), before
             if rebuilt:
                 log = st.read_buckets("dim_states", rebuilt).join(late_keys, spec.key, "left_semi")
                 history = scd2.scd2_history(scd2.tracked_states(log, spec), spec, "_state_time").persist()
@@ -240,7 +247,8 @@ class WarehouseJob:
                 again = st.bucket_of(spec.key).isin(sorted(rebuilt))
                 kept = st.read_buckets(name, rebuilt, "closed").join(late_keys, spec.key, "left_anti")
                 whole = kept.unionByName(fresh.filter(again)).unionByName(history.filter(~F.col(spec.current)))
-                st.append(name, fresh.filter(~again))
+                if buckets:
+                    st.append(name, fresh.filter(~again))
                 st.overwrite_days(name, whole)
             else:
                 st.append(name, fresh)
