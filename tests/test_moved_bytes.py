@@ -122,3 +122,19 @@ def test_states_of_a_batch_are_found_once(spark, tmp_dir, monkeypatch):
         want = scd2.scd2_history(scd2.tracked_states(log, spec), spec, "_state_time")
         got = store.read(name)
         assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_as_of_load_with_known_days_runs_no_job(spark, monkeypatch):
+    readings = dedup_batch(telemetry.load_measurements(spark, SF)).persist()
+    states = scd2.device_states(readings, keep_time=True)
+    dims = [
+        scd2.stage_versions(states, scd2.DEVICE, effective_from="event_time"),
+        scd2.stage_versions(scd2.in_country(states), scd2.COUNTRY, effective_from="event_time"),
+    ]
+    want = facts.load_fact_asof(readings, *dims, "content")
+    first, last = readings.agg(F.to_date(F.min("event_time")), F.to_date(F.max("event_time"))).first()
+    monkeypatch.setattr(type(readings), "first", None)
+    for slot in ("day", "hour", "month"):
+        got = facts.load_fact_asof(readings, *dims, "content", slot, days=(first, last))
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    readings.unpersist()

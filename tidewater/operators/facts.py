@@ -3,6 +3,8 @@ denormalise device and country, add the calendar key and a row key."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.functions.keys import content_row_key, random_row_key
@@ -76,6 +78,7 @@ def load_fact_asof(
     dim_country: DataFrame,
     row_key_kind: str = "uuid",
     slot: str = "day",
+    days: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Fact rows whose keys are those of the versions valid at event time.
 
@@ -87,30 +90,31 @@ def load_fact_asof(
     time is cut into slots (``slot``: a unit of ``date_trunc``), and a version
     is copied into each slot that it overlaps and that has readings, so a
     device with a large part of all readings is many independent groups and a
-    version pairs with no reading one by one.
+    version pairs with no reading one by one.  ``days``: the first and the last
+    day that readings may be of, if they are known; else a job finds them.
     """
     key, at = "iot_device_id", F.date_trunc(slot, F.col("event_time"))
     readings = batch.withColumn("_slot", at)
     slots = readings.select(key, "_slot").distinct()
-    bounds = slots.agg(F.min("_slot"), F.max("_slot")).first()
+    bounds = batch.agg(F.min("event_time"), F.max("event_time")).first() if days is None else (
+        days[0], dt.datetime.combine(days[1], dt.time.max))
     if bounds[0] is None:
         return fact_rows(batch.withColumns({c: F.lit(None).cast("string") for c in ("device_sk", "country_sk", "country_code")}), row_key_kind)
-    low, high = (F.lit(b).cast("timestamp") for b in bounds)
-
-    def placed(dim: DataFrame, *columns: str) -> DataFrame:
-        """Version rows at the time they begin to hold in each slot."""
-        first = F.greatest(F.date_trunc(slot, "effective_start"), low)
-        last = F.least(F.coalesce(F.col("effective_end"), high), high)
-        each = dim.filter(last >= first).withColumn("_slot", F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {slot}"))))
-        here = each.join(slots, [key, "_slot"], "left_semi")
-        start = F.greatest("effective_start", "_slot")
-        return here.select(key, "_slot", start.alias("event_time"), F.struct("effective_start", *columns).alias("_version"))
-
-    device = placed(dim_device, "device_sk").withColumnRenamed("_version", "_device")
-    country = placed(dim_country, "country_sk", "country_code").withColumnRenamed("_version", "_country")
-    rows = readings.withColumn("_reading", F.lit(True)).unionByName(device, allowMissingColumns=True).unionByName(
-        country, allowMissingColumns=True
+    low, high = (F.date_trunc(slot, F.lit(b).cast("timestamp")) for b in bounds)
+
+    def versions(dim: DataFrame, name: str, *columns: str) -> DataFrame:
+        return dim.select(key, "effective_start", "effective_end", F.struct("effective_start", *columns).alias(name))
+
+    # of both dimensions at once: rows at the time a version begins to hold in each slot
+    both = versions(dim_device, "_device", "device_sk").unionByName(
+        versions(dim_country, "_country", "country_sk", "country_code"), allowMissingColumns=True
     )
+    first = F.greatest(F.date_trunc(slot, "effective_start"), low)
+    last = F.least(F.coalesce(F.col("effective_end"), high), high)
+    each = both.filter(last >= first).withColumn("_slot", F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {slot}"))))
+    here = each.join(slots, [key, "_slot"], "left_semi")
+    placed = here.select(key, "_slot", F.greatest("effective_start", "_slot").alias("event_time"), "_device", "_country")
+    rows = readings.withColumn("_reading", F.lit(True)).unionByName(placed, allowMissingColumns=True)
     # at one instant versions come before readings; of several the latest to start
     begins = F.greatest(F.col("_device.effective_start"), F.col("_country.effective_start"))
     order = Window.partitionBy(key, "_slot").orderBy("event_time", F.col("_reading").asc_nulls_first(), begins)

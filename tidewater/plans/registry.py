@@ -230,9 +230,7 @@ def q_scd2_country_incremental(spark, sf_dir):
 
 def _spliced(spark, sf_dir):
     """The weekly batches in an order that isn't that of time, with dimensions
-    whose versions follow event time; then the facts by the versions valid at
-    event time (D2-D4, X4, X11)."""
-    from tidewater.operators import facts
+    whose versions follow event time (D2-D4, X4)."""
     from tidewater.sources.tables import TableStore
     from tidewater.streaming.pipeline import WarehouseJob
 
@@ -247,25 +245,24 @@ def _spliced(spark, sf_dir):
                 (F.col("ts") >= F.lit(week - dt.timedelta(days=7))) & (F.col("ts") < F.lit(week))
             )
             job.process(telemetry.measurements(part), batch_id)
-        loaded = facts.load_fact_asof(
-            store.read("staging_events"), store.read("dim_iot_device"), store.read("dim_country"), "content"
-        )
-        return store, loaded
+        return store
 
     return _memo(spark, sf_dir, "spliced", build)
 
 
 def q_scd2_device_spliced(spark, sf_dir):
-    return _spliced(spark, sf_dir)[0].read("dim_iot_device")
+    return _spliced(spark, sf_dir).read("dim_iot_device")
 
 
 def q_scd2_country_spliced(spark, sf_dir):
-    return _spliced(spark, sf_dir)[0].read("dim_country")
+    return _spliced(spark, sf_dir).read("dim_country")
 
 
 def q_fact_load_asof(spark, sf_dir):
     """Readings with the versions valid at their event time."""
-    return _round_doubles(_spliced(spark, sf_dir)[1])
+    store = _spliced(spark, sf_dir)
+    dims = [store.read(name) for name in ("dim_iot_device", "dim_country")]
+    return _round_doubles(facts.load_fact_asof(store.read("staging_events"), *dims, "content"))
 
 
 def q_fact_load(spark, sf_dir):

@@ -181,7 +181,7 @@ class WarehouseJob:
             first, after = F.lit(days[0]).cast("timestamp"), F.lit(days[-1] + dt.timedelta(days=1)).cast("timestamp")
             valid = (F.col("effective_start") < after) & (F.col("effective_end").isNull() | (F.col("effective_end") > first))
             dims = [st.read(name).filter(valid) for name in ("dim_iot_device", "dim_country")]
-            new_facts = facts.load_fact_asof(new, *dims, self.row_key_kind)
+            new_facts = facts.load_fact_asof(new, *dims, self.row_key_kind, days=(days[0], days[-1]))
         else:
             dims = [st.read_current(name) for name in ("dim_iot_device", "dim_country")]
             new_facts = facts.load_fact(new, *dims, self.row_key_kind)
