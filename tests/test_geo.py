@@ -142,3 +142,14 @@ def test_many_boxes_of_every_size_and_shape(spark):
     assert per_cell.agg(F.max("count")).first()[0] < 200
     none = lookup_boxes(spark.createDataFrame(rows[:3], "latitude double, longitude double"), boxes.limit(0)).collect()
     assert [r.country_code for r in none] == ["XX"] * 3
+
+
+def test_country_of_named_columns_is_one_text(spark, monkeypatch):
+    corners = [(y, x) for b in geo.COUNTRY_BOXES for y in (b.lat_min, b.lat_max) for x in (b.lon_min, b.lon_max)]
+    points = spark.createDataFrame([*corners, (None, 1.0), (1.0, None), (float("nan"), 0.0), (-0.0, 0.0)], "lat double, `lon``g` double")
+    calls = geo.country_of(F.col("lat"), F.col("`lon``g`"))
+    monkeypatch.setattr(F, "when", None)  # not built call by call
+    text = geo.country_of("lat", "lon`g")
+    both = points.select(calls.alias("a"), text.alias("b"))
+    assert both.schema["a"].dataType == both.schema["b"].dataType
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0

@@ -114,8 +114,34 @@ def box_index(lat: Column | str, lon: Column | str, boxes=COUNTRY_BOXES) -> Colu
     return expr.otherwise(F.lit(None).cast("int"))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _country_text(lat: str, lon: str, boxes) -> str:
+    """``country_of`` of two columns by name, as the text of the same expression."""
+    y, x = (f"coalesce(CAST(`{c.replace('`', '``')}` AS DOUBLE), CAST('NaN' AS DOUBLE))" for c in (lat, lon))
+    inside = lambda v, low, high: f"{v} >= {float(low)!r}D AND {v} <= {float(high)!r}D"
+    whens = " ".join(
+        f"WHEN {inside(y, b.lat_min, b.lat_max)} AND {inside(x, b.lon_min, b.lon_max)} THEN {i}" for i, b in enumerate(boxes)
+    )
+    place = f"CASE {whens} ELSE CAST(NULL AS INT) END + 1"
+    fields = []
+    for pos, field in enumerate(("code", "name", "city")):
+        values = f"array({', '.join(_text(getattr(b, field)) for b in boxes)})"
+        name = COUNTRY_STRUCT.fieldNames()[pos]
+        fields.append(f"'{name}', coalesce(try_element_at({values}, {place}), {_text(UNKNOWN_COUNTRY[pos])})")
+    return f"named_struct({', '.join(fields)})"
+
+
 def country_of(lat: Column | str, lon: Column | str, boxes=COUNTRY_BOXES) -> Column:
-    """struct<country_code, country_name, city> for a coordinate pair."""
+    """struct<country_code, country_name, city> for a coordinate pair.
+
+    Columns given by name are put into one SQL text: built call by call the
+    expression takes the driver a second, several times a batch.
+    """
+    if isinstance(lat, str) and isinstance(lon, str) and "." not in lat + lon and boxes:
+        return F.expr(_country_text(lat, lon, boxes))
     idx = box_index(lat, lon, boxes) + F.lit(1)
     picked = []
     for pos, field in enumerate(("code", "name", "city")):
